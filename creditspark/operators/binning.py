@@ -39,6 +39,11 @@ def binning_cells(
         cells = cells.withColumnRenamed(ORG, "scope").unionByName(overall.withColumn("scope", F.lit(OVERALL)))
     else:
         cells = cells.withColumn("scope", F.lit(OVERALL))
+    return with_running_counts(cells, bucketed)
+
+
+def with_running_counts(cells: DataFrame, bucketed: bool) -> DataFrame:
+    """Running counts for cells (scope, feature, value, n, bad), stored for the tree rounds."""
     running = running_totals(cells, KEYS, "value", ["n", "bad"], bucketed)
     usable = (F.col("n_all") >= config.MIN_VALUES_TO_BIN) & F.col("bad_all").between(1, F.col("n_all") - 1)
     return written(running.filter(usable))
