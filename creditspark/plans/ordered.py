@@ -161,11 +161,11 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     )
     sizes = ranged.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = sizes.select(*keys, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(*keys, "_part").orderBy(*ordering)
     local = ranged.withColumn("_in", F.row_number().over(inside))
     return local.join(offsets, [*keys, "_part"]).select(
-        *df.columns, (F.col("_in") + F.col("_before")).alias(name)
+        *df.columns, (F.col("_in") + F.col("_offset")).alias(name)
     )
 
 

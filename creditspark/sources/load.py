@@ -85,12 +85,14 @@ def clean_sample(
     sentinels: Sequence[float] = config.SENTINELS,
     order_cols: Sequence[str] | None = None,
     exclude: Sequence[str] = (),
+    drop_constants: bool = True,
 ) -> DataFrame:
     """Cleaned sample with role columns ``new_date, new_date_ym, new_target, new_org``.
 
     Steps in order: sentinels to null, valid labels, named drops (``exclude`` takes
     a compliance list such as ``config.EXCLUDED_FEATURES``), first row per key,
     constant features out, role names, date text and month, default organisation.
+    ``drop_constants=False`` saves the extra pass that looks for constant features.
     """
     missing = [c for c in (date_col, label_col) if c not in df.columns]
     if missing:
@@ -103,7 +105,8 @@ def clean_sample(
     if keys:
         # Stored once: the constant test below and the caller both read the result.
         df = written(dedupe_first(df, keys, order_cols).drop(*keys))
-    df = df.drop(*constant_columns(df, [c for c in df.columns if c not in roles]))
+    if drop_constants:
+        df = df.drop(*constant_columns(df, [c for c in df.columns if c not in roles]))
 
     names = {date_col: DATE, label_col: TARGET}
     if org_col and org_col in df.columns:

@@ -55,8 +55,8 @@ SELECT strftime(apply_date, '%Y%m%d') AS new_date, strftime(apply_date, '%Y%m')
 FROM ({DUCK_RAW}) raw
 """
 
-# Weights of the model-free score.
-SCORE = "1 / (1 + exp(-(-4 + CAST(0.06 AS DOUBLE) * quantity + 12 * discount)))"
+# Weights of the model-free score. Rounding makes equal scores equal in both engines.
+SCORE = "round(1 / (1 + exp(-(-4 + CAST(0.06 AS DOUBLE) * quantity + 12 * discount))), 9)"
 
 
 def raw_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +74,7 @@ def sample(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     raw = raw_sample(spark, sf_dir).drop("const")
     if columns:
         raw = raw.select("l_orderkey", "l_linenumber", "apply_date", "org_info", "label", *columns)
-    return clean_sample(raw, "apply_date", "label", "org_info")
+    return clean_sample(raw, "apply_date", "label", "org_info", drop_constants=False)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
