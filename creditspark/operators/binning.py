@@ -27,8 +27,7 @@ def binning_cells(
 ) -> DataFrame:
     """Stored value cells with running counts per (scope, feature).
 
-    The overall scope is summed from the organisation cells, not from a second
-    scan. Scopes too small or of one class only are left out.
+    The overall scope is summed from the organisation cells, not from a second scan.
     """
     sums = {"n": F.count("*"), "bad": F.sum(target)}
     keep = [ORG, target] if by_org else [target]
@@ -43,10 +42,9 @@ def binning_cells(
 
 
 def with_running_counts(cells: DataFrame, bucketed: bool) -> DataFrame:
-    """Running counts for cells (scope, feature, value, n, bad), stored for the tree rounds."""
-    running = running_totals(cells, KEYS, "value", ["n", "bad"], bucketed)
-    usable = (F.col("n_all") >= config.MIN_VALUES_TO_BIN) & F.col("bad_all").between(1, F.col("n_all") - 1)
-    return written(running.filter(usable))
+    """Cells (scope, feature, value, n_upto, bad_upto), stored for the tree rounds."""
+    running = running_totals(cells, KEYS, "value", ["n", "bad"], bucketed, with_all=False)
+    return written(running.select(*KEYS, "value", "n_upto", "bad_upto"))
 
 
 def _purity(n: Column, bad: Column) -> Column:
@@ -71,9 +69,13 @@ def tree_leaves(cells: DataFrame, n_bins: int, min_share: float = config.WOE_MIN
 
     ``start_n`` counts the rows below the leaf. Per round the open leaf with the
     highest gain is split (ties: the lower leaf), until ``n_bins`` leaves exist
-    or no allowed cut is left. A pure leaf is never split.
+    or no allowed cut is left. A pure leaf is never split. A (scope, feature) with
+    too few values or one class only has no leaves.
     """
-    roots = cells.groupBy(*KEYS).agg(F.max("n_all").alias("leaf_n"), F.max("bad_all").alias("leaf_bad"))
+    totals = cells.groupBy(*KEYS).agg(F.max("n_upto").alias("leaf_n"), F.max("bad_upto").alias("leaf_bad"))
+    roots = totals.filter(
+        (F.col("leaf_n") >= config.MIN_VALUES_TO_BIN) & F.col("leaf_bad").between(1, F.col("leaf_n") - 1)
+    )
     no_cut = F.lit(None).cast("struct<gain:double,order:bigint,cut_n:bigint,cut_bad:bigint>")
     leaves = checkpointed(
         roots.select(

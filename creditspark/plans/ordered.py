@@ -88,9 +88,14 @@ def value_cells(
 
 
 def running_totals(
-    cells: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str], bucketed: bool
+    cells: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    sums: Sequence[str],
+    bucketed: bool,
+    with_all: bool = True,
 ) -> DataFrame:
-    """Add ``<s>_upto`` (running sum including the row) and ``<s>_all`` per key."""
+    """Add ``<s>_upto`` (running sum including the row) and, on demand, ``<s>_all`` per key."""
     rows = (Window.unboundedPreceding, Window.currentRow)
     if not bucketed:
         by_key = Window.partitionBy(*keys)
@@ -98,7 +103,7 @@ def running_totals(
         return cells.select(
             "*",
             *[F.sum(s).over(running).alias(f"{s}_upto") for s in sums],
-            *[F.sum(s).over(by_key).alias(f"{s}_all") for s in sums],
+            *[F.sum(s).over(by_key).alias(f"{s}_all") for s in sums if with_all],
         )
     # Read twice below, so computed once: for the bucket totals and for the windows.
     cells = written(cells)
@@ -116,7 +121,7 @@ def running_totals(
     return local.join(offsets, [*keys, BUCKET]).select(
         *[c for c in cells.columns if c != BUCKET],
         *[(F.col(f"{s}_in") + F.col(f"{s}_before")).alias(f"{s}_upto") for s in sums],
-        *[F.col(f"{s}_all") for s in sums],
+        *[F.col(f"{s}_all") for s in sums if with_all],
     )
 
 
