@@ -69,7 +69,9 @@ def _pairs_by_matrix(wide: DataFrame, names: Sequence[str]) -> DataFrame:
         )
 
     schema = "i int, j int, n double, xy double, x double, xx double, y double, yy double"
-    s = wide.mapInPandas(products, schema).groupBy("i", "j").agg(
+    # One matrix per core is enough: merging input splits needs no shuffle.
+    merged = wide.coalesce(wide.sparkSession.sparkContext.defaultParallelism)
+    s = merged.mapInPandas(products, schema).groupBy("i", "j").agg(
         *[F.sum(c).alias(c) for c in ("n", "xy", "x", "xx", "y", "yy")]
     )
     spread = F.sqrt(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..plans.longform import ORG, TARGET
 from ..plans.ordered import rank_quantiles, running_totals, value_cells
-from ..plans.storage import join_checked, written
+from ..plans.storage import written
 
 
 def score_table(
@@ -79,7 +79,8 @@ def table_lift(table: DataFrame, bins: int = 10) -> DataFrame:
     usable = edges.filter(F.col("n_all") >= bins).select("_all", F.array_distinct("edges").alias("edges"))
     inner = F.slice(F.col("edges"), 2, bins)
     code = F.size(F.filter(inner, lambda edge: edge < F.col("value")))
-    counted = join_checked(keyed, usable, "_all").groupBy((F.lit(bins) - code).alias("decile")).agg(
+    # ``usable`` is one row by construction.
+    counted = keyed.join(F.broadcast(usable), "_all").groupBy((F.lit(bins) - code).alias("decile")).agg(
         F.sum("n").alias("count"),
         F.sum("pos").alias("bad_count"),
         F.max(F.col("pos_all") / F.col("n_all")).alias("overall"),

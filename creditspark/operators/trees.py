@@ -272,20 +272,23 @@ def shuffled_labels(stored: DataFrame, row_id: str, target: str, seed: int) -> D
     by counting leading hash bits, so no global sort is needed.
     """
     hashed = stored.withColumn("_h", F.xxhash64(F.col(row_id), F.lit(seed)))
-    top = F.shiftright("_h", 48)
-    ones = int(stored.agg(F.sum(target)).first()[0] or 0)
-    counts = hashed.groupBy(top.alias("top")).agg(F.count("*").alias("n"))
-    running = Window.orderBy("top").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    border = (
-        counts.withColumn("upto", F.sum("n").over(running)).filter(F.col("upto") >= ones).orderBy("top").first()
-    )
-    if border is None or ones == 0:
+    need = int(stored.agg(F.sum(target)).first()[0] or 0)
+    if need == 0:
         return stored
-    need = ones - (border.upto - border.n)
-    # About one row in 65,536 has the border prefix.
-    limit = hashed.filter(top == border.top).select("_h").orderBy("_h").offset(need - 1).first() if need else None
-    chosen = (F.shiftright("_h", 48) < border.top) | (F.col("_h") <= limit._h if limit else F.lit(False))
-    return hashed.withColumn(target, chosen.cast("double")).drop("_h")
+    # Find the ``need``-th smallest hash by its leading 16, then 32 bits.
+    inside = hashed.select("_h")
+    for shift in (48, 32):
+        prefix = F.shiftright("_h", shift)
+        running = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        counts = inside.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n"))
+        border = (
+            counts.withColumn("upto", F.sum("n").over(running)).filter(F.col("upto") >= need).orderBy("prefix").first()
+        )
+        need -= border.upto - border.n
+        inside = inside.filter(prefix == border.prefix)
+    # About one row in four billion is left.
+    limit = inside.orderBy("_h").offset(need - 1).first()._h
+    return hashed.withColumn(target, (F.col("_h") <= limit).cast("double")).drop("_h")
 
 
 def null_importance(

@@ -20,7 +20,7 @@ from .longform import clean_double
 from .storage import checkpointed, join_checked, written
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 2_000
+MAX_BUCKETS = 10_000
 BUCKET = "bucket"
 
 

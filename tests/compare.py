@@ -61,7 +61,8 @@ if __name__ == "__main__":
     from workload.oracles import ORACLES
     from workload.queries import QUERIES
 
-    folder, chosen = sys.argv[1], sys.argv[2:] or list(QUERIES)
+    folder, chosen = sys.argv[1], [a for a in sys.argv[2:] if "=" not in a] or list(QUERIES)
+    settings = dict(a.split("=") for a in sys.argv[2:] if "=" in a)
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g").config("spark.ui.enabled", "false")
@@ -69,6 +70,8 @@ if __name__ == "__main__":
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     connection = duck(folder)
     for name in chosen:
         start = time.time()
