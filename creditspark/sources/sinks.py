@@ -9,7 +9,7 @@ from ..functions.texts import HEADERS
 from ..plans.longform import MONTH
 
 # Fixed value: byte order mark that makes spreadsheet programs read UTF-8.
-BOM = "﻿"
+BOM = "\ufeff"
 
 
 def write_parquet(df: DataFrame, path: str, by_month: bool = False, mode: str = "overwrite") -> None:
