@@ -17,7 +17,7 @@ from ..plans.storage import checkpointed
 from .iv import information_value
 
 # Up to this many pairs one generated aggregation is faster than matrix blocks.
-PAIRS_IN_ONE_AGG = 300
+PAIRS_IN_ONE_AGG = 20
 
 
 def correlation_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
