@@ -17,7 +17,7 @@ from .. import config
 from ..functions.scalars import floored, woe_of
 from ..plans.longform import ORG, OVERALL, TARGET
 from ..plans.ordered import BUCKET, running_totals, value_cells
-from ..plans.storage import checkpointed, join_checked, written
+from ..plans.storage import BROADCAST_ROWS, checkpointed, join_checked, written
 
 KEYS = ["scope", "feature"]
 
@@ -53,76 +53,102 @@ def _purity(n: Column, bad: Column) -> Column:
     return (bads * bads + goods * goods) / n
 
 
-def _best_cuts(cells: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Best cut of each open leaf: highest gini gain, then lowest threshold."""
-    joined = join_checked(cells, leaves, KEYS)
+def _best_cuts(cells: DataFrame, open_nodes: DataFrame) -> DataFrame:
+    """Best cut of each open node: highest gini gain, then lowest threshold."""
     n, bad = F.col("n_upto") - F.col("start_n"), F.col("bad_upto") - F.col("start_bad")
-    inside = (n >= F.col("min_leaf")) & (F.col("leaf_n") - n >= F.col("min_leaf"))
-    rest_n, rest_bad = F.col("leaf_n") - n, F.col("leaf_bad") - bad
-    gain = _purity(n, bad) + _purity(rest_n, rest_bad) - _purity(F.col("leaf_n"), F.col("leaf_bad"))
+    rest_n, rest_bad = F.col("n") - n, F.col("bad") - bad
+    inside = (n >= F.col("min_leaf")) & (rest_n >= F.col("min_leaf"))
+    gain = _purity(n, bad) + _purity(rest_n, rest_bad) - _purity(F.col("n"), F.col("bad"))
     best = F.max(F.struct(gain.alias("gain"), (-n).alias("order"), n.alias("cut_n"), bad.alias("cut_bad")))
-    return joined.filter(inside).groupBy(*KEYS, "start_n").agg(best.alias("best"))
+    return cells.join(open_nodes, KEYS).filter(inside).groupBy(*KEYS, "id").agg(best.alias("best"))
+
+
+NODE = (
+    "struct<id:bigint, start_n:bigint, start_bad:bigint, n:bigint, bad:bigint, tested:boolean, "
+    "gain:double, cut_n:bigint, cut_bad:bigint>"
+)
+
+
+def _node(node_id: str, start_n: str, start_bad: str, n: str, bad: str) -> str:
+    return (
+        f"CAST(named_struct('id', {node_id}, 'start_n', {start_n}, 'start_bad', {start_bad}, 'n', {n}, 'bad', {bad}, "
+        f"'tested', false, 'gain', NULL, 'cut_n', NULL, 'cut_bad', NULL) AS {NODE})"
+    )
+
+
+def _with_choice(state: DataFrame, n_bins: int) -> DataFrame:
+    """Add ``chosen``, the node ids a best-first tree splits as far as nodes are tested,
+    and ``open``, the untested children of chosen nodes that may be cut."""
+    reachable = "(x.id = 1 OR array_contains({c}, x.id DIV 2))"
+    pick = (
+        "array_max(transform(filter(nodes, x -> x.gain IS NOT NULL AND NOT array_contains(c, x.id) AND "
+        f"{reachable.format(c='c')}), x -> struct(x.gain, -x.start_n AS low, x.id AS id))).id"
+    )
+    chosen = (
+        f"aggregate(sequence(1, {n_bins - 1}), CAST(array() AS array<bigint>), "
+        f"(c, i) -> concat(c, array_compact(array({pick}))))"
+    )
+    return state.withColumn("chosen", F.expr(chosen)).withColumn(
+        "open",
+        F.expr(
+            f"filter(nodes, x -> NOT x.tested AND {reachable.format(c='chosen')} "
+            "AND x.bad > 0 AND x.bad < x.n AND x.n >= 2 * min_leaf)"
+        ),
+    )
 
 
 def tree_leaves(cells: DataFrame, n_bins: int, min_share: float = config.WOE_MIN_BIN_SHARE) -> DataFrame:
     """Leaves of the best-first gini tree: (scope, feature, start_n, start_bad, leaf_n, leaf_bad).
 
-    ``start_n`` counts the rows below the leaf. Per round the open leaf with the
-    highest gain is split (ties: the lower leaf), until ``n_bins`` leaves exist
-    or no allowed cut is left. A pure leaf is never split. A (scope, feature) with
-    too few values or one class only has no leaves.
+    ``start_n`` counts the rows below the leaf. The open leaf with the highest gain is
+    split first (ties: the lower leaf), until ``n_bins`` leaves exist or no allowed cut
+    is left. A pure leaf is never split. A (scope, feature) with too few values or one
+    class only has no leaves.
+
+    The best cut of a node does not depend on the other nodes, so one pass tests all
+    nodes the tree may still need. Passes follow the depth of the tree, not the number
+    of its leaves. The state is one row of a few dozen nodes per (scope, feature).
     """
-    totals = cells.groupBy(*KEYS).agg(F.max("n_upto").alias("leaf_n"), F.max("bad_upto").alias("leaf_bad"))
-    roots = totals.filter(
-        (F.col("leaf_n") >= config.MIN_VALUES_TO_BIN) & F.col("leaf_bad").between(1, F.col("leaf_n") - 1)
-    )
-    no_cut = F.lit(None).cast("struct<gain:double,order:bigint,cut_n:bigint,cut_bad:bigint>")
-    leaves = checkpointed(
-        roots.select(
-            *KEYS,
-            F.lit(0).cast("long").alias("start_n"),
-            F.lit(0).cast("long").alias("start_bad"),
-            "leaf_n",
-            "leaf_bad",
-            F.ceil(F.lit(float(min_share)) * F.col("leaf_n")).alias("min_leaf"),
-            no_cut.alias("best"),
-            F.lit(True).alias("fresh"),
-        )
-    )
-    splittable = (
-        F.col("fresh")
-        & F.col("leaf_bad").between(1, F.col("leaf_n") - 1)
-        & (F.col("leaf_n") >= 2 * F.col("min_leaf"))
+    totals = cells.groupBy(*KEYS).agg(F.max("n_upto").alias("n"), F.max("bad_upto").alias("bad"))
+    roots = totals.filter((F.col("n") >= config.MIN_VALUES_TO_BIN) & F.col("bad").between(1, F.col("n") - 1))
+    state = roots.select(
+        *KEYS,
+        F.ceil(F.lit(float(min_share)) * F.col("n")).alias("min_leaf"),
+        F.expr(f"array({_node('1', '0', '0', 'n', 'bad')})").alias("nodes"),
     )
-    order = Window.partitionBy(*KEYS).orderBy(F.col("best.gain").desc_nulls_last(), "start_n")
-    for _ in range(n_bins - 1):
-        cuts = _best_cuts(cells, leaves.filter(splittable).drop("best", "fresh"))
-        known = leaves.withColumnRenamed("best", "known").join(cuts, [*KEYS, "start_n"], "left")
-        ranked = known.withColumn("best", F.coalesce("best", "known")).withColumn(
-            "chosen", (F.row_number().over(order) == 1) & F.col("best").isNotNull()
+    if n_bins > 1:
+        state = checkpointed(_with_choice(state, n_bins))
+        # A node is open at most once per pass, and at most two per split.
+        small = state.count() * 2 * (n_bins - 1) <= BROADCAST_ROWS
+        left = _node("x.id * 2", "x.start_n", "x.start_bad", "x.cut_n", "x.cut_bad")
+        right = _node(
+            "x.id * 2 + 1", "x.start_n + x.cut_n", "x.start_bad + x.cut_bad", "x.n - x.cut_n", "x.bad - x.cut_bad"
         )
-        same = F.struct("start_n", "start_bad", "leaf_n", "leaf_bad", "best", F.lit(False).alias("fresh"))
-        left = F.struct(
-            F.col("start_n"),
-            F.col("start_bad"),
-            F.col("best.cut_n").alias("leaf_n"),
-            F.col("best.cut_bad").alias("leaf_bad"),
-            no_cut.alias("best"),
-            F.lit(True).alias("fresh"),
+        tested = F.expr(
+            "transform(nodes, x -> IF(array_contains(transform(open, o -> o.id), x.id), struct(x.id, x.start_n, "
+            "x.start_bad, x.n, x.bad, true AS tested, cuts[x.id].gain AS gain, cuts[x.id].cut_n AS cut_n, "
+            "cuts[x.id].cut_bad AS cut_bad), x))"
         )
-        right = F.struct(
-            (F.col("start_n") + F.col("best.cut_n")).alias("start_n"),
-            (F.col("start_bad") + F.col("best.cut_bad")).alias("start_bad"),
-            (F.col("leaf_n") - F.col("best.cut_n")).alias("leaf_n"),
-            (F.col("leaf_bad") - F.col("best.cut_bad")).alias("leaf_bad"),
-            no_cut.alias("best"),
-            F.lit(True).alias("fresh"),
+        children = F.expr(
+            "flatten(transform(filter(nodes, x -> x.gain IS NOT NULL AND array_contains(transform(open, o -> o.id), "
+            f"x.id)), x -> array({left}, {right})))"
         )
-        children = F.when(F.col("chosen"), F.array(left, right)).otherwise(F.array(same))
-        leaves = checkpointed(ranked.select(*KEYS, "min_leaf", F.inline(children)))
-        if leaves.filter(splittable | F.col("best").isNotNull()).isEmpty():
-            break
-    return leaves.select(*KEYS, "start_n", "start_bad", "leaf_n", "leaf_bad")
+        while not (waiting := state.filter("size(open) > 0")).isEmpty():
+            open_nodes = waiting.select(*KEYS, "min_leaf", F.inline("open")).drop("tested", "gain", "cut_n", "cut_bad")
+            cuts = _best_cuts(cells, F.broadcast(open_nodes) if small else open_nodes)
+            by_key = cuts.groupBy(*KEYS).agg(F.map_from_entries(F.collect_list(F.struct("id", "best"))).alias("cuts"))
+            grown = (
+                state.join(by_key, KEYS, "left")
+                .withColumn("nodes", tested)
+                .select(*KEYS, "min_leaf", F.concat("nodes", children).alias("nodes"))
+            )
+            state = checkpointed(_with_choice(grown, n_bins))
+        leaves = "filter(nodes, x -> NOT array_contains(chosen, x.id) AND (x.id = 1 OR array_contains(chosen, x.id DIV 2)))"
+    else:
+        leaves = "nodes"
+    return state.select(*KEYS, F.expr(f"inline({leaves})")).select(
+        *KEYS, "start_n", "start_bad", F.col("n").alias("leaf_n"), F.col("bad").alias("leaf_bad")
+    )
 
 
 def leaf_stats(leaves: DataFrame) -> DataFrame:
