@@ -43,7 +43,7 @@ def binning_cells(
 
 def with_running_counts(cells: DataFrame, bucketed: bool) -> DataFrame:
     """Cells (scope, feature, value, n_upto, bad_upto), stored for the tree rounds."""
-    running = running_totals(cells, KEYS, "value", ["n", "bad"], bucketed, with_all=False)
+    running = running_totals(cells, KEYS, ["value"], ["n", "bad"], bucketed, with_all=False)
     return written(running.select(*KEYS, "value", "n_upto", "bad_upto"))
 
 

@@ -24,7 +24,7 @@ def score_table(
     valid = df.filter(F.col(target).isNotNull()).select(*keys, target, score)
     sums = {"n": F.count("*"), "pos": F.sum(F.col(target).cast("long"))}
     cells, bucketed = value_cells(valid, [score], list(keys), sums)
-    running = running_totals(cells, [*keys, "feature"], "value", ["n", "pos"], bucketed)
+    running = running_totals(cells, [*keys, "feature"], ["value"], ["n", "pos"], bucketed)
     return running.drop("feature")
 
 

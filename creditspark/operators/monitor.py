@@ -12,8 +12,8 @@ from .. import config
 from ..functions import texts
 from ..functions.scalars import is_missing, severity
 from ..plans.longform import TARGET, to_long
-from ..plans.ordered import rank_quantiles, running_totals, value_cells
-from ..plans.storage import checkpointed, written
+from ..plans.ordered import exact_quantiles
+from ..plans.storage import checkpointed
 from .metrics import ranking_metrics
 from .psi import bin_counts, psi_of, psi_two_samples
 
@@ -48,39 +48,21 @@ def baseline(
     head = missing_rates(df, features)
     rate = df.agg(F.avg(target).alias("bad_rate")).first().bad_rate
     if numeric:
-        cells, bucketed = value_cells(df.select(*numeric), numeric, [], {"n": F.count("*")})
-        running = written(running_totals(cells, ["feature"], "value", ["n"], bucketed))
-        weight = F.sum("n")
-        centre = running.groupBy("feature").agg(
-            (F.sum(F.col("value") * F.col("n")) / weight).alias("mean"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
-        # Squares around the mean, which a one-pass sum of squares would not keep accurate.
-        spread = running.join(F.broadcast(centre.select("feature", "mean")), "feature").groupBy("feature").agg(
-            F.sqrt(
-                F.try_divide(F.sum(F.col("n") * (F.col("value") - F.col("mean")) ** 2), F.sum("n") - 1)
-            ).alias("std")
+        long = to_long(df, numeric, [])
+        moments = long.groupBy("feature").agg(
+            F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
+            F.stddev_samp("value").alias("std"),
         )
         probs = [p / 100 for p in PERCENTILES] + [i / bins for i in range(1, bins)]
-        ranks = rank_quantiles(running, ["feature"], probs)
         names = F.array(*[F.lit(f"p{p}") for p in PERCENTILES])
-        shaped = ranks.select(
+        ranks = exact_quantiles(df, numeric, [], probs).select(
             "feature",
             F.element_at("edges", PERCENTILES.index(50) + 1).alias("median"),
             F.map_from_arrays(names, F.slice("edges", 1, len(PERCENTILES))).alias("percentiles"),
             F.slice("edges", len(PERCENTILES) + 1, bins - 1).alias("edges"),
         )
-        shaped = checkpointed(shaped)
-        # Cells already carry the counts: no second scan of the sample.
-        place = F.size(F.filter("edges", lambda edge: F.col("value") >= edge))
-        counted = (
-            running.join(F.broadcast(shaped.select("feature", "edges")), "feature")
-            .groupBy("feature")
-            .agg(*[F.coalesce(F.sum(F.when(place == i, F.col("n"))), F.lit(0)).alias(f"c{i}") for i in range(bins)])
-            .select("feature", F.array(*[F.col(f"c{i}") for i in range(bins)]).alias("counts"))
-        )
-        body = centre.join(spread, "feature").join(shaped, "feature").join(counted, "feature")
+        counted = bin_counts(long, ranks.select("feature", "edges"), [], [], bins)
+        body = moments.join(ranks, "feature").join(counted, "feature")
     else:
         body = spark.createDataFrame(
             [],

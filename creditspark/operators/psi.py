@@ -11,18 +11,15 @@ from .. import config
 from ..functions import texts
 from ..functions.scalars import floored
 from ..plans.longform import MONTH, ORG, to_long, varying_numeric_features
-from ..plans.ordered import rank_quantiles, running_totals, value_cells
+from ..plans.ordered import exact_quantiles
 from ..plans.storage import checkpointed, join_checked
 from .bands import psi_bands
 
 
 def base_edges(base: DataFrame, features: Sequence[str], keys: Sequence[str], bins: int) -> DataFrame:
-    """Inner quantile edges of the base sample per (keys, feature), exact at any size."""
-    cells, bucketed = value_cells(base.select(*keys, *features), features, keys, {"n": F.count("*")})
-    group = [*keys, "feature"]
-    running = running_totals(cells, group, "value", ["n"], bucketed)
+    """Stored inner quantile edges of the base sample per (keys, feature), exact at any size."""
     probs = [i / bins for i in range(1, bins)]
-    return rank_quantiles(running, group, probs).select(*group, "edges")
+    return exact_quantiles(base, features, keys, probs).select(*keys, "feature", "edges")
 
 
 def bin_counts(long: DataFrame, edges: DataFrame, keys: Sequence[str], by: Sequence[str], bins: int) -> DataFrame:
@@ -62,7 +59,7 @@ def psi_two_samples(
     base: DataFrame, current: DataFrame, features: Sequence[str], bins: int = config.PSI_BINS
 ) -> DataFrame:
     """(feature, psi) of two samples for all features in one job."""
-    edges = checkpointed(base_edges(base, features, [], bins))
+    edges = base_edges(base, features, [], bins)
     sides = to_long(base, features, []).withColumn("side", F.lit("base")).unionByName(
         to_long(current, features, []).withColumn("side", F.lit("current"))
     )
@@ -98,7 +95,7 @@ def psi_by_org(
     )
     firsts = sizes.filter("period = first").select("org", "period", F.col("rows").alias("base_rows"))
     base = join_checked(sample, firsts.select("org", "period"), ["org", "period"], "left_semi")
-    edges = checkpointed(base_edges(base, features, ["org"], bins))
+    edges = base_edges(base, features, ["org"], bins)
     counts = bin_counts(to_long(sample, features, ["org", "period"]), edges, ["org"], ["org", "period"], bins)
 
     names = F.explode(F.array(*[F.lit(f) for f in features])).alias("feature")

@@ -11,16 +11,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .longform import clean_double
+from .longform import clean_double, to_long
 from .storage import checkpointed, join_checked, written
 
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 10_000
+SKETCH_ACCURACY = 10_000
 BUCKET = "bucket"
 
 
@@ -90,7 +92,7 @@ def value_cells(
 def running_totals(
     cells: DataFrame,
     keys: Sequence[str],
-    order: str,
+    order: Sequence[str],
     sums: Sequence[str],
     bucketed: bool,
     with_all: bool = True,
@@ -99,7 +101,7 @@ def running_totals(
     rows = (Window.unboundedPreceding, Window.currentRow)
     if not bucketed:
         by_key = Window.partitionBy(*keys)
-        running = by_key.orderBy(order).rowsBetween(*rows)
+        running = by_key.orderBy(*order).rowsBetween(*rows)
         return cells.select(
             "*",
             *[F.sum(s).over(running).alias(f"{s}_upto") for s in sums],
@@ -116,7 +118,7 @@ def running_totals(
         *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"{s}_before") for s in sums],
         *[F.sum(s).over(by_key).alias(f"{s}_all") for s in sums],
     )
-    inside = Window.partitionBy(*keys, BUCKET).orderBy(order).rowsBetween(*rows)
+    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(*rows)
     local = cells.select("*", *[F.sum(s).over(inside).alias(f"{s}_in") for s in sums])
     return local.join(offsets, [*keys, BUCKET]).select(
         *[c for c in cells.columns if c != BUCKET],
@@ -153,6 +155,56 @@ def rank_quantiles(running: DataFrame, keys: Sequence[str], probs: Sequence[floa
     return found.select(*keys, "n_all", F.array(*edges).alias("edges"))
 
 
+def _bracketed_cells(df: DataFrame, features: Sequence[str], keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Value cells near the wanted quantiles, and one cell for everything between two of them.
+
+    A sketch (combined map-side, bounded size) brackets each quantile. Only values
+    inside a bracket keep a cell of their own, so the shuffle carries a few
+    thousandths of the values. ``bucket`` numbers the brackets, ``gap`` marks the
+    summed cells; the order (bucket, value, gap) is the order of the values.
+    """
+    group, m = [*keys, "feature"], len(probs)
+    margin = 2 / SKETCH_ACCURACY
+    marks = [max(0.0, q - margin) for q in probs] + [min(1.0, q + margin) for q in probs]
+    long = to_long(df.select(*keys, *features), features, keys)
+    sketch = checkpointed(
+        long.groupBy(*group).agg(F.percentile_approx("value", marks, SKETCH_ACCURACY).alias("marks"))
+    )
+    value = F.col("value")
+    lows = [F.element_at("marks", i + 1) for i in range(m)]
+    highs = [F.element_at("marks", m + i + 1) for i in range(m)]
+    inside = reduce(Column.__or__, [value.between(low, high) for low, high in zip(lows, highs)])
+    # Highest bracket end below the value; -inf below all brackets.
+    floor = F.greatest(F.lit(-math.inf), *[F.when(high < value, high) for high in highs])
+    bucket = reduce(Column.__add__, [(value >= low).cast("int") for low in lows])
+    return (
+        join_checked(long, sketch, group)
+        .select(*group, bucket.alias(BUCKET), F.when(inside, value).otherwise(floor).alias("value"), (~inside).alias("gap"))
+        .groupBy(*group, BUCKET, "value", "gap")
+        .agg(F.count("*").alias("n"))
+    )
+
+
+def exact_quantiles(df: DataFrame, features: Sequence[str], keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Stored (keys..., feature, n_all, edges): exact interpolated quantiles of all features.
+
+    A table of one bucket sorts its value cells. A larger one sorts only the values
+    that a sketch places near a quantile, and falls back to all values if a wanted
+    rank should lie outside its bracket.
+    """
+    group = [*keys, "feature"]
+    rows = df.count()
+    if bucket_count(df.sparkSession, rows) > 1:
+        cells = _bracketed_cells(df, features, keys, probs)
+        running = running_totals(cells, group, ["value", "gap"], ["n"], True)
+        found = checkpointed(rank_quantiles(running.withColumn("value", F.when(~F.col("gap"), F.col("value"))), group, probs))
+        if found.filter(F.exists("edges", lambda edge: edge.isNull())).isEmpty():
+            return found
+    cells, bucketed = value_cells(df.select(*keys, *features), features, keys, {"n": F.count("*")}, rows)
+    running = running_totals(cells, group, ["value"], ["n"], bucketed)
+    return checkpointed(rank_quantiles(running, group, probs))
+
+
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_number") -> DataFrame:
     """1-based position of every row inside its key, in the given order.
 
