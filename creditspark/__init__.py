@@ -15,7 +15,9 @@ from .operators.monitor import (
     monitor_model, save_baseline,
 )
 from .operators.psi import filter_psi, psi_by_org, psi_categorical, psi_drops, psi_org_summary, psi_two_samples
-from .operators.report import model_report, step_summary, write_evaluation, write_monitoring, write_step_report
+from .operators.report import (
+    model_report, step_summary, training_report, write_evaluation, write_monitoring, write_step_report,
+)
 from .operators.sample import (
     abnormal_months, drop_months, filter_abnormal_months, month_gaps, org_month_stats, org_outliers, org_summary,
     sample_gates,

@@ -148,15 +148,18 @@ def filter_correlation(
 def variance_inflation(
     df: DataFrame, features: Sequence[str], threshold: float = config.VIF_THRESHOLD
 ) -> DataFrame:
-    """(feature, vif, high): diagonal of the inverse correlation matrix, whose size
-    is the number of features."""
+    """(feature, vif, high): diagonal of the inverse correlation matrix, whose size is
+    the number of features. A feature that others determine has an infinite value."""
     names = list(features)
     place = {f: i for i, f in enumerate(names)}
     matrix = np.eye(len(names))
     for row in correlation_pairs(df, names).collect():
         i, j = place[row.feature_1], place[row.feature_2]
         matrix[i, j] = matrix[j, i] = 0.0 if row.r is None else row.r
-    factors = np.diag(np.linalg.pinv(matrix))
+    sizes, vectors = np.linalg.eigh(matrix)
+    lost = sizes < 1e-8
+    factors = (vectors[:, ~lost] ** 2 / sizes[~lost]).sum(axis=1)
+    factors[(vectors[:, lost] ** 2 > 1e-8).any(axis=1)] = np.inf
     rows = [
         F.struct(F.lit(f).alias("feature"), F.lit(float(v)).alias("vif"), F.lit(bool(v > threshold)).alias("high"))
         for f, v in zip(names, factors)

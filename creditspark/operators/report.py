@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
+from ..plans.storage import written
 from ..sources.sinks import stamped, with_report_headers, write_json
+from .metrics import evaluate, pass_flags, segment_stability
 from .monitor import alert_summary
 
 # Report step names in order, with what each step removes and its condition.
@@ -87,6 +89,17 @@ def write_evaluation(record: DataFrame, lift: DataFrame, folder: str, segments:
         write_json(segments, f"{folder}/segments")
 
 
+def training_report(model, df: DataFrame, model_name: str = "model") -> dict[str, DataFrame]:
+    """Metrics with pass flags, lift, feature importance (if the model has one) and
+    per-organisation stability of a fitted model on held-out rows."""
+    scored = written(model.predict(df))
+    record, lift = evaluate(scored, model_name)
+    tables = {"metrics": pass_flags(record), "lift": lift, "segments": segment_stability(scored)}
+    if hasattr(model, "importance"):
+        tables["importance"] = model.importance()
+    return tables
+
+
 def write_monitoring(comparison: DataFrame, model: DataFrame, features: DataFrame, folder: str) -> None:
     write_json(stamped(comparison), f"{folder}/model")
     write_json(model, f"{folder}/model_alerts")

@@ -60,6 +60,8 @@ def test_vif(spark):
     found = {r.feature: r for r in cs.variance_inflation(df, list("abc")).collect()}
     assert [found[f].vif for f in "abc"] == pytest.approx(list(expected))
     assert [found[f].high for f in "abc"] == [True, False, True]
+    same = cs.variance_inflation(df.selectExpr("a", "b", "a + b AS s", "c - a AS d"), ["a", "b", "s", "d"]).collect()
+    assert [r.vif == float("inf") for r in same] == [True, True, True, False]
 
 
 def sample(spark):

@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
 # Fitted models, driver-side walks and reports.
 WITHOUT_SQL = {
-    "corr_drop", "vif", "scorecard_fit", "scorecard_points", "tree_fit", "tree_importance", "cv_report", "search_report",
+    "cv_summary", "tree_segments", "scorecard_fit", "scorecard_points", "tree_fit", "tree_importance", "cv_report", "search_report",
     "null_importance", "feature_selection", "selection_report",
 }
 

@@ -138,6 +138,15 @@ def band_sql(values: str, limits, oos: str, labels=None, closed=None) -> str:
     )
 
 
+# --- correlation -------------------------------------------------------------
+
+PAIRS = " UNION ALL ".join(
+    f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, corr({a}, {b}) AS r FROM s"
+    for i, a in enumerate(NUMERIC)
+    for b in NUMERIC[i + 1 :]
+)
+LIST = "[" + ", ".join(f"'{f}'" for f in NUMERIC) + "]"
+
 # --- stability ---------------------------------------------------------------
 
 PROBS = "[0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]"
@@ -521,13 +530,41 @@ ORACLES = {
                          count(*) FILTER (WHERE scope <> '{OVERALL}' AND iv < 0.02) AS orgs FROM iv GROUP BY feature)
             WHERE overall < 0.02 OR orgs >= 2"""
     ),
-    "corr_pairs": cte(
-        " UNION ALL ".join(
-            f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, round(corr({a}, {b}), 6) AS r FROM s"
-            for i, a in enumerate(NUMERIC) for b in NUMERIC[i + 1:]
-        ),
-        s=SAMPLE,
+    "corr_pairs": cte("SELECT feature_1, feature_2, round(r, 6) AS r FROM pairs", s=SAMPLE, pairs=PAIRS),
+    "corr_high_pairs": cte(
+        "SELECT feature_1, feature_2, round_even(abs(r), 4) AS r FROM pairs WHERE abs(r) > 0.5", s=SAMPLE, pairs=PAIRS
+    ),
+    "corr_drop": cte(
+        """SELECT unnest(gone) AS feature, unnest(why) AS reason
+           FROM (WITH RECURSIVE walk AS (
+                     SELECT 0 AS i, []::VARCHAR[] AS gone, []::VARCHAR[] AS why
+                     UNION ALL
+                     SELECT i + 1,
+                            CASE WHEN skip THEN gone ELSE list_append(gone, CASE WHEN iv1 <= iv2 THEN f1 ELSE f2 END) END,
+                            CASE WHEN skip THEN why ELSE list_append(why, printf('与%s相关系数=%.4f>0.8，IV较低(%.4f<%.4f)',
+                                CASE WHEN iv1 <= iv2 THEN f2 ELSE f1 END, r, least(iv1, iv2), greatest(iv1, iv2))) END
+                     FROM (SELECT *, list_contains(gone, f1) OR list_contains(gone, f2) AS skip
+                           FROM walk JOIN ranked ON place = i + 1))
+                 SELECT gone, why FROM walk ORDER BY i DESC LIMIT 1)""",
+        **IV_TABLES,
+        pairs=PAIRS,
+        ranked=f"""
+            SELECT row_number() OVER (ORDER BY list_position({LIST}, feature_2), list_position({LIST}, feature_1)) AS place,
+                   feature_1 AS f1, feature_2 AS f2, round_even(abs(r), 4) AS r, x.iv AS iv1, y.iv AS iv2
+            FROM pairs JOIN iv x ON x.feature = feature_1 AND x.scope = '{OVERALL}'
+                       JOIN iv y ON y.feature = feature_2 AND y.scope = '{OVERALL}' WHERE abs(r) > 0.8""",
     ),
+    "vif": f"""
+        SELECT feature, round(v, 6) AS vif, v > 5 AS high FROM (
+            SELECT unnest(['quantity', 'discount', 'price']) AS feature,
+                   unnest([(1 - c * c) / det, (1 - b * b) / det, (1 - a * a) / det]) AS v
+            FROM (SELECT *, 1 + 2 * a * b * c - a * a - b * b - c * c AS det
+                  FROM (SELECT corr(quantity, discount) AS a, corr(quantity, price) AS b, corr(discount, price) AS c
+                        FROM ({SAMPLE}))))""",
+    "missing_wide": f"""
+        SELECT feature, max(missing_rate) FILTER (WHERE scope = '{OVERALL}') AS overall, """
+    + ", ".join(f"max(missing_rate) FILTER (WHERE scope = 'org{i}') AS org{i}" for i in range(8))
+    + f""" FROM ({missing_of(f"SELECT new_org AS org, * FROM ({SAMPLE})", fx.FEATURES)}) GROUP BY feature""",
     "time_split": f"""
         SELECT split, new_date, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys, sum(quantity) AS quantity
         FROM ({split_rows(True)}) GROUP BY ALL""",

@@ -168,6 +168,12 @@ def missing_detail(spark, sf_dir):
     return cs.missing_detail(roles, features=[*fx.FEATURES, "const"])
 
 
+@query
+def missing_wide(spark, sf_dir):
+    detail = cs.missing_detail(fx.sample(spark, sf_dir), features=fx.FEATURES)
+    return cs.wide_by_scope(detail, "missing_rate", [f"org{i}" for i in range(8)])
+
+
 @query
 def missing_drop(spark, sf_dir):
     return cs.missing_drops(cs.missing_detail(fx.sample(spark, sf_dir), features=fx.FEATURES), 0.25, 6)
@@ -293,6 +299,12 @@ def corr_pairs_matrix(spark, sf_dir):
     return rounded(correlation._pairs_by_matrix(wide, list(fx.NUMERIC)))
 
 
+@query
+def corr_high_pairs(spark, sf_dir):
+    pairs = cs.correlation_pairs(fx.sample(spark, sf_dir, *fx.NUMERIC), fx.NUMERIC)
+    return correlation.high_pairs(pairs, 0.5)
+
+
 @query
 def corr_drop(spark, sf_dir):
     return cs.correlation_drops(stored_sample(spark, sf_dir, *fx.NUMERIC), fx.NUMERIC)[1]
@@ -300,7 +312,7 @@ def corr_drop(spark, sf_dir):
 
 @query
 def vif(spark, sf_dir):
-    names = ["quantity", "discount", "tax", "price"]
+    names = ["quantity", "discount", "price"]
     return rounded(cs.variance_inflation(fx.sample(spark, sf_dir, *names), names))
 
 
@@ -446,6 +458,12 @@ def tree_fit(spark, sf_dir):
     return cs.evaluate(model.predict(test), "lgb")[0]
 
 
+@query
+def tree_segments(spark, sf_dir):
+    train, val, _ = _train_val_test(spark, sf_dir, *TREE_FEATURES)
+    return cs.training_report(cs.train_tree(train, TREE_FEATURES, model_type="xgb", params=FEW_TREES), val)["segments"]
+
+
 @query
 def tree_importance(spark, sf_dir):
     model = cs.train_tree(stored_sample(spark, sf_dir, *TREE_FEATURES), TREE_FEATURES, model_type="xgb", params=FEW_TREES)
@@ -458,6 +476,13 @@ def cv_report(spark, sf_dir):
     return cs.cross_validate(written(df), TREE_FEATURES, folds=3, params=FEW_TREES, tiebreak=TIEBREAK)
 
 
+@query
+def cv_summary(spark, sf_dir):
+    df = fx.sample(spark, sf_dir, *TREE_FEATURES)
+    folds = cs.cross_validate(written(df), TREE_FEATURES, folds=3, params=FEW_TREES, tiebreak=TIEBREAK, mode="forward")
+    return rounded(cs.cv_summary(folds), 3)
+
+
 @query
 def search_report(spark, sf_dir):
     train, val, _ = _train_val_test(spark, sf_dir, *TREE_FEATURES)
