@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry_module
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 from . import compare
 
@@ -23,14 +25,16 @@ def connection():
 
 
 def test_registration():
-    assert set(entry_module.oracle_sql()) | WITHOUT_SQL == set(entry_module.queries())
+    assert set(ORACLES) | WITHOUT_SQL == set(QUERIES)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, connection, name):
-    result = entry_module.queries()[name](spark, FOLDER)
-    assert compare.differences(result, connection, entry_module.oracle_sql()[name]) is None
+    result = QUERIES[name](spark, FOLDER)
+    assert compare.differences(result, connection, ORACLES[name]) is None
