@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textcodes as tc
-from .tables import Scratch, join_small
+from .tables import Scratch, back_to, join_small
 
 WINDOW = 13
 SHINGLE = 5
@@ -188,4 +188,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch | None
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without its contaminated rows."""
     bad = contamination(docs, benchmark).where("contaminated").select("_row")
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(bad, "_row", "left_anti").select(docs.columns)
+    return back_to(docs, bad, "left_anti").select(docs.columns)

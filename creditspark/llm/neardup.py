@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import textcodes as tc
 from .components import connected
-from .tables import Scratch
+from .tables import Scratch, back_to
 
 SHINGLE = 5
 CHUNKS = 8
@@ -247,4 +247,4 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near duplicates."""
     gone = near_duplicates(docs).where("not kept").select("_row")
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(gone, "_row", "left_anti").select(docs.columns)
+    return back_to(docs, gone, "left_anti").select(docs.columns)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, neardup, packing
+from . import credentials, decontam, language, neardup, packing, pii, quality, sharding, toxicity
+from .spans import joined
 
 QUERIES = {}
 
@@ -31,6 +32,43 @@ def op1_pack(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def _counted(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Digest columns of a span operator: counts and hash of the strict spans, all spans as text."""
+    strict = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(strict, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in kinds]
+    return found.select(
+        "doc_id", *counts, F.sha2(joined(strict).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
+    )
+
+
+@query
+def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return _counted(pii.personal_data(table(spark, folder, "documents")), pii.STRICT)
+
+
+@query
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return _counted(credentials.secrets(table(spark, folder, "documents")), credentials.STRICT)
+
+
+@query
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judged(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.array_join("failed", ",").alias("failed"),
+    )
+
+
+@query
+def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shards(table(spark, folder, "documents")).drop("_row")
+
+
 @query
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, folder, "documents"))
@@ -46,3 +84,13 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.severity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages(table(spark, folder, "documents"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.storage import checkpoint_folder
@@ -60,6 +60,11 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str, row_bytes: int) -
     return big.join(F.broadcast(small) if fits else small, on, how)
 
 
-def with_row(docs: DataFrame, *columns: str | Column, row: str = "_row") -> DataFrame:
-    """Chosen columns and a row number, the same whenever the same files are scanned."""
-    return docs.select(F.monotonically_increasing_id().alias(row), *columns)
+ROW = "__llm_row"
+
+
+def back_to(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """Join rows of ``docs`` (a table scan, so that a row keeps its number) with ``found`` by its
+    ``_row``; other columns of ``found`` come in with the prefix ``__llm_``."""
+    renamed = found.select(*[F.col(c).alias(f"__llm{c}" if c == "_row" else f"__llm_{c}") for c in found.columns])
+    return docs.withColumn(ROW, F.monotonically_increasing_id()).join(renamed, ROW, how)
