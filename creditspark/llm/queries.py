@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import credentials, decontam, language, neardup, packing, pii, quality, sharding, toxicity
+from . import credentials, decontam, language, neardup, packing, passages, pii, quality, sharding, toxicity
 from .spans import joined
 
 QUERIES = {}
@@ -94,3 +94,11 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.languages(table(spark, folder, "documents"))
+
+
+@query
+def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = passages.without_repeats(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
