@@ -11,7 +11,7 @@ chunk so with probability 1 - 2e-5.
 Not every pair of a bucket is needed to know the connected groups. Members of a bucket
 are first compared with two members picked by the key, the found links are contracted,
 and only members outside of their bucket's main group are then compared with all other
-groups in it. Links are confirmed on the full sets; equal sets are one node.
+groups in it, by a longer signature before the texts. Links are confirmed on the full sets; equal sets are one node.
 
 Texts with fewer than five words have the whole word sequence as their one shingle. Null,
 empty and word-less texts have no shingle and are linked with nothing. Repeated rows are
@@ -21,6 +21,7 @@ others; ``component_id`` is the smallest id that is not null. An empty table giv
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -38,11 +39,21 @@ VALUES = 4  # of 16 bits, per chunk: one long
 # Pairs within this signature distance are confirmed; at similarity 0.75 all but 3e-5 are.
 DISTANCE = 18
 PERCENT = 75
+# A longer signature for pairs within large buckets: 512 values of 4 bits, in 32 longs. At
+# similarity 0.75, 120 values differ on average, and more than 161 with probability 1e-5.
+FINE_PARTS = 32
+FINE_VALUES = 16
+FINE_DISTANCE = 161
+# Pairs per block of the exact comparison, on average.
+BLOCK_PAIRS = 5000
 
 _rng = np.random.default_rng(20240607)
 _MULTIPLY = _rng.integers(0, 1 << 63, CHUNKS * VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, CHUNKS * VALUES, np.uint64)
+_FINE_MULTIPLY = _rng.integers(0, 1 << 63, FINE_PARTS * FINE_VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
+_FINE_ADD = _rng.integers(0, 1 << 63, FINE_PARTS * FINE_VALUES, np.uint64)
 _PARTS = [f"s{i}" for i in range(CHUNKS)]
+_FINE = [f"f{i}" for i in range(FINE_PARTS)]
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> list[np.ndarray]:
@@ -91,74 +102,116 @@ def _signatures(batches):
         )
 
 
-def _same_values(a: Column, b: Column) -> list[Column]:
-    """For each of the four 16-bit values of two longs: 1 if equal, else 0."""
-    x = a.bitwiseXOR(b)
-    lanes = [0xFFFF << (16 * i) for i in range(3)]
-    masks = [F.lit(m) for m in lanes] + [F.lit(-(1 << 48))]
-    return [(x.bitwiseAND(m) == 0).cast("int") for m in masks]
+def _signed(mask: int) -> Column:
+    return F.lit(mask - (1 << 64) if mask >> 63 else mask)
 
 
 def _distance(a: str, b: str) -> Column:
-    same = [v for p in _PARTS for v in _same_values(F.col(f"{a}.{p}"), F.col(f"{b}.{p}"))]
-    return F.lit(CHUNKS * VALUES) - reduce(lambda x, y: x + y, same)
+    """Differing values of two signatures."""
+    terms = []
+    for p in _PARTS:
+        x = F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))
+        terms += [(x.bitwiseAND(_signed(0xFFFF << (16 * v))) != 0).cast("int") for v in range(VALUES)]
+    return reduce(lambda x, y: x + y, terms)
+
+
+def _fine_distance(a: str, b: str) -> Column:
+    """Differing values of two longer signatures: any of four bits, gathered in the lowest."""
+    terms = []
+    for p in _FINE:
+        x = F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))
+        any_bit = reduce(lambda y, i: y.bitwiseOR(F.shiftrightunsigned(x, i)), (1, 2, 3), x)
+        terms.append(F.bit_count(any_bit.bitwiseAND(_signed(0x1111111111111111))))
+    return reduce(lambda x, y: x + y, terms)
+
+
+def _alike_sizes(a: str, b: str, percent: int) -> Column:
+    """Sets whose sizes differ too much cannot be similar enough."""
+    a, b = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
+    return (100 * a >= percent * b) & (100 * b >= percent * a)
+
+
+def _mask(v: int) -> Column:
+    """All values of a chunk but the ``v``-th."""
+    return _signed(((1 << 64) - 1) ^ (0xFFFF << (16 * v)))
 
 
 def _first_key(a: str, b: str) -> Column:
     """The first key that two signatures share; a pair is taken there only."""
-    result = F.lit(-1)
-    for c in reversed(range(CHUNKS)):
-        same = _same_values(F.col(f"{a}.{_PARTS[c]}"), F.col(f"{b}.{_PARTS[c]}"))
-        for v in reversed(range(VALUES)):
-            others = reduce(lambda x, y: x + y, [s for i, s in enumerate(same) if i != v])
-            result = F.when(others == VALUES - 1, c * VALUES + v).otherwise(result)
-    return result
+    shared = []
+    for c, p in enumerate(_PARTS):
+        x = F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))
+        shared += [F.when(x.bitwiseAND(_mask(v)) == 0, c * VALUES + v) for v in range(VALUES)]
+    return F.coalesce(*shared)
 
 
 def _keys(nodes: DataFrame) -> DataFrame:
     """(key, code, node): each chunk with each one value left out."""
-    masks = [~(0xFFFF << (16 * v)) if v < 3 else (1 << 48) - 1 for v in range(VALUES)]
     filed = F.array(*[
-        F.struct(F.lit(c * VALUES + v).alias("key"), F.col(_PARTS[c]).bitwiseAND(F.lit(masks[v])).alias("code"))
+        F.struct(F.lit(c * VALUES + v).alias("key"), F.col(_PARTS[c]).bitwiseAND(_mask(v)).alias("code"))
         for c in range(CHUNKS) for v in range(VALUES)
     ])
     return nodes.select("node", F.explode(filed).alias("k")).select("k.key", "k.code", "node")
 
 
+def _fine(batches):
+    """Longer signatures of few bits for the members of shared buckets."""
+    for batch in batches:
+        data, offsets = tc.text_bytes(batch.column("text"))
+        sizes = np.zeros(len(batch), np.int64)
+        parts = np.zeros((FINE_PARTS, len(batch)), np.uint64)
+        for i, j in tc.row_blocks(offsets, 1 << 20):
+            sets = shingle_sets(data, offsets[i : j + 1])
+            sizes[i:j] = [len(x) for x in sets]
+            codes = np.concatenate(sets)
+            starts = np.concatenate([[0], np.cumsum(sizes[i:j])[:-1]])
+            for k in range(FINE_PARTS * FINE_VALUES):
+                least = np.minimum.reduceat(codes * _FINE_MULTIPLY[k] + _FINE_ADD[k], starts)
+                parts[k // FINE_VALUES, i:j] |= (tc.mix(least) & np.uint64(15)) << np.uint64(4 * (k % FINE_VALUES))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), batch.column("text"), pa.array(sizes), *(pa.array(x.view(np.int64)) for x in parts)],
+            ["node", "text", "n_shingles", *_FINE],
+        )
+
+
 def _confirm(percent: int):
-    def linked(batches):
-        kept: dict[int, np.ndarray] = {}
-        for batch in batches:
-            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-            sets = {}
-            for name in ("a", "b"):
-                data, offsets = tc.text_bytes(batch.column(f"text_{name}"))
-                ids = batch.column(name).to_numpy()
-                new, where = np.unique(ids, return_index=True)
-                got = {}
-                for node, at in zip(new, where):
-                    known = kept.get(node) if name == "a" else sets["a"].get(node)
-                    got[node] = shingle_sets(data, offsets[at : at + 2])[0] if known is None else known
-                sets[name] = got
-            kept = {a[-1]: sets["a"][a[-1]]} if len(a) else kept
-            good = np.zeros(len(a), bool)
-            for i in range(len(a)):
-                x, y = sets["a"][a[i]], sets["b"][b[i]]
-                if len(x) > len(y):
-                    x, y = y, x
-                near = np.minimum(np.searchsorted(y, x), max(len(y) - 1, 0))
-                both = int((y[near] == x).sum()) if len(y) else 0
+    def linked(pairs: pa.Table, texts: pa.Table) -> pa.Table:
+        """Pairs of a block whose sets are similar enough; ``texts`` has all texts the block needs."""
+        node = texts.column("node").to_numpy()
+        sets = {}
+        data, offsets = tc.text_bytes(texts.column("text"))
+        for i, j in tc.row_blocks(offsets, 1 << 20):
+            sets.update(zip(node[i:j].tolist(), shingle_sets(data, offsets[i : j + 1])))
+        a, b = pairs.column("a").to_numpy(), pairs.column("b").to_numpy()
+        good = np.zeros(len(a), bool)
+        for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+            x, y = sets[x], sets[y]
+            if len(x) > len(y):
+                x, y = y, x
+            if len(x):
+                near = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                both = int((y[near] == x).sum())
                 good[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], ["a", "b"])
+        return pa.table({"a": a[good], "b": b[good]})
 
     return linked
 
 
-def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    left = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    both = left.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(percent), "a long, b long")
+def _links(pairs: DataFrame, texts: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough.
+
+    Pairs are dealt to a square of blocks by hashes of both ends, so a block has a bounded
+    number of pairs however many one node has, and a text goes once to each block that needs it.
+    """
+    pairs = scratch.write(pairs, f"{name}-pairs")
+    side = math.ceil(math.sqrt(max(1, pairs.count() / BLOCK_PAIRS)))
+    block = F.pmod(F.xxhash64("a"), F.lit(side)) * side + F.pmod(F.xxhash64("b"), F.lit(side))
+    dealt = pairs.select(block.alias("block"), "a", "b")
+    again = scratch.read(f"{name}-pairs", pairs)  # the same table under columns of its own, for the cogroup
+    needed = again.select(block.alias("block"), F.explode(F.array("a", "b")).alias("node")).distinct()
+    held = needed.join(texts.select("node", "text"), "node").select("block", "node", "text")
+    found = dealt.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(_confirm(percent), "a long, b long")
+    return scratch.write(found, name)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch | None = None) -> DataFrame:
@@ -176,12 +229,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
         F.min("_row").alias("node"), *[F.max(p).alias(p) for p in _PARTS]
     )
     sets = scratch.write(sets, "sets")
-    nodes = sets.select("node", *_PARTS)
+    nodes = sets.select("node", "n_shingles", *_PARTS)
 
     # Buckets of two nodes or more, with two members picked in an order of the key's own.
     keys = _keys(nodes)
-    salted = F.col("node").bitwiseXOR(F.shiftrightunsigned(F.xxhash64("key", "code"), 1))
     salt = F.shiftrightunsigned(F.xxhash64("key", "code"), 1)
+    salted = F.col("node").bitwiseXOR(salt)
     shared = (
         keys.groupBy("key", "code")
         .agg(F.count(F.lit(1)).alias("members"), F.min(salted).alias("lo"), F.max(salted).alias("hi"))
@@ -189,12 +242,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
         .select("key", "code", F.col("lo").bitwiseXOR(salt).alias("lo"), F.col("hi").bitwiseXOR(salt).alias("hi"))
     )
     filed = scratch.write(keys.join(shared, ["key", "code"]), "filed")
+    members = filed.select("node").distinct()
+    texts = rows.select(F.col("_row").alias("node"), "text").join(members, "node", "left_semi")
+    texts = scratch.write(
+        texts.mapInArrow(_fine, "node long, text string, n_shingles long, " + ", ".join(f"{f} long" for f in _FINE)), "texts"
+    )
 
-    wide = nodes.select("node", F.struct(*_PARTS).alias("s"))
+    wide = nodes.select("node", F.struct("n_shingles", *_PARTS).alias("s"))
     first = filed.select("node", F.explode(F.array("lo", "hi")).alias("other")).where("node <> other").distinct()
     first = (
         first.join(wide.select("node", F.col("s").alias("l")), "node")
         .join(wide.select(F.col("node").alias("other"), F.col("s").alias("r")), "other")
+        .where(_alike_sizes("l", "r", percent))
         .withColumn("distance", _distance("l", "r"))
         .where(F.col("distance") <= DISTANCE)
     )
@@ -203,10 +262,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
         first.withColumn("rank", F.row_number().over(nearest)).where("rank <= 2")
         .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     )
-    members = filed.select("node").distinct()
-    texts = rows.select(F.col("_row").alias("node"), "text").join(members, "node", "left_semi")
-    texts = scratch.write(texts, "texts")
-    links = scratch.write(_links(first, texts, percent), "links")
+    links = _links(first, texts, percent, scratch, "links")
     group = connected(links, scratch, "first")
 
     # Members outside their bucket's largest group against every other group of the bucket.
@@ -214,18 +270,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
     named = scratch.write(named, "named")
     sizes = named.groupBy("key", "code", "group").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("key", "code").agg(F.count(F.lit(1)).alias("groups"), F.max_by("group", "n").alias("main")).where("groups > 1")
-    mixed = named.join(main.select("key", "code", "main"), ["key", "code"]).join(wide, "node")
+    signature = nodes.select("node", *_PARTS).join(texts.drop("text"), "node")
+    mixed = named.join(main.select("key", "code", "main"), ["key", "code"]).join(signature, "node")
     mixed = scratch.write(mixed, "mixed")
-    left = mixed.where("`group` <> main").select("key", "code", F.struct("node", "group", "s.*").alias("l"))
-    right = mixed.select("key", "code", F.struct("node", "group", "s.*", (F.col("group") == F.col("main")).alias("inside")).alias("r"))
+    carried = ("node", "group", "n_shingles", *_PARTS, *_FINE)
+    left = mixed.where("`group` <> main").select("key", "code", F.struct(*carried).alias("l"))
+    right = mixed.select("key", "code", F.struct(*carried, (F.col("group") == F.col("main")).alias("inside")).alias("r"))
     rest = left.join(right, ["key", "code"]).where(
         (F.col("l.group") != F.col("r.group"))
         & (F.col("r.inside") | (F.col("l.node") < F.col("r.node")))
-        & (_distance("l", "r") <= DISTANCE)
+        & _alike_sizes("l", "r", percent)
         & (_first_key("l", "r") == F.col("key"))
+        & (_fine_distance("l", "r") <= FINE_DISTANCE)
     )
     rest = rest.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
-    more = scratch.write(_links(rest, texts, percent), "more")
+    more = _links(rest, texts, percent, scratch, "more")
     group = connected(links.union(more), scratch, "last")
 
     # Back to rows: nodes stand for all rows of their set, groups take their smallest doc_id.
