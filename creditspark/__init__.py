@@ -33,4 +33,4 @@ from .operators.woe import WoeBins, fit_woe, woe_transform
 from .plans.longform import features_of, numeric_features, present, text_features, varying_numeric_features
 from .plans.storage import release
 from .sources.load import clean_sample, dedupe_first, load_sample, null_sentinels, read_feature_list, read_table
-from .sources.sinks import stamped, with_report_headers, write_csv, write_json, write_parquet
+from .sources.sinks import stamped, with_report_headers, write_csv, write_feature_list, write_json, write_parquet

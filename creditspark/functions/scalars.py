@@ -13,7 +13,7 @@ from .. import config
 
 def is_missing(column: str, data_type: T.DataType, sentinels: Sequence[float]) -> Column:
     """Null, NaN or (for numbers) one of the sentinel values."""
-    value = F.col(f"`{column}`")
+    value = F.col("`" + column.replace("`", "``") + "`")
     missing = value.isNull()
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         missing = missing | F.isnan(value)

@@ -2,8 +2,8 @@
 
 A leaf is an interval of a feature's sorted values. With running counts on the
 value cells, the counts left of any cut follow by subtraction, so each round is
-one narrow pass over the stored cells joined to the few open leaves: nothing is
-sorted or shuffled again.
+two narrow hash aggregations over the stored cells joined to the few open leaves:
+no cell is sorted or shuffled again.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.scalars import floored, woe_of
-from ..plans.longform import ORG, OVERALL, TARGET
+from ..plans.longform import ORG, OVERALL, TARGET, named
 from ..plans.ordered import BUCKET, running_totals, value_cells
 from ..plans.storage import BROADCAST_ROWS, checkpointed, join_checked, written
 
@@ -31,7 +31,7 @@ def binning_cells(
     """
     sums = {"n": F.count("*"), "bad": F.sum(target)}
     keep = [ORG, target] if by_org else [target]
-    cells, bucketed = value_cells(df.select(*keep, *features), features, [ORG] if by_org else [], sums)
+    cells, bucketed = value_cells(df.select(*keep, *map(named, features)), features, [ORG] if by_org else [], sums)
     group = ["feature", *([BUCKET] if bucketed else []), "value"]
     if by_org:
         overall = cells.groupBy(*group).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -50,17 +50,32 @@ def with_running_counts(cells: DataFrame, bucketed: bool) -> DataFrame:
 def _purity(n: Column, bad: Column) -> Column:
     """Sum of squared class counts over the size; higher is purer."""
     bads, goods = bad.cast("double"), (n - bad).cast("double")
-    return (bads * bads + goods * goods) / n
+    return F.try_divide(bads * bads + goods * goods, n)
 
 
-def _best_cuts(cells: DataFrame, open_nodes: DataFrame) -> DataFrame:
-    """Best cut of each open node: highest gini gain, then lowest threshold."""
+def _best_cuts(cells: DataFrame, open_nodes: DataFrame, small: bool) -> DataFrame:
+    """Best cut of each open node: highest gini gain, then lowest threshold.
+
+    ``small`` says that there are few enough open nodes to broadcast."""
+    if small:
+        open_nodes = F.broadcast(open_nodes)
     n, bad = F.col("n_upto") - F.col("start_n"), F.col("bad_upto") - F.col("start_bad")
     rest_n, rest_bad = F.col("n") - n, F.col("bad") - bad
     inside = (n >= F.col("min_leaf")) & (rest_n >= F.col("min_leaf"))
     gain = _purity(n, bad) + _purity(rest_n, rest_bad) - _purity(F.col("n"), F.col("bad"))
-    best = F.max(F.struct(gain.alias("gain"), (-n).alias("order"), n.alias("cut_n"), bad.alias("cut_bad")))
-    return cells.join(open_nodes, KEYS).filter(inside).groupBy(*KEYS, "id").agg(best.alias("best"))
+    tried = cells.join(open_nodes, KEYS).filter(inside).select(
+        *KEYS, "id", gain.alias("gain"), n.alias("cut_n"), bad.alias("cut_bad")
+    )
+    # Two narrow hash aggregations: a maximum over structs would sort all cells. Running counts
+    # grow with the value, so the lowest counts are those of the lowest threshold.
+    highest = tried.groupBy(*KEYS, "id").agg(F.max("gain").alias("best_gain"))
+    lowest = (
+        tried.join(F.broadcast(highest) if small else highest, [*KEYS, "id"])
+        .filter(F.col("gain") == F.col("best_gain"))
+        .groupBy(*KEYS, "id")
+        .agg(F.max("gain").alias("gain"), F.min("cut_n").alias("cut_n"), F.min("cut_bad").alias("cut_bad"))
+    )
+    return lowest.select(*KEYS, "id", F.struct("gain", "cut_n", "cut_bad").alias("best"))
 
 
 NODE = (
@@ -135,7 +150,7 @@ def tree_leaves(cells: DataFrame, n_bins: int, min_share: float = config.WOE_MIN
         )
         while not (waiting := state.filter("size(open) > 0")).isEmpty():
             open_nodes = waiting.select(*KEYS, "min_leaf", F.inline("open")).drop("tested", "gain", "cut_n", "cut_bad")
-            cuts = _best_cuts(cells, F.broadcast(open_nodes) if small else open_nodes)
+            cuts = _best_cuts(cells, open_nodes, small)
             by_key = cuts.groupBy(*KEYS).agg(F.map_from_entries(F.collect_list(F.struct("id", "best"))).alias("cuts"))
             grown = (
                 state.join(by_key, KEYS, "left")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -16,34 +15,24 @@ from ..plans.longform import TARGET, clean_double, varying_numeric_features
 from ..plans.storage import checkpointed
 from .iv import information_value
 
-# Up to this many pairs one generated aggregation is faster than matrix blocks.
-PAIRS_IN_ONE_AGG = 20
+# Sums of cross products are added up in this many places before they become rows of pairs.
+PLACES = 32
+SUMS = ("n", "xy", "x", "xx", "y", "yy")
+# A spread below this part of the sum of squares is rounding, not variation.
+NO_SPREAD = 1e-12
 
 
 def correlation_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(feature_1, feature_2, r) for all pairs in list order, over rows where both have values."""
+    """(feature_1, feature_2, r) for all pairs in list order, over rows where both have values.
+
+    ``r`` is null where one side does not vary on those rows. One scan: every task adds up
+    its cross-product matrices to one row, a few places add those rows up, and only then
+    does a pair become a row. Columns are centred first for accuracy.
+    """
     names = list(features)
+    if len(names) < 2:
+        return df.sparkSession.range(0).selectExpr("'' AS feature_1", "'' AS feature_2", "CAST(0 AS DOUBLE) AS r")
     wide = df.select(*[clean_double(f).alias(f"x{i}") for i, f in enumerate(names)])
-    if len(names) * (len(names) - 1) // 2 <= PAIRS_IN_ONE_AGG:
-        return _pairs_by_aggregation(wide, names)
-    return _pairs_by_matrix(wide, names)
-
-
-def _pairs_by_aggregation(wide: DataFrame, names: Sequence[str]) -> DataFrame:
-    pairs = list(combinations(range(len(names)), 2))
-    if not pairs:
-        return wide.sparkSession.range(0).selectExpr("'' AS feature_1", "'' AS feature_2", "CAST(0 AS DOUBLE) AS r")
-    row = wide.agg(*[F.corr(f"x{i}", f"x{j}").alias(f"r{k}") for k, (i, j) in enumerate(pairs)])
-    items = [
-        F.struct(F.lit(names[i]).alias("feature_1"), F.lit(names[j]).alias("feature_2"), F.col(f"r{k}").alias("r"))
-        for k, (i, j) in enumerate(pairs)
-    ]
-    return row.select(F.inline(F.array(*items)))
-
-
-def _pairs_by_matrix(wide: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Many pairs in one scan: every batch adds its cross-product matrices, and only
-    one row per pair and task is shuffled. Columns are centred first for accuracy."""
     n = len(names)
     means = wide.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in wide.columns]).first()
     centre = np.array([means[c] for c in wide.columns])
@@ -59,26 +48,26 @@ def _pairs_by_matrix(wide: DataFrame, names: Sequence[str]) -> DataFrame:
             left += x.T @ known
             left2 += (x * x).T @ known
             cross += x.T @ x
-        yield pd.DataFrame(
-            {
-                "i": first, "j": second,
-                "n": count[first, second], "xy": cross[first, second],
-                "x": left[first, second], "xx": left2[first, second],
-                "y": left[second, first], "yy": left2[second, first],
-            }
+        sums = (
+            count[first, second], cross[first, second], left[first, second],
+            left2[first, second], left[second, first], left2[second, first],
         )
+        yield pd.DataFrame({name: [values] for name, values in zip(SUMS, sums)})
 
-    schema = "i int, j int, n double, xy double, x double, xx double, y double, yy double"
-    # One matrix per core is enough: merging input splits needs no shuffle.
-    merged = wide.coalesce(wide.sparkSession.sparkContext.defaultParallelism)
-    s = merged.mapInPandas(products, schema).groupBy("i", "j").agg(
-        *[F.sum(c).alias(c) for c in ("n", "xy", "x", "xx", "y", "yy")]
-    )
-    spread = F.sqrt(
-        F.greatest(F.col("n") * F.col("xx") - F.col("x") * F.col("x"), F.lit(0.0))
-        * F.greatest(F.col("n") * F.col("yy") - F.col("y") * F.col("y"), F.lit(0.0))
-    )
-    r = F.try_divide(F.col("n") * F.col("xy") - F.col("x") * F.col("y"), spread)
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((len(SUMS), len(first)))
+        for batch in batches:
+            for row in batch[list(SUMS)].itertuples(index=False):
+                total += np.stack(row)
+        yield pd.DataFrame({"i": first, "j": second, **dict(zip(SUMS, total))})
+
+    packed = ", ".join(f"{name} array<double>" for name in SUMS)
+    flat = "i int, j int, " + ", ".join(f"{name} double" for name in SUMS)
+    s = wide.mapInPandas(products, packed).repartition(PLACES).mapInPandas(added, flat)
+    s = s.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in SUMS])
+    spread = [F.col("n") * F.col(f"{v}{v}") - F.col(v) * F.col(v) for v in "xy"]
+    varies = [d > NO_SPREAD * F.col("n") * F.col(f"{v}{v}") for d, v in zip(spread, "xy")]
+    r = F.when(varies[0] & varies[1], (F.col("n") * F.col("xy") - F.col("x") * F.col("y")) / F.sqrt(spread[0] * spread[1]))
     label = F.array(*[F.lit(name) for name in names])
     return s.select(
         F.get(label, F.col("i")).alias("feature_1"), F.get(label, F.col("j")).alias("feature_2"), r.alias("r")
@@ -88,7 +77,7 @@ def _pairs_by_matrix(wide: DataFrame, names: Sequence[str]) -> DataFrame:
 def high_pairs(pairs: DataFrame, threshold: float = config.CORRELATION_THRESHOLD) -> DataFrame:
     """Pairs whose absolute correlation exceeds the threshold, rounded to 4 digits."""
     size = F.abs("r")
-    return pairs.filter(~F.isnan("r") & (size > threshold)).select(
+    return pairs.filter(size > threshold).select(
         "feature_1", "feature_2", F.bround(size, 4).alias("r")
     )
 

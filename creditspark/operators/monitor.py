@@ -97,7 +97,8 @@ def feature_drift(base: DataFrame, current: DataFrame, features: Sequence[str] |
     if not numeric:
         return both.select("feature", F.lit(0.0).alias("psi"), "base_missing", "current_missing")
     edges = base.filter(F.col("edges").isNotNull()).select("feature", "edges")
-    counts = bin_counts(to_long(current, numeric, []), edges, [], [], config.PSI_BINS).withColumnRenamed(
+    bins = base.agg(F.max(F.size("counts"))).first()[0]
+    counts = bin_counts(to_long(current, numeric, []), edges, [], [], bins).withColumnRenamed(
         "counts", "current_counts"
     )
     return both.join(counts, "feature", "left").select(

@@ -25,7 +25,7 @@ STEPS = {
     "psi_detail": ("Step8-PSI明细", ""),
     "psi_bands": ("Step8-PSI分布统计", ""),
     "psi_drops": ("Step8-PSI处理", "PSI>{psi} 不稳定月份占比≥{ratio:.0%} 的机构≥{psi_orgs}个则剔除"),
-    "null_importance_drops": ("Step9-Null Importance处理", "原始gain与置换gain之比<{gain_ratio} 视为噪声剔除"),
+    "null_importance_drops": ("Step9-Null Importance处理", "{null_condition} 视为噪声剔除"),
     "null_importance_detail": ("Step9-Null Importance明细", ""),
     "correlation_drops": ("Step10-高相关性剔除", "相关性>{corr} 的特征剔除"),
     "correlation_detail": ("Step10-相关性明细", ""),
@@ -34,13 +34,19 @@ DEFAULTS = {
     "min_bad": config.MIN_MONTH_BAD, "min_rows": config.MIN_MONTH_ROWS, "missing": config.MISSING_THRESHOLD,
     "iv": config.IV_THRESHOLD, "org_iv": config.ORG_IV_THRESHOLD, "iv_orgs": config.MAX_ORG_LOW_IV,
     "psi": config.PSI_THRESHOLD, "ratio": config.MAX_MONTHS_RATIO, "psi_orgs": config.MAX_UNSTABLE_ORGS,
-    "gain_ratio": config.NULL_GAIN_RATIO, "corr": config.CORRELATION_THRESHOLD,
+    "null_rule": "ratio", "null_threshold": None, "corr": config.CORRELATION_THRESHOLD,
 }
 
 
 def step_condition(step: str, params: dict | None = None) -> str:
     """Condition text of a filter step with the thresholds really used."""
-    return STEPS[step][1].format(**{**DEFAULTS, **(params or {})})
+    used = {**DEFAULTS, **(params or {})}
+    ratio = used["null_rule"] == "ratio"
+    threshold = used["null_threshold"]
+    if threshold is None:
+        threshold = config.NULL_GAIN_RATIO if ratio else config.NULL_GAIN_THRESHOLD
+    used["null_condition"] = f"原始gain与置换gain之{'比' if ratio else '差'}<{threshold}"
+    return STEPS[step][1].format(**used)
 
 
 def step_summary(tables: dict[str, DataFrame], params: dict | None = None) -> DataFrame:
@@ -59,7 +65,8 @@ def step_summary(tables: dict[str, DataFrame], params: dict | None = None) -> Da
             table.agg(F.count("*").alias("n")).select(
                 F.lit(position).alias("position"), F.lit(title).alias("step"),
                 F.lit(title.split("-", 1)[1]).alias("action"), counted.alias("result"),
-                F.lit(condition).alias("condition"),
+                # A step that removed nothing states no condition.
+                F.when(n > 0, F.lit(condition)).otherwise(F.lit("")).alias("condition"),
             )
         )
     return reduce(DataFrame.unionByName, parts).orderBy("position")

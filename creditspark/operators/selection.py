@@ -31,6 +31,9 @@ def select_features(
     correlation_threshold: float = config.CORRELATION_THRESHOLD,
     null_trees: int = config.NULL_TREES,
     null_depth: int = config.NULL_DEPTH,
+    null_rule: str = "ratio",
+    null_threshold: float | None = None,
+    null_runs: int = config.NULL_RUNS,
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Run months, missing, IV, PSI, null importance and correlation filters in this order.
 
@@ -52,7 +55,7 @@ def select_features(
             df, psi_threshold, max_orgs=max_unstable_orgs
         )
     if run_null_importance:
-        df, detail, drops = filter_null_importance(df, null_trees, null_depth)
+        df, detail, drops = filter_null_importance(df, null_trees, null_depth, null_rule, null_threshold, null_runs)
         if detail is not None:
             tables["null_importance_detail"], tables["null_importance_drops"] = detail, drops
     df, tables["correlation_detail"], tables["correlation_drops"] = filter_correlation(df, correlation_threshold)
@@ -63,6 +66,7 @@ def select_features(
             {
                 "min_bad": min_bad, "min_rows": min_rows, "missing": missing_threshold, "iv": iv_threshold,
                 "org_iv": org_iv, "psi": psi_threshold, "psi_orgs": max_unstable_orgs, "corr": correlation_threshold,
+                "null_rule": null_rule, "null_threshold": null_threshold,
             },
         )
     return df, tables

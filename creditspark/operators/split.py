@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
@@ -69,8 +70,13 @@ def stratified_folds(
     folds in turn; that decides which folds get one row more.
     """
     minor = _minor(df, tiebreak)
-    first = F.min(F.struct(DATE, *minor)).alias("first")
-    classes = df.groupBy(target).agg(F.count("*").alias("n"), first).orderBy("first").collect()
+    classes = df.groupBy(target).agg(F.count("*").alias("n"), F.min(DATE).alias("day")).orderBy("day").collect()
+    if len({row.day for row in classes}) < len(classes):
+        # Classes that begin on one day: its first row decides, and only that day is looked at.
+        begins = [F.col(target).eqNullSafe(row[target]) & F.col(DATE).eqNullSafe(row.day) for row in classes]
+        first = df.filter(reduce(Column.__or__, begins)).groupBy(target, DATE).agg(F.min(F.struct(*minor)).alias("first"))
+        place = {row[target]: i for i, row in enumerate(first.orderBy(DATE, "first").collect())}
+        classes.sort(key=lambda row: place[row[target]])
     cuts, start = F.lit(None).cast("array<bigint>"), 0
     for row in classes:
         # Fold i owns the places i, i + folds, ... of the dealt sequence.
@@ -78,7 +84,7 @@ def stratified_folds(
         for i in range(folds - 1):
             total += len(range(start + (i - start) % folds, start + row.n, folds))
             ends.append(total)
-        cuts = F.when(F.col(target) == row[target], _positions(ends)).otherwise(cuts)
+        cuts = F.when(F.col(target).eqNullSafe(row[target]), _positions(ends)).otherwise(cuts)
         start += row.n
     placed = contiguous_blocks(df, [target], DATE, minor, cuts)
     return placed.withColumn("fold", F.col("block") + 1).drop("block")

@@ -120,6 +120,21 @@ def _params(model_type: str, params: dict | None) -> dict:
     return {**PRESETS[model_type], **(params or {})}
 
 
+# Fixed value: rounds without a lower validation loss after which training stops.
+PATIENCE = 50
+
+
+def best_round(losses: Sequence[float], patience: int = PATIENCE) -> int:
+    """The round with the lowest loss before ``patience`` rounds in a row bring no lower one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def train_tree(
     df: DataFrame,
     features: Sequence[str],
@@ -129,8 +144,9 @@ def train_tree(
     params: dict | None = None,
     seed: int = config.RANDOM_SEED,
 ) -> TreeModel:
-    """Boosted trees. The ``lgb`` preset keeps the number of rounds with the lowest
-    validation loss; ``xgb`` keeps all rounds."""
+    """Boosted trees. With validation rows the ``lgb`` preset stops after 50 rounds without a lower
+    validation loss and keeps the best round; ``xgb``, and any training without validation
+    rows (such as the last one with the best parameters found), keep all rounds."""
     settings = _params(model_type, params)
     inputs = fit_inputs(df, features)
     table = written(_training_table(df, inputs, target, settings))
@@ -138,7 +154,7 @@ def train_tree(
     best = settings["maxIter"]
     if validation is not None and model_type == "lgb":
         losses = fitted.evaluateEachIteration(written(_training_table(validation, inputs, target, settings)))
-        best = min(range(len(losses)), key=losses.__getitem__) + 1
+        best = best_round(losses)
         if best < settings["maxIter"]:
             # The same seed grows the same first rounds.
             fitted = _learner({**settings, "maxIter": best}, target, seed).fit(table)
@@ -204,23 +220,30 @@ def cv_summary(folds: DataFrame) -> DataFrame:
     return long.groupBy("metric").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
 
 
-def draw_params(model_type: str, generator: random.Random) -> dict:
-    """One random draw. The search ranges below."""
-    def log_uniform(low: float, high: float) -> float:
-        return math.exp(generator.uniform(math.log(low), math.log(high)))
+# The published search ranges.
+SEARCH_RANGES = {
+    "maxIter": (50, 500), "stepSize": (0.01, 0.3), "maxDepth": (3, 10), "subsamplingRate": (0.5, 1.0),
+    "featureSubsetStrategy": (0.5, 0.999),
+}
+SEARCH_RANGES_OF = {
+    "lgb": {"minInstancesPerNode": (20, 200)},
+    "xgb": {"minInstancesPerNode": (1, 10), "bad_weight": (1, 20)},
+}
 
-    params = dict(
-        maxIter=generator.randint(50, 500),
-        stepSize=log_uniform(0.01, 0.3),
-        maxDepth=generator.randint(3, 10),
-        subsamplingRate=generator.uniform(0.5, 1.0),
-        featureSubsetStrategy=f"{generator.uniform(0.5, 0.999):.3f}",
-    )
-    if model_type == "lgb":
-        params.update(minInstancesPerNode=generator.randint(20, 200))
-    else:
-        params.update(minInstancesPerNode=generator.randint(1, 10), bad_weight=generator.uniform(1, 20))
-    return params
+
+def draw_params(model_type: str, generator: random.Random, ranges: dict | None = None) -> dict:
+    """One random draw from the published ranges, or from ``ranges`` where it names a parameter."""
+    drawn = {}
+    for name, limits in {**SEARCH_RANGES, **SEARCH_RANGES_OF[model_type], **(ranges or {})}.items():
+        low, high = limits
+        if name == "stepSize":
+            drawn[name] = math.exp(generator.uniform(math.log(low), math.log(high)))
+        elif name in ("maxIter", "maxDepth", "minInstancesPerNode"):
+            drawn[name] = generator.randint(low, high)
+        else:
+            drawn[name] = generator.uniform(low, high)
+    drawn["featureSubsetStrategy"] = f"{drawn['featureSubsetStrategy']:.3f}"
+    return drawn
 
 
 def search_params(
@@ -231,20 +254,19 @@ def search_params(
     model_type: str = "lgb",
     trials: int = config.SEARCH_TRIALS,
     parallel: int = 4,
-    limits: dict | None = None,
+    ranges: dict | None = None,
     seed: int = config.RANDOM_SEED,
 ) -> tuple[dict, DataFrame]:
     """Best parameters by validation AUC, and all trials, of a seeded random search.
 
-    Trials are independent Spark jobs started from a few threads. ``limits`` caps
-    numeric parameters, for example ``{"maxIter": 20}`` on a small machine.
+    Trials are independent Spark jobs started from a few threads. ``ranges``
+    replaces published ranges, for example ``{"maxIter": (5, 20)}`` on a small machine.
     """
     generator = random.Random(seed)
     base = _params(model_type, None)
     draws = []
     for _ in range(trials):
-        drawn = {**base, **draw_params(model_type, generator)}
-        draws.append({k: min(v, limits[k]) if k in (limits or {}) else v for k, v in drawn.items()})
+        draws.append({**base, **draw_params(model_type, generator, ranges)})
     inputs = fit_inputs(train, features)
     # Weights differ per trial, so the stored tables keep the label only.
     stored = written(_training_table(train, inputs, target, {}).drop("weight"))

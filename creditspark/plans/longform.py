@@ -33,9 +33,14 @@ def present(features: Sequence[str], df: DataFrame) -> list[str]:
     return [f for f in features if f in df.columns]
 
 
+def named(column: str) -> Column:
+    """The column of exactly this name, also with dots or backticks in it."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def clean_double(column: Column | str) -> Column:
     """Value as double with NaN read as missing."""
-    value = F.col(column).cast("double") if isinstance(column, str) else column.cast("double")
+    value = named(column).cast("double") if isinstance(column, str) else column.cast("double")
     return F.when(~F.isnan(value), value)
 
 
@@ -47,7 +52,7 @@ def constant_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """Columns with at most one distinct non-null value, found in one pass."""
     if not columns:
         return []
-    picks = [clean_double(c) if _is_number(c, df) else F.col(f"`{c}`") for c in columns]
+    picks = [clean_double(c) if _is_number(c, df) else named(c) for c in columns]
     row = df.agg(
         *[F.min(p).eqNullSafe(F.max(p)).alias(f"c{i}") for i, p in enumerate(picks)]
     ).first()
@@ -66,5 +71,7 @@ def to_long(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> Data
 
     A narrow operation: the scan reads ``keep`` and ``features`` only.
     """
-    wide = df.select(*keep, *[clean_double(f).alias(f) for f in features])
-    return wide.unpivot(list(keep), list(features), "feature", "value").filter(F.col("value").isNotNull())
+    wide = df.select(*map(named, keep), *[clean_double(f).alias(f) for f in features])
+    return wide.unpivot([named(k) for k in keep], [named(f) for f in features], "feature", "value").filter(
+        F.col("value").isNotNull()
+    )

@@ -17,11 +17,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .longform import clean_double, to_long
-from .storage import checkpointed, join_checked, written
+from .longform import clean_double, named, to_long
+from .storage import checkpointed, join_checked, join_with_nulls, written
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 10_000
 SKETCH_ACCURACY = 10_000
 BUCKET = "bucket"
 
@@ -30,7 +29,7 @@ def bucket_count(spark: SparkSession, rows: int) -> int:
     """Value buckets for a table of ``rows`` rows; ``spark.creditspark.rowsPerBucket``
     sets how many rows one bucket should hold."""
     per_bucket = int(spark.conf.get("spark.creditspark.rowsPerBucket", str(ROWS_PER_BUCKET)))
-    return max(1, min(MAX_BUCKETS, math.ceil(rows / per_bucket)))
+    return max(1, math.ceil(rows / per_bucket))
 
 
 def _with_buckets(wide: DataFrame, columns: Sequence[str], buckets: int) -> DataFrame:
@@ -66,10 +65,10 @@ def value_cells(
     """
     spark = df.sparkSession
     inputs = [c for c in df.columns if c not in features]
-    wide = df.select(*inputs, *[clean_double(f).alias(f) for f in features])
+    wide = df.select(*map(named, inputs), *[clean_double(f).alias(f) for f in features])
     buckets = bucket_count(spark, df.count() if rows is None else rows)
     if buckets == 1:
-        long = wide.unpivot(inputs, list(features), "feature", "value")
+        long = wide.unpivot([named(c) for c in inputs], [named(f) for f in features], "feature", "value")
         group = [*keys, "feature", "value"]
     else:
         wide = _with_buckets(wide, features, buckets)
@@ -120,7 +119,7 @@ def running_totals(
     )
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(*rows)
     local = cells.select("*", *[F.sum(s).over(inside).alias(f"{s}_in") for s in sums])
-    return local.join(offsets, [*keys, BUCKET]).select(
+    return join_with_nulls(local, offsets, [*keys, BUCKET]).select(
         *[c for c in cells.columns if c != BUCKET],
         *[(F.col(f"{s}_in") + F.col(f"{s}_before")).alias(f"{s}_upto") for s in sums],
         *[F.col(f"{s}_all") for s in sums if with_all],
@@ -166,7 +165,7 @@ def _bracketed_cells(df: DataFrame, features: Sequence[str], keys: Sequence[str]
     group, m = [*keys, "feature"], len(probs)
     margin = 2 / SKETCH_ACCURACY
     marks = [max(0.0, q - margin) for q in probs] + [min(1.0, q + margin) for q in probs]
-    long = to_long(df.select(*keys, *features), features, keys)
+    long = to_long(df, features, keys)
     sketch = checkpointed(
         long.groupBy(*group).agg(F.percentile_approx("value", marks, SKETCH_ACCURACY).alias("marks"))
     )
@@ -188,19 +187,17 @@ def _bracketed_cells(df: DataFrame, features: Sequence[str], keys: Sequence[str]
 def exact_quantiles(df: DataFrame, features: Sequence[str], keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Stored (keys..., feature, n_all, edges): exact interpolated quantiles of all features.
 
-    A table of one bucket sorts its value cells. A larger one sorts only the values
-    that a sketch places near a quantile, and falls back to all values if a wanted
-    rank should lie outside its bracket.
+    Only values that a sketch places near a quantile are sorted. If a wanted rank should
+    lie outside its bracket, all values are used.
     """
     group = [*keys, "feature"]
-    rows = df.count()
-    if bucket_count(df.sparkSession, rows) > 1:
-        cells = _bracketed_cells(df, features, keys, probs)
-        running = running_totals(cells, group, ["value", "gap"], ["n"], True)
-        found = checkpointed(rank_quantiles(running.withColumn("value", F.when(~F.col("gap"), F.col("value"))), group, probs))
-        if found.filter(F.exists("edges", lambda edge: edge.isNull())).isEmpty():
-            return found
-    cells, bucketed = value_cells(df.select(*keys, *features), features, keys, {"n": F.count("*")}, rows)
+    df = df.select(*map(named, keys), *map(named, features))
+    cells = _bracketed_cells(df, features, keys, probs)
+    running = running_totals(cells, group, ["value", "gap"], ["n"], True)
+    found = checkpointed(rank_quantiles(running.withColumn("value", F.when(~F.col("gap"), F.col("value"))), group, probs))
+    if found.filter(F.exists("edges", lambda edge: edge.isNull())).isEmpty():
+        return found
+    cells, bucketed = value_cells(df, features, keys, {"n": F.count("*")})
     running = running_totals(cells, group, ["value"], ["n"], bucketed)
     return checkpointed(rank_quantiles(running, group, probs))
 
@@ -221,7 +218,7 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     offsets = sizes.select(*keys, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(*keys, "_part").orderBy(*ordering)
     local = ranged.withColumn("_in", F.row_number().over(inside))
-    return local.join(offsets, [*keys, "_part"]).select(
+    return join_with_nulls(local, offsets, [*keys, "_part"]).select(
         *df.columns, (F.col("_in") + F.col("_offset")).alias(name)
     )
 
@@ -255,10 +252,10 @@ def contiguous_blocks(
     )
     whole = placed.filter("_first = _last").select(*keys, major, F.col("_first").alias(name))
     split = placed.filter("_first < _last").select(*keys, major, "_before")
-    direct = join_checked(df, whole, [*keys, major]).select(*df.columns, name)
+    direct = join_with_nulls(df, whole, [*keys, major], checked=True).select(*df.columns, name)
     if split.isEmpty():
         return direct
-    border = join_checked(df, split, [*keys, major])
+    border = join_with_nulls(df, split, [*keys, major], checked=True)
     ranked = row_numbers(border, [*keys, major], minor, "_place")
     exact = ranked.withColumn(name, block_at(F.col("_before") + F.col("_place") - 1))
     return direct.unionByName(exact.select(*df.columns, name))

@@ -8,12 +8,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A side is broadcast only after this many rows were counted as its upper bound.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -54,11 +58,32 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(rows + 1).count() <= rows
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, width: int | None = None) -> bool:
+    """True if the counted rows, and their average width in bytes where given, fit a broadcast."""
+    found = df.count()
+    return found <= rows and (width is None or found * width <= BROADCAST_BYTES)
+
+
+def row_width(df: DataFrame) -> int:
+    """Bytes of an average row by its texts and arrays; 8 for any other column."""
+    wide = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType))]
+    fixed = 8 * (len(df.columns) - len(wide))
+    if not wide:
+        return fixed
+    text = F.to_json(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in wide]))
+    return fixed + int(df.agg(F.avg(F.length(text))).first()[0] or 0)
 
 
 def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join that broadcasts ``small`` when it was counted to fit, else lets Spark
-    shuffle both sides (adaptive execution splits skewed keys there)."""
-    return big.join(F.broadcast(small) if is_small(small, rows) else small, on, how)
+    """Join that broadcasts ``small`` when its rows and their measured width were found to fit, else
+    lets Spark shuffle both sides (adaptive execution splits skewed keys there)."""
+    return big.join(F.broadcast(small) if is_small(small, rows, row_width(small)) else small, on, how)
+
+
+def join_with_nulls(big: DataFrame, small: DataFrame, keys: Sequence[str], checked: bool = False) -> DataFrame:
+    """Inner join in which a null key meets a null key; ``big``'s key columns stay."""
+    renamed = small.withColumnsRenamed({k: f"_key_{i}" for i, k in enumerate(keys)})
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
+    on = reduce(Column.__and__, same)
+    joined = join_checked(big, renamed, on) if checked else big.join(renamed, on)
+    return joined.drop(*[f"_key_{i}" for i in range(len(keys))])

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.texts import HEADERS
@@ -37,5 +40,11 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_feature_list(spark: SparkSession, features: Sequence[str], path: str) -> None:
+    """The selected features as a JSON array of one file, as ``read_feature_list`` takes it."""
+    text = json.dumps(list(features), ensure_ascii=False, indent=1)
+    spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
 def stamped(df: DataFrame, name: str = "generated_at") -> DataFrame:
     return df.withColumn(name, F.current_timestamp())

@@ -3,12 +3,13 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import creditspark as cs
 from creditspark.operators import correlation
 
 
-def test_correlation_routes_agree_with_pandas(spark):
+def test_correlation_agrees_with_pandas(spark):
     rng = np.random.default_rng(1)
     data = rng.normal(1000, 3, size=(300, 6))
     data[:, 1] += data[:, 0]
@@ -17,12 +18,20 @@ def test_correlation_routes_agree_with_pandas(spark):
     df = spark.createDataFrame(pdf)
     names = list("abcdef")
     expected = pdf.corr()
-    wide = df.select(*[correlation.clean_double(f).alias(f"x{i}") for i, f in enumerate(names)])
-    for found in (cs.correlation_pairs(df, names), correlation._pairs_by_matrix(wide, names)):
-        rows = found.collect()
-        assert len(rows) == 15
-        for r in rows:
-            assert r.r == pytest.approx(expected.loc[r.feature_1, r.feature_2], abs=1e-10)
+    rows = cs.correlation_pairs(df, names).collect()
+    assert len(rows) == 15
+    for r in rows:
+        assert r.r == pytest.approx(expected.loc[r.feature_1, r.feature_2], abs=1e-10)
+    # The number of features changes nothing.
+    wider = df.select("*", *[F.col(n).alias(f"{n}{i}") for i in range(5) for n in names])
+    again = {(r.feature_1, r.feature_2): r.r for r in cs.correlation_pairs(wider, wider.columns).collect()}
+    assert len(again) == 36 * 35 // 2
+    assert all(again[r.feature_1, r.feature_2] == pytest.approx(r.r, abs=1e-12) for r in rows)
+
+
+def test_pair_without_spread_has_no_correlation(spark):
+    df = spark.createDataFrame([(float(i), None) if i % 2 else (1.0, float(i)) for i in range(100)], "`a.x` double, b double")
+    assert [r.r for r in cs.correlation_pairs(df, ["a.x", "b"]).collect()] == [None]
 
 
 @pytest.mark.parametrize("iv, expected", [

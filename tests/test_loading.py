@@ -78,3 +78,5 @@ def test_feature_list(spark, tmp_path):
     assert cs.read_feature_list(spark, f"{tmp_path}/f.json") == ["f", "gone", "g"]
     assert cs.read_feature_list(spark, f"{tmp_path}/f.json", raw(spark)) == ["f", "g"]
     assert cs.present(["g", "zz"], raw(spark)) == ["g"]
+    cs.write_feature_list(spark, ["g", "größe"], f"{tmp_path}/list")
+    assert cs.read_feature_list(spark, f"{tmp_path}/list") == ["g", "größe"]

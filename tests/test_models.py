@@ -152,6 +152,14 @@ def test_cross_validation_and_search(spark):
     assert [(r.train_size, r.val_size) for r in forward] == [(150, 150), (300, 150), (450, 150)]
     summary = {r.metric: r for r in cs.cv_summary(spark.createDataFrame(folds)).collect()}
     assert summary["val_auc"].mean == pytest.approx(sum(r.val_auc for r in folds) / 3)
-    best, trials = cs.search_params(df, frame(spark, rows_of(6)), ["x", "c"], trials=3, limits={"maxIter": 3, "maxDepth": 3})
+    best, trials = cs.search_params(df, frame(spark, rows_of(6)), ["x", "c"], trials=3, ranges={"maxIter": (2, 3), "maxDepth": (2, 3)})
     assert best["maxIter"] == 3 and trials.count() == 3
     assert trials.first().val_auc == max(r.val_auc for r in trials.collect())
+
+
+def test_patience_ends_training():
+    from creditspark.operators.trees import best_round
+
+    assert best_round([3, 2, 1, 2, 3]) == 3
+    assert best_round([3, 2, *[4] * 50, 1]) == 2
+    assert best_round([3, 2, *[4] * 49, 1]) == 52

@@ -116,3 +116,9 @@ def test_model_report(spark, tmp_path):
     written = spark.read.json(f"{tmp_path}/e/metrics").first()
     assert written.thresholds.auc == 0.7 and written.model_name == "model" and written.generated_at
     assert spark.read.json(f"{tmp_path}/e/segments").count() == 1
+
+
+@pytest.mark.parametrize("bins", [5, 20])
+def test_drift_uses_the_bins_of_the_baseline(spark, bins):
+    df = spark.createDataFrame([(i % 2, float(i * 7919 % 1000)) for i in range(1000)], "new_target int, x double")
+    assert [r.psi for r in cs.feature_drift(cs.baseline(df, ["x"], bins=bins), df).collect()] == [0.0]

@@ -43,6 +43,25 @@ def test_first_row_per_key_has_no_window(spark):
     assert "Window" not in text and "partial_min" in text
 
 
+def test_tree_passes_sort_nothing(spark):
+    from pyspark.sql import functions as F
+
+    from creditspark.operators import binning
+
+    df = spark.createDataFrame([(i % 2, float(i), "o") for i in range(200)], "new_target int, x double, new_org string")
+    cells = binning.binning_cells(df, ["x"])
+    node = cells.select("scope", "feature").distinct().selectExpr(
+        "*", "1L AS min_leaf", "1L AS id", "0L AS start_n", "0L AS start_bad", "200L AS n", "100L AS bad")
+    text = plan(binning._best_cuts(cells, node, True))
+    assert "HashAggregate" in text and "SortAggregate" not in text and "Sort [" not in text
+    assert binning._best_cuts(cells, node, True).filter(F.col("best.gain").isNull()).isEmpty()
+
+
+def test_correlation_keeps_the_partitioning(spark):
+    text = plan(cs.correlation_pairs(fx.sample(spark, FOLDER, "quantity", "tax"), ["quantity", "tax"]))
+    assert "Coalesce" not in text
+
+
 def test_scores_need_one_scan_for_all_segments(spark):
     text = plan(cs.segment_stability(fx.scored(spark, FOLDER)))
     assert len(re.findall("FileScan parquet.*l_quantity", text)) == 1

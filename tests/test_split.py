@@ -58,3 +58,11 @@ def test_forward_folds(spark):
     placed = {r.id: r.fold for r in cs.forward_folds(frame(spark, rows), 4, ["id"]).collect()}
     expected = [0] * (47 - 4 * 9) + [f for f in range(1, 5) for _ in range(9)]
     assert [placed[r[0]] for r in sorted(rows, key=lambda r: (r[1], r[0]))] == expected
+
+
+def test_rows_without_date_or_class_stay(spark):
+    rows = [(None if i % 10 == 0 else f"2023{i % 12 + 1:02d}01", None if i % 7 == 0 else i % 2, float(i)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "new_date string, new_target int, x double")
+    assert cs.time_split(df).count() == 1000
+    assert cs.stratified_folds(df, 3).count() == 1000
+    assert cs.forward_folds(df, 3).count() == 1000

@@ -58,13 +58,13 @@ FROM ({DUCK_RAW}) raw
 # Weights of the model-free score. Rounding makes equal scores equal in both engines.
 SCORE = "round(1 / (1 + exp(-(-4 + CAST(0.06 AS DOUBLE) * quantity + 12 * discount))), 9)"
 
+# A degraded half: its rows, and its score.
+WORSE_ROWS = "new_target = 1 OR quantity <= 25"
+WORSE_SCORE = SCORE.replace("0.06 AS DOUBLE", "-0.02 AS DOUBLE").replace("12 * discount", "0.5")
+
 
 def read_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact table; one held in fewer files than there are cores is spread over them."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    if len(lines.inputFiles()) < spark.sparkContext.defaultParallelism:
-        lines = lines.repartition("l_orderkey", "l_linenumber")
-    return lines
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
 
 def raw_sample(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -362,11 +362,10 @@ DRIFT = {
         SELECT feature, '缺失率变化', printf('%.4f→%.4f', base_missing, current_missing), 'MEDIUM'
         FROM drift WHERE abs(current_missing - base_missing) > 0.05""",
 }
-WORSE = fx.SCORE.replace("12 * discount", "0.5")
 MODEL = {
     "sc": SCORED,
     "mbase": f"SELECT * FROM sc WHERE {BASE}",
-    "mcur": f"SELECT * REPLACE ({WORSE} AS p) FROM sc WHERE NOT ({BASE})",
+    "mcur": f"SELECT * REPLACE ({fx.WORSE_SCORE} AS p) FROM sc WHERE NOT ({BASE}) AND ({fx.WORSE_ROWS})",
     "medges": f"SELECT quantile_cont(p, {PROBS}) AS edges FROM mbase",
     "mcb": f"SELECT {PLACE.replace('value', 'p')} AS b, count(*) AS n FROM mbase, medges GROUP BY ALL",
     "mca": f"SELECT {PLACE.replace('value', 'p')} AS b, count(*) AS n FROM mcur, medges GROUP BY ALL",
@@ -392,18 +391,18 @@ def baseline_rows() -> str:
     p = (1, 5, 25, 50, 75, 95, 99)
     rows = []
     for f in NUMERIC:
-        q = ", ".join(f"round(quantile_cont({f}::DOUBLE, {x / 100}), 6) AS p{x}" for x in p)
+        q = ", ".join(f"round(quantile_cont({f}::DOUBLE, {x / 100}), 5) AS p{x}" for x in p)
         rows.append(
-            f"""SELECT '{f}' AS feature, true AS numeric, count(*) AS n_samples, round(avg(new_target), 6) AS bad_rate,
-                round(avg({f}), 6) AS mean, round(stddev_samp({f}), 6) AS std, round(min({f})::DOUBLE, 6) AS min,
-                round(max({f})::DOUBLE, 6) AS max, round(quantile_cont({f}::DOUBLE, 0.5), 6) AS median,
-                round(avg(CASE WHEN {f} IS NULL THEN 1 ELSE 0 END), 6) AS missing_rate, {q} FROM b"""
+            f"""SELECT '{f}' AS feature, true AS numeric, count(*) AS n_samples, round(avg(new_target), 5) AS bad_rate,
+                round(avg({f}), 5) AS mean, round(stddev_samp({f}), 5) AS std, round(min({f})::DOUBLE, 5) AS min,
+                round(max({f})::DOUBLE, 5) AS max, round(quantile_cont({f}::DOUBLE, 0.5), 5) AS median,
+                round(avg(CASE WHEN {f} IS NULL THEN 1 ELSE 0 END), 5) AS missing_rate, {q} FROM b"""
         )
     nulls = ", ".join(f"NULL::DOUBLE AS {c}" for c in ("mean", "std", "min", "max", "median"))
     percentiles = ", ".join(f"NULL::DOUBLE AS p{x}" for x in p)
     rows.append(
-        f"""SELECT 'segment', false, count(*), round(avg(new_target), 6), {nulls},
-            round(avg(CASE WHEN segment IS NULL THEN 1 ELSE 0 END), 6), {percentiles} FROM b"""
+        f"""SELECT 'segment', false, count(*), round(avg(new_target), 5), {nulls},
+            round(avg(CASE WHEN segment IS NULL THEN 1 ELSE 0 END), 5), {percentiles} FROM b"""
     )
     return " UNION ALL ".join(rows)
 
@@ -621,7 +620,7 @@ ORACLES = {
     "score_formula": f"""
         SELECT l_orderkey, l_linenumber, {POINTS.format(base=OFFSET, sign='+')} AS score,
                {POINTS.format(base=OFFSET, sign='-')} AS quality_score FROM ({SCORED})""",
-    "baseline_stats": cte(baseline_rows(), s=SAMPLE, b=HALF_BASE),
+    "baseline_stats": cte(baseline_rows(), s=SAMPLE, b="SELECT * FROM s"),
     "feature_drift": cte(
         """SELECT feature, round(psi, 6) AS psi, round(base_missing, 6) AS base_missing,
                   round(current_missing, 6) AS current_missing FROM drift""", **DRIFT),
@@ -633,4 +632,15 @@ ORACLES = {
                   (SELECT count(*) FROM falerts WHERE severity = 'HIGH') AS high_severity,
                   (SELECT count(*) FROM malerts) AS model_alerts""", **DRIFT, **MODEL),
 }
-ORACLES["corr_pairs_matrix"] = ORACLES["corr_pairs"]
+ORACLES["corr_pairs_gaps"] = f"""
+    WITH s AS MATERIALIZED ({SAMPLE})
+    SELECT 'balance' AS feature_1, 'quantity' AS feature_2, round(corr(balance, quantity), 6) AS r FROM s
+    UNION ALL SELECT 'balance', 'flat', NULL
+    UNION ALL SELECT 'quantity', 'flat', round(corr(quantity, CASE WHEN balance IS NULL THEN quantity ELSE 1 END), 6) FROM s
+"""
+for _name in ("lift_table", "iv_by_org", "woe_bins"):
+    ORACLES[f"{_name}_buckets"] = ORACLES[_name]
+ORACLES["odd_names"] = f"""
+    SELECT 'bal.avg' AS feature, v.iv, p.psi
+    FROM ({ORACLES["iv_overall"]}) v, ({ORACLES["psi_pair"]}) p WHERE v.feature = 'balance' AND p.feature = 'balance'
+"""

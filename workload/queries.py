@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -292,11 +293,11 @@ def corr_pairs(spark, sf_dir):
 
 
 @query
-def corr_pairs_matrix(spark, sf_dir):
-    """The same pairs by the matrix route that very wide samples take."""
-    wide = fx.sample(spark, sf_dir, *fx.NUMERIC).select(
-        *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(fx.NUMERIC)])
-    return rounded(correlation._pairs_by_matrix(wide, list(fx.NUMERIC)))
+def corr_pairs_gaps(spark, sf_dir):
+    """``flat`` varies only where the balance is missing, so that pair has no correlation."""
+    df = fx.sample(spark, sf_dir, "balance", "quantity")
+    df = df.withColumn("flat", F.when(F.col("balance").isNull(), F.col("quantity")).otherwise(1.0))
+    return rounded(cs.correlation_pairs(df, ["balance", "quantity", "flat"]))
 
 
 @query
@@ -381,6 +382,42 @@ def lift_table(spark, sf_dir):
     return cs.lift_table(fx.scored(spark, sf_dir))
 
 
+@contextmanager
+def small_buckets(spark, rows: int = 500):
+    """Value buckets as small, against these tables, as they are on tables of billions of rows."""
+    spark.conf.set("spark.creditspark.rowsPerBucket", str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.creditspark.rowsPerBucket")
+
+
+@query
+def lift_table_buckets(spark, sf_dir):
+    with small_buckets(spark):
+        return lift_table(spark, sf_dir)
+
+
+@query
+def iv_by_org_buckets(spark, sf_dir):
+    with small_buckets(spark):
+        return iv_by_org(spark, sf_dir)
+
+
+@query
+def woe_bins_buckets(spark, sf_dir):
+    with small_buckets(spark):
+        return woe_bins(spark, sf_dir)
+
+
+@query
+def odd_names(spark, sf_dir):
+    """Information value and stability index of a column with a dot in its name."""
+    df = stored_sample(spark, sf_dir, "balance").withColumnRenamed("balance", "bal.avg")
+    base, current = halves(df)
+    return rounded(cs.information_value(df, ["bal.avg"]).join(cs.psi_two_samples(base, current, ["bal.avg"]), "feature"))
+
+
 @query
 def confusion(spark, sf_dir):
     return rounded(cs.confusion(fx.scored(spark, sf_dir), threshold=0.3))
@@ -486,7 +523,7 @@ def cv_summary(spark, sf_dir):
 @query
 def search_report(spark, sf_dir):
     train, val, _ = _train_val_test(spark, sf_dir, *TREE_FEATURES)
-    return cs.search_params(train, val, TREE_FEATURES, trials=2, limits={"maxIter": 5, "maxDepth": 4})[1]
+    return cs.search_params(train, val, TREE_FEATURES, trials=2, ranges={"maxIter": (3, 8), "maxDepth": (2, 4)})[1]
 
 
 @query
@@ -514,10 +551,10 @@ def selection_report(spark, sf_dir):
 
 @query
 def baseline_stats(spark, sf_dir):
-    table = cs.baseline(halves(fx.sample(spark, sf_dir))[0], fx.FEATURES)
+    table = cs.baseline(fx.sample(spark, sf_dir), fx.FEATURES)
     flat = [F.col("percentiles")[f"p{p}"].alias(f"p{p}") for p in (1, 5, 25, 50, 75, 95, 99)]
     return rounded(table.select(
-        "feature", "numeric", "n_samples", "bad_rate", "mean", "std", "min", "max", "median", "missing_rate", *flat))
+        "feature", "numeric", "n_samples", "bad_rate", "mean", "std", "min", "max", "median", "missing_rate", *flat), 5)
 
 
 def _drifted(spark, sf_dir):
@@ -540,10 +577,10 @@ def feature_alerts(spark, sf_dir):
 
 
 def _scored_halves(spark, sf_dir):
-    """The current half is scored without the discount, so that the model degrades."""
+    """The current half has fewer good rows and a score that falls with the quantity, so that the
+    score drifts, the model degrades and the bad rate changes."""
     base, current = halves(written(fx.scored(spark, sf_dir)))
-    worse = F.expr(fx.SCORE.replace("12 * discount", "0.5"))
-    return base, current.withColumn("p", worse)
+    return base, current.filter(fx.WORSE_ROWS).withColumn("p", F.expr(fx.WORSE_SCORE))
 
 
 @query
