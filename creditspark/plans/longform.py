@@ -72,6 +72,12 @@ def to_long(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> Data
     A narrow operation: the scan reads ``keep`` and ``features`` only.
     """
     wide = df.select(*map(named, keep), *[clean_double(f).alias(f) for f in features])
-    return wide.unpivot([named(k) for k in keep], [named(f) for f in features], "feature", "value").filter(
-        F.col("value").isNotNull()
-    )
+    return unpivoted(wide, keep, features).filter(F.col("value").isNotNull())
+
+
+def unpivoted(wide: DataFrame, keep: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Rows (keep..., feature, value); none without features."""
+    if not features:
+        empty = [F.lit(None).cast("string").alias("feature"), F.lit(None).cast("double").alias("value")]
+        return wide.select(*map(named, keep), *empty).filter(F.lit(False))
+    return wide.unpivot([named(k) for k in keep], [named(f) for f in features], "feature", "value")

@@ -17,7 +17,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .longform import clean_double, named, to_long
+from .longform import clean_double, named, to_long, unpivoted
 from .storage import checkpointed, join_checked, join_with_nulls, written
 
 ROWS_PER_BUCKET = 2_000_000
@@ -68,7 +68,7 @@ def value_cells(
     wide = df.select(*map(named, inputs), *[clean_double(f).alias(f) for f in features])
     buckets = bucket_count(spark, df.count() if rows is None else rows)
     if buckets == 1:
-        long = wide.unpivot([named(c) for c in inputs], [named(f) for f in features], "feature", "value")
+        long = unpivoted(wide, inputs, features)
         group = [*keys, "feature", "value"]
     else:
         wide = _with_buckets(wide, features, buckets)
