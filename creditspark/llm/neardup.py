@@ -39,11 +39,14 @@ VALUES = 4  # of 16 bits, per chunk: one long
 # Pairs within this signature distance are confirmed; at similarity 0.75 all but 3e-5 are.
 DISTANCE = 18
 PERCENT = 75
-# A longer signature for pairs within large buckets: 512 values of 4 bits, in 32 longs. At
-# similarity 0.75, 120 values differ on average, and more than 161 with probability 1e-5.
+# A longer signature for pairs within large buckets: 2048 values of one bit, in 32 longs. At
+# similarity 0.75, 256 values differ on average, and more than 321 with probability 1e-5. The
+# first 512 of them are looked at first; there 64 differ on average, more than 102 with 1e-6.
 FINE_PARTS = 32
-FINE_VALUES = 16
-FINE_DISTANCE = 161
+FINE_VALUES = 64
+FINE_DISTANCE = 321
+GLANCE_PARTS = 8
+GLANCE_DISTANCE = 102
 # Pairs per block of the exact comparison, on average.
 BLOCK_PAIRS = 5000
 
@@ -110,24 +113,19 @@ def _distance(a: str, b: str) -> Column:
     """Differing values of two signatures."""
     terms = []
     for p in _PARTS:
-        x = F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))
+        x = F.col(f"{a}_{p}").bitwiseXOR(F.col(f"{b}_{p}"))
         terms += [(x.bitwiseAND(_signed(0xFFFF << (16 * v))) != 0).cast("int") for v in range(VALUES)]
     return reduce(lambda x, y: x + y, terms)
 
 
-def _fine_distance(a: str, b: str) -> Column:
-    """Differing values of two longer signatures: any of four bits, gathered in the lowest."""
-    terms = []
-    for p in _FINE:
-        x = F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))
-        any_bit = reduce(lambda y, i: y.bitwiseOR(F.shiftrightunsigned(x, i)), (1, 2, 3), x)
-        terms.append(F.bit_count(any_bit.bitwiseAND(_signed(0x1111111111111111))))
-    return reduce(lambda x, y: x + y, terms)
+def _fine_distance(a: str, b: str, parts: list[str]) -> Column:
+    """Differing values of two longer signatures of single bits."""
+    return reduce(lambda x, y: x + y, [F.bit_count(F.col(f"{a}_{p}").bitwiseXOR(F.col(f"{b}_{p}"))) for p in parts])
 
 
 def _alike_sizes(a: str, b: str, percent: int) -> Column:
     """Sets whose sizes differ too much cannot be similar enough."""
-    a, b = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
+    a, b = F.col(f"{a}_n_shingles"), F.col(f"{b}_n_shingles")
     return (100 * a >= percent * b) & (100 * b >= percent * a)
 
 
@@ -140,7 +138,7 @@ def _first_key(a: str, b: str) -> Column:
     """The first key that two signatures share; a pair is taken there only."""
     shared = []
     for c, p in enumerate(_PARTS):
-        x = F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))
+        x = F.col(f"{a}_{p}").bitwiseXOR(F.col(f"{b}_{p}"))
         shared += [F.when(x.bitwiseAND(_mask(v)) == 0, c * VALUES + v) for v in range(VALUES)]
     return F.coalesce(*shared)
 
@@ -155,7 +153,7 @@ def _keys(nodes: DataFrame) -> DataFrame:
 
 
 def _fine(batches):
-    """Longer signatures of few bits for the members of shared buckets."""
+    """Longer signatures of single bits for the members of shared buckets."""
     for batch in batches:
         data, offsets = tc.text_bytes(batch.column("text"))
         sizes = np.zeros(len(batch), np.int64)
@@ -167,7 +165,7 @@ def _fine(batches):
             starts = np.concatenate([[0], np.cumsum(sizes[i:j])[:-1]])
             for k in range(FINE_PARTS * FINE_VALUES):
                 least = np.minimum.reduceat(codes * _FINE_MULTIPLY[k] + _FINE_ADD[k], starts)
-                parts[k // FINE_VALUES, i:j] |= (tc.mix(least) & np.uint64(15)) << np.uint64(4 * (k % FINE_VALUES))
+                parts[k // FINE_VALUES, i:j] |= (tc.mix(least) & np.uint64(1)) << np.uint64(k % FINE_VALUES)
         yield pa.RecordBatch.from_arrays(
             [batch.column("node"), batch.column("text"), pa.array(sizes), *(pa.array(x.view(np.int64)) for x in parts)],
             ["node", "text", "n_shingles", *_FINE],
@@ -208,7 +206,8 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int, scratch: Scratch, n
     block = F.pmod(F.xxhash64("a"), F.lit(side)) * side + F.pmod(F.xxhash64("b"), F.lit(side))
     dealt = pairs.select(block.alias("block"), "a", "b")
     again = scratch.read(f"{name}-pairs", pairs)  # the same table under columns of its own, for the cogroup
-    needed = again.select(block.alias("block"), F.explode(F.array("a", "b")).alias("node")).distinct()
+    ends = [again.select(block.alias("block"), F.col(end).alias("node")).distinct() for end in ("a", "b")]
+    needed = ends[0].union(ends[1]).distinct()
     held = needed.join(texts.select("node", "text"), "node").select("block", "node", "text")
     found = dealt.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(_confirm(percent), "a long, b long")
     return scratch.write(found, name)
@@ -248,11 +247,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
         texts.mapInArrow(_fine, "node long, text string, n_shingles long, " + ", ".join(f"{f} long" for f in _FINE)), "texts"
     )
 
-    wide = nodes.select("node", F.struct("n_shingles", *_PARTS).alias("s"))
+    def side(prefix: str, *columns: str) -> list[Column]:
+        return [F.col(c).alias(f"{prefix}_{c}") for c in columns]
+
     first = filed.select("node", F.explode(F.array("lo", "hi")).alias("other")).where("node <> other").distinct()
     first = (
-        first.join(wide.select("node", F.col("s").alias("l")), "node")
-        .join(wide.select(F.col("node").alias("other"), F.col("s").alias("r")), "other")
+        first.join(nodes.select("node", *side("l", "n_shingles", *_PARTS)), "node")
+        .join(nodes.select(F.col("node").alias("other"), *side("r", "n_shingles", *_PARTS)), "other")
         .where(_alike_sizes("l", "r", percent))
         .withColumn("distance", _distance("l", "r"))
         .where(F.col("distance") <= DISTANCE)
@@ -274,16 +275,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
     mixed = named.join(main.select("key", "code", "main"), ["key", "code"]).join(signature, "node")
     mixed = scratch.write(mixed, "mixed")
     carried = ("node", "group", "n_shingles", *_PARTS, *_FINE)
-    left = mixed.where("`group` <> main").select("key", "code", F.struct(*carried).alias("l"))
-    right = mixed.select("key", "code", F.struct(*carried, (F.col("group") == F.col("main")).alias("inside")).alias("r"))
+    left = mixed.where("`group` <> main").select("key", "code", *side("l", *carried))
+    right = mixed.select("key", "code", *side("r", *carried), (F.col("group") == F.col("main")).alias("r_inside"))
     rest = left.join(right, ["key", "code"]).where(
-        (F.col("l.group") != F.col("r.group"))
-        & (F.col("r.inside") | (F.col("l.node") < F.col("r.node")))
+        (F.col("l_group") != F.col("r_group"))
+        & (F.col("r_inside") | (F.col("l_node") < F.col("r_node")))
         & _alike_sizes("l", "r", percent)
+        & (_fine_distance("l", "r", _FINE[:GLANCE_PARTS]) <= GLANCE_DISTANCE)
         & (_first_key("l", "r") == F.col("key"))
-        & (_fine_distance("l", "r") <= FINE_DISTANCE)
+        & (_fine_distance("l", "r", _FINE) <= FINE_DISTANCE)
     )
-    rest = rest.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
+    rest = rest.select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b"))
     more = _links(rest, texts, percent, scratch, "more")
     group = connected(links.union(more), scratch, "last")
 
