@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .spans import Pattern, find_spans, rank_of
-from .tables import Scratch, back_to
+from .tables import Scratch, back_to, numbered
 
 STRICT = ("assign", "access", "hex")
 WEAK = ("account", "endpoint", "key")
@@ -87,8 +87,10 @@ def secrets(docs: DataFrame, scope: int = SCOPE, scratch: Scratch | None = None)
 
 def redacted(docs: DataFrame, mark: str = MARK) -> DataFrame:
     """``docs`` with every reported span replaced by ``mark``; overlapping spans give one mark."""
-    found = secrets(docs).where(F.size("spans") > 0).select("_row", "spans")
-    joined = back_to(docs, found, "left")
+    scratch = Scratch(docs.sparkSession)
+    table = numbered(docs, scratch)
+    found = secrets(table, scratch=scratch).where(F.size("spans") > 0).select("_row", "spans")
+    joined = back_to(table, found, "left")
     # Stretches of merged spans: each keeps the text between the last end and its start.
     step = lambda a, s: F.struct(
         F.greatest(a["at"], s["end"]).alias("at"),

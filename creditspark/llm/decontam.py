@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textcodes as tc
-from .tables import Scratch, back_to, join_small
+from .tables import Scratch, back_to, join_small, numbered, row_of
 
 WINDOW = 13
 SHINGLE = 5
@@ -115,7 +115,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch | None
     distinct = windows.select("code").distinct()
     if distinct.count() <= FILTER_SHINGLES:
         wanted = np.sort(distinct.toArrow().column(0).to_numpy().view(np.uint64))
-    has_id = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
+    has_id = docs.select(row_of(docs).alias("_row"), "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     if wanted is not None and not len(wanted):
         sizes = []
@@ -187,5 +187,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch | None
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without its contaminated rows."""
-    bad = contamination(docs, benchmark).where("contaminated").select("_row")
-    return back_to(docs, bad, "left_anti").select(docs.columns)
+    scratch = Scratch(docs.sparkSession)
+    table = numbered(docs, scratch)
+    bad = contamination(table, benchmark, scratch).where("contaminated").select("_row")
+    return back_to(table, bad, "left_anti").select(docs.columns)

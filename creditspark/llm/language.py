@@ -111,13 +111,15 @@ def train(labelled: DataFrame, scratch: Scratch | None = None) -> KernelModel:
     """Learn from ``doc_id, lang, text``."""
     scratch = scratch or Scratch(labelled.sparkSession)
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select(
-        F.monotonically_increasing_id().alias("_row"), F.xxhash64("doc_id", "text").alias("h"), "lang", "text"
+        F.xxhash64("doc_id", "text").alias("h"), "lang", "text"
     ).where(has_letter(F.col("text")))
-    # The first texts of each language by a hash: every task sends at most SAMPLE of them.
-    first = Window.partitionBy("lang").orderBy("h", "_row")
-    chosen = rows.select("_row", "lang", "h").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= SAMPLE)
-    chosen = scratch.write(chosen.select("_row", "rank"), "chosen")
-    texts = scratch.write(join_small(rows.select("_row", "lang", "text"), chosen, "_row", "inner", 16).select("lang", "rank", "text"), "texts")
+    # The first texts of each language by a hash: every task sends at most SAMPLE of them. The hash, not a row
+    # number of the scan, brings their texts in; repeated rows share it and take a rank each.
+    first = Window.partitionBy("lang").orderBy("h")
+    chosen = rows.select("lang", "h").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= SAMPLE)
+    chosen = scratch.write(chosen.groupBy("lang", "h").agg(F.collect_list("rank").alias("ranks")), "chosen")
+    texts = join_small(rows, chosen.select("lang", "h"), ["lang", "h"], "inner", 32).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    texts = scratch.write(texts.join(chosen, ["lang", "h"]).select("lang", F.explode("ranks").alias("rank"), "text"), "texts")
     sets = texts.where(F.col("rank") <= LANDMARKS).mapInArrow(_gram_sets, "lang string, rank int, grams array<int>").orderBy("lang", "rank").collect()
     if not sets:
         return KernelModel([], np.zeros(LIMITS[-1], np.int32), np.zeros((0, 0), np.float32))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import textcodes as tc
 from .components import connected
-from .tables import Scratch, back_to
+from .tables import ROW, Scratch, back_to, numbered
 
 SHINGLE = 5
 CHUNKS = 8
@@ -215,10 +215,10 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int, scratch: Scratch, n
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch | None = None) -> DataFrame:
     """Per row: ``_row``, ``doc_id``, ``n_shingles``, ``component_id`` (smallest doc_id of the
-    group) and ``kept`` (the first row of each group). ``docs`` is a table scan."""
+    group) and ``kept`` (the first row of each group)."""
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
+    rows = numbered(docs, scratch, "doc_id", "text").select(F.col(ROW).alias("_row"), "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"_row long, doc_id {kind}, n_shingles long, key0 long, key1 long, " + ", ".join(f"{p} long" for p in _PARTS)
     signed = scratch.write(rows.mapInArrow(_signatures, schema), "signed")
@@ -307,5 +307,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near duplicates."""
-    gone = near_duplicates(docs).where("not kept").select("_row")
-    return back_to(docs, gone, "left_anti").select(docs.columns)
+    scratch = Scratch(docs.sparkSession)
+    table = numbered(docs, scratch)
+    gone = near_duplicates(table, scratch=scratch).where("not kept").select("_row")
+    return back_to(table, gone, "left_anti").select(docs.columns)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textcodes as tc
-from .tables import Scratch
+from .tables import ROW, Scratch, numbered
 
 LENGTH = 200
 GRAM = 40
@@ -303,9 +303,9 @@ def _without(batches):
 
 def without_repeats(docs: DataFrame, batches: int = BATCHES, scratch: Scratch | None = None) -> DataFrame:
     """Per row ``_row``, ``doc_id``, ``n_bytes``, ``n_removed``, the removed ``spans`` (byte ranges) and
-    the bytes ``kept``. ``docs`` is a table scan."""
+    the bytes ``kept``."""
     scratch = scratch or Scratch(docs.sparkSession)
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
+    rows = numbered(docs, scratch, "doc_id", "text").select(F.col(ROW).alias("_row"), "doc_id", "text")
     found = repeats(rows, scratch, batches)
     per_row = found.groupBy("_row").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Scratch, join_small
+from .tables import ROW, Scratch, back_to, join_small, numbered, row_of
 
 LIMIT = 8 << 20
 # Bits of a cell beyond an even spread, bits added per further round, bits per hash part.
@@ -36,8 +36,7 @@ def shards(docs: DataFrame, limit: int = LIMIT, scratch: Scratch | None = None)
     """Per row: ``_row``, ``doc_id``, ``n_bytes``, ``shard`` (its hash prefix as 0s and 1s),
     ``depth`` and ``shard_bytes``."""
     scratch = scratch or Scratch(docs.sparkSession)
-    row = F.monotonically_increasing_id()
-    rows = docs.select(row.alias("_row"), "doc_id", "text").select(
+    rows = docs.select(row_of(docs).alias("_row"), "doc_id", "text").select(
         "_row", "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         F.concat(
             _bits(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary")),
@@ -78,11 +77,11 @@ def shards(docs: DataFrame, limit: int = LIMIT, scratch: Scratch | None = None)
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
     """Write the documents to one folder per shard."""
-    from .tables import back_to
-
-    found = shards(docs, limit).select("_row", "shard")
-    joined = back_to(docs, found, "inner")
+    scratch = Scratch(docs.sparkSession)
+    table = numbered(docs, scratch)
+    found = shards(table, limit, scratch).select("_row", "shard")
+    joined = back_to(table, found, "inner")
     named = joined.withColumnRenamed("__llm_shard", "shard") if "shard" not in docs.columns else joined.withColumnRenamed("__llm_shard", "hash_shard")
-    named.drop("__llm_row").repartition("shard" if "shard" not in docs.columns else "hash_shard").write.partitionBy(
+    named.drop(ROW).repartition("shard" if "shard" not in docs.columns else "hash_shard").write.partitionBy(
         "shard" if "shard" not in docs.columns else "hash_shard"
     ).parquet(path)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import Scratch
+from .tables import Scratch, row_of
 
 CONTEXT = 40
 
@@ -32,7 +32,7 @@ def find_spans(docs: DataFrame, patterns: Sequence[Pattern], scratch: Scratch) -
     matches, leftmost and without overlap within a kind; ``before`` and ``after`` are the
     nearest characters up to the neighbouring match."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", text.alias("text"))
+    base = docs.select(row_of(docs).alias("_row"), "doc_id", text.alias("text"))
     none = F.array().cast("array<string>")
     matched = base.select("*", *[
         (F.when(F.contains("text", F.lit(p.needs)), F.regexp_extract_all("text", F.lit(p.pattern), F.lit(0))).otherwise(none)

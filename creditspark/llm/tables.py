@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.storage import checkpoint_folder
@@ -60,11 +60,29 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str, row_bytes: int) -
     return big.join(F.broadcast(small) if fits else small, on, how)
 
 
+# Reserved name of the written row number.
 ROW = "__llm_row"
 
 
+def numbered(docs: DataFrame, scratch: Scratch, *columns: str) -> DataFrame:
+    """``docs`` (only ``columns`` where given) with a row number in ``ROW``, written once.
+
+    Numbers of two scans of one table can differ, as the splits of a scan follow the cores registered when
+    its job is planned; all jobs that join by row read this table. Numbered ``docs`` come back as they are.
+    """
+    if ROW in docs.columns:
+        return docs
+    chosen = docs.select(*columns) if columns else docs
+    return scratch.write(chosen.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def row_of(docs: DataFrame) -> Column:
+    """The written number of numbered ``docs``, else a fresh one: good for a single scan only."""
+    return F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+
+
 def back_to(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """Join rows of ``docs`` (a table scan, so that a row keeps its number) with ``found`` by its
-    ``_row``; other columns of ``found`` come in with the prefix ``__llm_``."""
-    renamed = found.select(*[F.col(c).alias(f"__llm{c}" if c == "_row" else f"__llm_{c}") for c in found.columns])
-    return docs.withColumn(ROW, F.monotonically_increasing_id()).join(renamed, ROW, how)
+    """Join rows of numbered ``docs`` with ``found`` by its ``_row``; other columns of ``found`` come in
+    with the prefix ``__llm_``."""
+    renamed = found.select(*[F.col(c).alias(ROW if c == "_row" else f"__llm_{c}") for c in found.columns])
+    return docs.join(renamed, ROW, how)
