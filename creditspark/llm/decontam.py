@@ -7,9 +7,13 @@ prefix, is joined; the word position it is found at fixes where the window would
 have to start, which gives the positional and length bounds; what is left is
 verified shingle by shingle.
 
+Windows are told apart by their content, so each is looked for once however many
+items, repeated rows or texts of one id hold it; their ids are attached after the search.
+
 Null, empty and word-less texts have no words and no hits, on either side. Items
-with equal text each count. Repeated document rows each get their own row of the
-result, null ids included. Empty tables give empty results or zero hits.
+with equal text each count, repeated rows of one item count once, and a null item id
+counts as one item (it has no text in a joined list). Repeated document rows each get
+their own row of the result, null ids included. Empty tables give empty results or zero hits.
 """
 
 from __future__ import annotations
@@ -28,18 +32,18 @@ SHINGLE = 5
 # benchmark are joined by a shuffle of all shingles instead of a filter in the scan.
 FILTER_SHINGLES = 1_000_000
 
-_WINDOWS = "item_id string, window long, n_words int, n_shingles int, k int, code long"
+_WINDOWS = "item_id string, n_words int, needed array<long>"
 _HITS = "_row long, doc_id {kind}, n_words long, at array<long>, codes array<long>"
 
 
 def _windows(batches):
-    """Rows (item, window, words, shingles, k, code): shingle k of each window."""
+    """Rows (item, words, shingle codes in order), one per window."""
     for batch in batches:
         data, offsets = tc.text_bytes(batch.column("text"))
         _, _, row, code = tc.words(data, offsets, tc.ALNUM)
         counts = np.bincount(row, minlength=len(batch))
         firsts = np.concatenate([[0], np.cumsum(counts)])
-        out = {name: [] for name in ("item", "window", "n_words", "n_shingles", "k", "code")}
+        out = {name: [] for name in ("item", "n_words", "n_shingles", "code")}
         for i, n in enumerate(counts):
             if not n:
                 continue
@@ -47,11 +51,9 @@ def _windows(batches):
             _, codes = tc.shingles(code[firsts[i] : firsts[i + 1]], np.zeros(n, np.int8), size)
             starts = np.arange(n - length + 1)
             own = length - size + 1
-            out["item"].append(np.full(len(starts) * own, i))
-            out["window"].append(np.repeat(starts, own))
-            out["n_words"].append(np.full(len(starts) * own, length))
-            out["n_shingles"].append(np.full(len(starts) * own, own))
-            out["k"].append(np.tile(np.arange(own), len(starts)))
+            out["item"].append(np.full(len(starts), i))
+            out["n_words"].append(np.full(len(starts), length))
+            out["n_shingles"].append(np.full(len(starts), own))
             out["code"].append(codes[(starts[:, None] + np.arange(own)).ravel()])
         if not out["item"]:
             continue
@@ -59,11 +61,12 @@ def _windows(batches):
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("item_id").take(pa.array(got["item"])),
-                pa.array(got["window"].astype(np.int64)),
-                *(pa.array(got[name].astype(np.int32)) for name in ("n_words", "n_shingles", "k")),
-                pa.array(got["code"].view(np.int64)),
+                pa.array(got["n_words"].astype(np.int32)),
+                pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(got["n_shingles"])]).astype(np.int32)), pa.array(got["code"].view(np.int64))
+                ),
             ],
-            ["item_id", "window", "n_words", "n_shingles", "k", "code"],
+            ["item_id", "n_words", "needed"],
         )
 
 
@@ -104,13 +107,17 @@ def _find(wanted: np.ndarray | None, sizes: list[int]):
 
 def contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """Per document row: ``_row``, ``doc_id``, ``n_words``, ``n_hit`` (words inside an occurring
-    window), ``items`` (their ids as sorted strings) and ``contaminated``
+    window), ``items`` (their ids as sorted strings, a null id last) and ``contaminated``
     (``n_hit > 0 and 20 * n_hit >= n_words``)."""
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    windows = scratch.write(items.mapInArrow(_windows, _WINDOWS), "windows")
-    sizes = [r[0] for r in windows.select(F.least("n_words", F.lit(SHINGLE))).distinct().collect()]
+    owned = scratch.write(items.mapInArrow(_windows, _WINDOWS).distinct(), "owned")
+    contents = owned.select("n_words", "needed").distinct()
+    contents = scratch.write(contents.withColumn("window", F.monotonically_increasing_id()), "contents")
+    owners = scratch.write(owned.join(contents, ["n_words", "needed"]).select("window", "item_id"), "owners")
+    windows = contents.select("window", "n_words", F.size("needed").alias("n_shingles"), F.posexplode("needed").alias("k", "code"))
+    sizes = [r[0] for r in contents.select(F.least("n_words", F.lit(SHINGLE))).distinct().collect()]
     wanted = None
     distinct = windows.select("code").distinct()
     if distinct.count() <= FILTER_SHINGLES:
@@ -131,25 +138,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch | None
     # Rarity over all documents; a window with a shingle found nowhere cannot occur.
     rarity = flat.groupBy("code").agg(F.count(F.lit(1)).alias("found"))
     tokens = windows.join(rarity, "code")
-    per_window = Window.partitionBy("item_id", "window")
+    per_window = Window.partitionBy("window")
     by_rarity = per_window.orderBy("found", "code", "k")
     prefix = (
         tokens.withColumn("present", F.count(F.lit(1)).over(per_window))
         .where(F.col("present") == F.col("n_shingles"))
         .withColumn("rank", F.row_number().over(by_rarity))
         .where("rank = 1")
-        .select("item_id", "window", "n_words", "n_shingles", F.col("k").alias("prefix_k"), "code")
-    )
-    needed = windows.groupBy("item_id", "window").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("k", "code"))), lambda x: x["code"]).alias("needed")
+        .select("window", "n_words", "n_shingles", F.col("k").alias("prefix_k"), "code")
     )
-    prefix = scratch.write(prefix.join(needed, ["item_id", "window"]), "prefix")
+    prefix = scratch.write(prefix.join(contents.select("window", "needed"), "window"), "prefix")
 
     # Join the prefix only, then bounds on where the window would lie, then the whole window.
     start = F.col("at") - F.col("prefix_k")
     candidates = (
         join_small(flat, prefix, "code", "inner", 160)
-        .select("_row", "item_id", "window", "n_words", "n_shingles", "needed", start.alias("start"))
+        .select("_row", "window", "n_words", "n_shingles", "needed", start.alias("start"))
         .where("start >= 0")
         .withColumnRenamed("n_words", "window_words")
         .join(hits.where(F.size("codes") > 0), "_row")
@@ -168,14 +172,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch | None
             ),
         )
     )
-    found = scratch.write(found.select("_row", "item_id", "start", "window_words"), "found")
+    found = scratch.write(found.select("_row", "window", "start", "window_words"), "found")
 
     spans = found.groupBy("_row", "start").agg(F.max(F.col("start") + F.col("window_words")).alias("end"))
     before = Window.partitionBy("_row").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.coalesce(F.max("end").over(before), F.lit(0))
     covered = spans.withColumn("new", F.greatest(F.lit(0), F.col("end") - F.greatest("start", reached)))
     n_hit = covered.groupBy("_row").agg(F.sum("new").cast("long").alias("n_hit"))
-    held = found.select("_row", "item_id").distinct().groupBy("_row").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
+    held = found.select("_row", "window").distinct().join(owners, "window").select("_row", "item_id").distinct()
+    # A list of structs, as a list of the ids alone would leave a null id out.
+    held = held.groupBy("_row").agg(F.collect_list(F.struct("item_id")).alias("ids"))
+    held = held.select("_row", F.array_sort(F.transform("ids", lambda x: x["item_id"])).alias("items"))
     result = (
         hits.select("_row", "doc_id", "n_words")
         .join(n_hit.join(held, "_row"), "_row", "left")
