@@ -1,9 +1,10 @@
 """Secrets, with multipart credentials linked within scopes.
 
 Strict spans (assign, access, hex) are always reported. Weak candidates - account names
-(account), unlabelled key-like tokens (key) and endpoints (endpoint) - are reported only if a
-part that completes them lies in the same scope: a name needs a secret, a token needs an
-access identifier or a name, and an endpoint needs both an identifier and a secret. Two
+(account), unlabelled key-like tokens (key), endpoints (endpoint) and assigned values below the
+strict length (short) - are reported only if a part that completes them lies in the same scope: a
+name needs a secret, a token or a short value needs an access identifier or a name, and an
+endpoint needs both an identifier and a secret; a short value counts as secret. Two
 spans share a scope if they are at most ``SCOPE`` characters apart in one document.
 
 The interval join is an equi-join over cells of the document as long as the scope. Each
@@ -23,10 +24,12 @@ from .spans import Pattern, find_spans, rank_of
 from .tables import Scratch, back_to, numbered
 
 STRICT = ("assign", "access", "hex")
-WEAK = ("account", "endpoint", "key")
+WEAK = ("account", "endpoint", "key", "short")
 KINDS = (*STRICT, *WEAK)
 SCOPE = 400
 MARK = "[secret]"
+# Characters of an assigned value from which on it is a strict span.
+ASSIGNED = 12
 
 _VALUE = "[A-Za-z0-9+/_.=-]"
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -39,8 +42,8 @@ PATTERNS = (
     Pattern("key", r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}+={0,2}"),
 )
 # What each part counts as when credentials are put together.
-ROLE = {"assign": "secret", "hex": "secret", "key": "secret", "access": "id", "account": "id", "endpoint": "endpoint"}
-NEEDS = {"account": ("secret",), "key": ("id",), "endpoint": ("id", "secret")}
+ROLE = {"assign": "secret", "hex": "secret", "key": "secret", "short": "secret", "access": "id", "account": "id", "endpoint": "endpoint"}
+NEEDS = {"account": ("secret",), "key": ("id",), "short": ("id",), "endpoint": ("id", "secret")}
 
 
 def near(spans: DataFrame, roles: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -63,7 +66,8 @@ def secrets(docs: DataFrame, scope: int = SCOPE, scratch: Scratch | None = None)
     rows, found = find_spans(docs, PATTERNS, scratch)
     value = F.regexp_replace("value", "^" + ASSIGN, "")
     role = F.create_map(*[x for k, r in ROLE.items() for x in (F.lit(k), F.lit(r))])
-    parts = found.where((F.col("kind") != "assign") | (F.length(value) >= 12)).select(
+    short = (F.col("kind") == "assign") & (F.length(value) < ASSIGNED)
+    parts = found.withColumn("kind", F.when(short, "short").otherwise(F.col("kind"))).select(
         "_row", "kind", "start", "end", "value", F.element_at(role, F.col("kind")).alias("role"), F.col("kind").isin(*STRICT).alias("base")
     )
     # A weak span inside a strict one is a part of it, not a second secret.
