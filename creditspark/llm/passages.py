@@ -1,14 +1,13 @@
-"""Long passages that occur more than once, by a logarithmic family of sparse suffix arrays.
+"""Long passages that occur more than once, by hashed anchors in place of suffix order.
 
 Every byte covered by a string of ``LENGTH`` bytes that also starts elsewhere is found, in
 all texts, exactly. Suffixes are indexed at anchors only: of all 200-byte strings that hold
 it, the 40-byte gram with the least hash, leftmost if tied. Equal strings have equal grams at
-equal places, so any repeat meets in the index. A suffix array here is a table of gram codes
-in order with the place of one occurrence; arrays of equal size merge.
+equal places, so any repeat meets in the index. The index is a table of gram codes, without
+suffixes or places; it only tells which codes occur twice. Tables of equal size merge.
 
-1. Texts are read in batches. Each batch gets its suffix array, is merge-scanned against
-   every level of the family for grams known already, and joins the family: equal-sized
-   levels merge, so a text is rewritten as often as the logarithm of the number of batches.
+1. The anchors of the one table are taken in hash slices. Each slice is joined with every
+   level for grams known already, and joins the levels; they are deleted after the last slice.
 2. For anchors with a shared gram, the stretch of strings that lean on the anchor is compared
    as a whole. Stretches found twice are repeats from end to end.
 3. The other stretches with shared grams, mostly at the ends of a passage, are compared
@@ -111,7 +110,7 @@ def _entries(batches):
 
 
 class SuffixFamily:
-    """Levels of suffix arrays ``(gram, _row)``; level i holds 2**i batches or nothing."""
+    """Levels of gram codes ``(gram, _row)``; level i holds 2**i batches or nothing."""
 
     def __init__(self, scratch: Scratch):
         self.scratch = scratch
