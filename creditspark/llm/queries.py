@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import credentials, decontam, language, neardup, packing, passages, pii, quality, sharding, toxicity
+from . import credentials, decontam, language, neardup, packing, passages, pii, quality, sharding, tokenfile, toxicity
 from .spans import joined
+from .tables import Scratch
 
 QUERIES = {}
 
@@ -102,3 +103,10 @@ def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    where = f"{Scratch(spark).folder}/ids"
+    tokenfile.write_ids(table(spark, folder, "documents"), tokenizer_path(), where)
+    return tokenfile.read_documents(spark, where).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
