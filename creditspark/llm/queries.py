@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import credentials, decontam, language, neardup, packing, passages, pii, quality, sharding, tokenfile, toxicity
+from . import credentials, decontam, language, merkle, neardup, packing, passages, pii, quality, runs, sharding, tokenfile, toxicity
 from .spans import joined
 from .tables import Scratch
 
@@ -110,3 +110,48 @@ def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
     where = f"{Scratch(spark).folder}/ids"
     tokenfile.write_ids(table(spark, folder, "documents"), tokenizer_path(), where)
     return tokenfile.read_documents(spark, where).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op12_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    columns = {c: F.col(c) for c in merkle.COLUMNS}
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = F.when(chosen, merkle.leaf(columns | {"n_chars": F.col("n_chars").cast("long") + 1}))
+    found = merkle.manifest(table(spark, folder, "documents"), {"changed": changed})
+    found = found.withColumn("folded_root", merkle.folded(F.coalesce("changed", "leaf"), F.col("path")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.digest(merkle.siblings(F.col("path"))).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def _repeating(text: Column, doc_id: Column) -> Column:
+    """The text of one in ten documents with a stretch of words that repeats to the end, others as they are."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def of(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        word = lambda i: F.element_at(words, (F.when(i < a, i).otherwise(a + (i - a) % p) + 1).cast("int"))
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), word), " "))
+
+    found = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    changed = F.element_at(F.transform(F.array(found), of), 1)  # the words are found once
+    return F.when(h % 10 == 0, F.coalesce(changed, text)).otherwise(text)
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = runs.periodic_runs(docs.select("doc_id", _repeating(F.col("text"), F.col("doc_id")).alias("text")))
+    order = F.transform("runs", lambda r: F.struct((-r["length"]).alias("first"), r["start"], r["length"], r["period"]))
+    top = F.get(F.array_sort(order), F.lit(0))
+    line = lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[top[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * top["length"] / top["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
