@@ -11,7 +11,7 @@ from .operators.metrics import (
 )
 from .operators.missing import filter_missing, missing_detail, missing_drops, value_ratio_bands
 from .operators.monitor import (
-    alert_summary, baseline, feature_alerts, feature_drift, load_baseline, model_alerts, model_drift, monitor_features,
+    alert_summary, baseline, feature_alerts, feature_drift, load_baseline, merged_baselines, model_alerts, model_drift, monitor_features,
     monitor_model, save_baseline,
 )
 from .operators.psi import filter_psi, psi_by_org, psi_categorical, psi_drops, psi_org_summary, psi_two_samples
@@ -22,7 +22,8 @@ from .operators.sample import (
     abnormal_months, drop_months, filter_abnormal_months, month_gaps, org_month_stats, org_outliers, org_summary,
     sample_gates,
 )
-from .operators.scorecard import Scorecard, score_points, train_scorecard
+from .operators.encode import category_codes, with_codes
+from .operators.scorecard import Scorecard, score_points, scorecard_metrics, train_scorecard
 from .operators.selection import select_features, selection_summary
 from .operators.split import forward_folds, split_frames, split_sizes, split_summary, stratified_folds, time_split
 from .operators.trees import (

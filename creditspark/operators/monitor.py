@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config
 from ..functions import texts
 from ..functions.scalars import is_missing, severity
-from ..plans.longform import TARGET, to_long
-from ..plans.ordered import exact_quantiles
-from ..plans.storage import checkpointed
+from ..plans.longform import TARGET, named
+from ..plans.ordered import exact_quantiles, plain_names
+from ..plans.storage import checkpointed, written
 from .metrics import ranking_metrics
-from .psi import bin_counts, psi_of, psi_two_samples
+from .psi import bin_counts_by_search, psi_of, psi_two_samples
 
 # Fixed value: the reported percentiles.
 PERCENTILES = (1, 5, 25, 50, 75, 95, 99)
+# Items of a quantile sketch at its widest level.
+SKETCH_SIZE = 2048
+_STATE = "struct<n: bigint, mean: double, min: double, max: double, std: double, sketch: binary>"
 
 
 def _numeric(df: DataFrame, features: Sequence[str]) -> list[str]:
@@ -35,47 +40,99 @@ def missing_rates(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return long.select("feature", "rows", F.try_divide("missing", "rows").alias("missing_rate"))
 
 
+def _state(value: Column) -> Column:
+    """Moments and a quantile sketch of one feature; such states of parts of a table add up."""
+    n = F.count(value)
+    return F.struct(
+        n.alias("n"), F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"),
+        F.stddev_samp(value).alias("std"), F.when(n > 0, F.kll_sketch_agg_double(value, F.lit(SKETCH_SIZE))).alias("sketch"),
+    )
+
+
 def baseline(
     df: DataFrame, features: Sequence[str], target: str = TARGET, bins: int = config.PSI_BINS
 ) -> DataFrame:
     """One row per feature with everything monitoring needs later.
 
     Numeric features: mean, sample std, min, max, median, exact percentiles as a map,
-    and the bin edges and counts for the stability index. Text features: missing rate.
+    and the bin edges and counts for the stability index. Text features: missing rate. ``n`` and ``sketch``
+    let later rows be added by ``merged_baselines``. The few columns are stored once, as three passes read them.
     """
     spark = df.sparkSession
     numeric = _numeric(df, features)
-    head = missing_rates(df, features)
-    rate = df.agg(F.avg(target).alias("bad_rate")).first().bad_rate
+    kept = list(dict.fromkeys([*features, target]))
+    df = written(df.select(*map(named, kept)))
+    wide, names = plain_names(df, numeric, [c for c in kept if c not in numeric])
+    wide = wide if target not in numeric else wide.withColumn(target, F.col(names[target]))
+    missing = {f: F.count_if(F.col(names[f]).isNull()) if f in names else F.count_if(is_missing(f, df.schema[f].dataType, ())) for f in features}
+    row = wide.agg(
+        F.count("*").alias("rows"), F.avg(named(target)).alias("bad_rate"),
+        F.array(*[
+            F.struct(F.lit(f).alias("feature"), F.lit(f in names).alias("numeric"), missing[f].alias("missing"),
+                     (_state(F.col(names[f])) if f in names else F.lit(None).cast(_STATE)).alias("state"))
+            for f in features
+        ]).alias("each"),
+    )
+    head = checkpointed(row.select("rows", "bad_rate", F.explode("each").alias("x")).select("rows", "bad_rate", "x.feature", "x.numeric", "x.missing", "x.state.*"))
     if numeric:
-        long = to_long(df, numeric, [])
-        moments = long.groupBy("feature").agg(
-            F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
-            F.stddev_samp("value").alias("std"),
-        )
         probs = [p / 100 for p in PERCENTILES] + [i / bins for i in range(1, bins)]
-        names = F.array(*[F.lit(f"p{p}") for p in PERCENTILES])
-        ranks = exact_quantiles(df, numeric, [], probs).select(
-            "feature",
-            F.element_at("edges", PERCENTILES.index(50) + 1).alias("median"),
-            F.map_from_arrays(names, F.slice("edges", 1, len(PERCENTILES))).alias("percentiles"),
-            F.slice("edges", len(PERCENTILES) + 1, bins - 1).alias("edges"),
-        )
-        counted = bin_counts(long, ranks.select("feature", "edges"), [], [], bins)
-        body = moments.join(ranks, "feature").join(counted, "feature")
+        edges = exact_quantiles(df, numeric, [], probs).select("feature", *_ranks(F.col("edges"), bins))
+        body = edges.join(bin_counts_by_search(df, edges.select("feature", "edges"), [], bins), "feature")
     else:
         body = spark.createDataFrame(
-            [],
-            "feature string, mean double, min double, max double, std double, median double, "
-            "percentiles map<string,double>, edges array<double>, counts array<bigint>",
+            [], "feature string, median double, percentiles map<string,double>, edges array<double>, counts array<bigint>"
         )
-    kinds = F.array(*[F.lit(f) for f in numeric]).cast("array<string>")
     return head.join(body, "feature", "left").select(
-        "feature",
-        F.array_contains(kinds, F.col("feature")).alias("numeric"),
-        F.col("rows").alias("n_samples"),
-        F.lit(rate).cast("double").alias("bad_rate"),
-        "mean", "std", "min", "max", "median", "missing_rate", "percentiles", "edges", "counts",
+        "feature", "numeric", F.col("rows").alias("n_samples"), F.col("bad_rate").cast("double").alias("bad_rate"),
+        "mean", "std", "min", "max", "median", F.try_divide("missing", "rows").alias("missing_rate"), "percentiles", "edges", "counts",
+        "n", "sketch",
+    )
+
+
+def _ranks(found: Column, bins: int) -> list[Column]:
+    """Median, percentiles and edges out of the array of all quantiles of a baseline."""
+    names = F.array(*[F.lit(f"p{p}") for p in PERCENTILES])
+    return [
+        F.element_at(found, PERCENTILES.index(50) + 1).alias("median"),
+        F.map_from_arrays(names, F.slice(found, 1, len(PERCENTILES))).alias("percentiles"),
+        F.slice(found, len(PERCENTILES) + 1, bins - 1).alias("edges"),
+    ]
+
+
+def merged_baselines(tables: Sequence[DataFrame], bins: int = config.PSI_BINS) -> DataFrame:
+    """The baseline of all rows behind several baselines, such as a stored one and that of a new month, without those rows.
+
+    Counts, rates and moments are exact. Median, percentiles, edges and bin counts come from the merged sketches,
+    whose ranks are off by a few thousandths of the rows at most.
+    """
+    every = reduce(DataFrame.unionByName, [t.drop("created_at") for t in tables])
+    n, m2 = F.col("n"), F.pow("std", 2) * (F.col("n") - 1)
+    summed = every.groupBy("feature").agg(
+        F.bool_or("numeric").alias("numeric"), F.sum("n_samples").alias("n_samples"),
+        F.try_divide(F.sum(F.col("bad_rate") * F.col("n_samples")), F.sum("n_samples")).alias("bad_rate"),
+        F.try_divide(F.sum(F.col("missing_rate") * F.col("n_samples")), F.sum("n_samples")).alias("missing_rate"),
+        F.sum("n").alias("n"), F.try_divide(F.sum(n * F.col("mean")), F.sum("n")).alias("mean"),
+        F.sum(F.coalesce(m2, F.lit(0.0))).alias("_within"), F.sum(n * F.pow("mean", 2)).alias("_squares"),
+        F.min("min").alias("min"), F.max("max").alias("max"), F.kll_merge_agg_double("sketch").alias("sketch"),
+    )
+    between = F.greatest(F.lit(0.0), F.col("_squares") - n * F.pow("mean", 2))
+    std = F.when(n > 1, F.sqrt((F.col("_within") + between) / (n - 1)))
+    probs = F.array(*[F.lit(q) for q in [p / 100 for p in PERCENTILES] + [i / bins for i in range(1, bins)]])
+    held = checkpointed(summed.withColumn("std", std).withColumn("sketch", F.when((n > 0) & F.col("numeric"), F.col("sketch"))))
+    found = held.where("sketch IS NOT NULL").withColumn("_q", F.kll_sketch_get_quantile_double("sketch", probs)).select("feature", "n", "sketch", *_ranks(F.col("_q"), bins))
+    found = checkpointed(found)
+    # Rows below each edge, by the sketch, which wants the edges as literals; bins reach from one edge to below the next.
+    ranks = [
+        F.when(F.col("feature") == r.feature, F.kll_sketch_get_rank_double("sketch", F.array(*[F.lit(math.nextafter(e, -math.inf)) for e in r.edges])))
+        for r in found.select("feature", "edges").collect()
+    ]
+    below = F.transform(F.coalesce(F.array().cast("array<double>") if not ranks else ranks[0], *ranks[1:]), lambda share: F.round(share * n).cast("long"))
+    upto = F.concat(F.array(F.lit(0).cast("long")), below, F.array(n))
+    counts = F.zip_with(F.slice(upto, 1, bins), F.slice(upto, 2, bins), lambda low, high: high - low)
+    body = found.select("feature", "median", "percentiles", "edges", counts.alias("counts"))
+    return held.join(body, "feature", "left").select(
+        "feature", "numeric", "n_samples", "bad_rate", "mean", "std", "min", "max", "median", "missing_rate", "percentiles", "edges", "counts",
+        "n", "sketch",
     )
 
 
@@ -98,9 +155,8 @@ def feature_drift(base: DataFrame, current: DataFrame, features: Sequence[str] |
         return both.select("feature", F.lit(0.0).alias("psi"), "base_missing", "current_missing")
     edges = base.filter(F.col("edges").isNotNull()).select("feature", "edges")
     bins = base.agg(F.max(F.size("counts"))).first()[0]
-    counts = bin_counts(to_long(current, numeric, []), edges, [], [], bins).withColumnRenamed(
-        "counts", "current_counts"
-    )
+    chosen_edges = edges.where(F.col("feature").isin(numeric))
+    counts = bin_counts_by_search(current, chosen_edges, [], bins).withColumnRenamed("counts", "current_counts")
     return both.join(counts, "feature", "left").select(
         "feature", psi_of(F.col("counts"), F.col("current_counts")).alias("psi"), "base_missing", "current_missing"
     )

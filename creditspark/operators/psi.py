@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import texts
 from ..functions.scalars import floored
-from ..plans.longform import MONTH, ORG, to_long, varying_numeric_features
-from ..plans.ordered import exact_quantiles
+from ..plans.longform import MONTH, ORG, named, to_long, varying_numeric_features
+from ..plans.ordered import exact_quantiles, long_of, plain_names, slots
 from ..plans.storage import checkpointed, join_checked
 from .bands import psi_bands
 
@@ -38,6 +39,23 @@ def bin_counts(long: DataFrame, edges: DataFrame, keys: Sequence[str], by: Seque
     return counted.select(*by, "feature", F.array(*[F.col(f"_c{i}") for i in range(bins)]).alias("counts"))
 
 
+def bin_counts_by_search(df: DataFrame, edges: DataFrame, by: Sequence[str], bins: int) -> DataFrame:
+    """``bin_counts`` of wide rows with edges per feature only: these few are literals, and a value finds its
+    bin by binary search, without a join."""
+    found = {r.feature: sorted(r.edges) for r in edges.select("feature", "edges").collect()}
+    wide, names = plain_names(df, list(found), by)
+    wide = slots(wide, {names[f]: sorted(set(e)) for f, e in found.items()})
+    parts = {}
+    for f, e in found.items():
+        at = [-math.inf, *sorted(set(e))]
+        parts[f] = F.get(F.array(*[F.lit(sum(x <= p for x in e)) for p in at]), F.col(f"{names[f]}__slot"))
+    if not parts:
+        return wide.select(*by, F.lit(None).cast("string").alias("feature"), F.array().cast("array<bigint>").alias("counts")).where(F.lit(False))
+    long = long_of(wide, by, parts).where(F.col("x").isNotNull())
+    counted = long.groupBy(*by, "feature").agg(*[F.count_if(F.col("x") == i).alias(f"_c{i}") for i in range(bins)])
+    return counted.select(*by, "feature", F.array(*[F.col(f"_c{i}") for i in range(bins)]).alias("counts"))
+
+
 def _size(counts: Column) -> Column:
     return F.aggregate(counts, F.lit(0).cast("long"), lambda total, n: total + n)
 
@@ -60,10 +78,10 @@ def psi_two_samples(
 ) -> DataFrame:
     """(feature, psi) of two samples for all features in one job."""
     edges = base_edges(base, features, [], bins)
-    sides = to_long(base, features, []).withColumn("side", F.lit("base")).unionByName(
-        to_long(current, features, []).withColumn("side", F.lit("current"))
+    sides = base.select(*map(named, features), F.lit("base").alias("_side")).unionByName(
+        current.select(*map(named, features), F.lit("current").alias("_side"))
     )
-    counts = bin_counts(sides, edges, [], ["side"], bins)
+    counts = bin_counts_by_search(sides, edges, ["_side"], bins).withColumnRenamed("_side", "side")
     pairs = counts.groupBy("feature").agg(
         F.max(F.when(F.col("side") == "base", F.col("counts"))).alias("base"),
         F.max(F.when(F.col("side") == "current", F.col("counts"))).alias("current"),

@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
-from ..plans.longform import TARGET
+from ..plans.longform import TARGET, named
 from ..plans.storage import written
+from .metrics import ranking_metrics
 from .woe import WoeBins, fit_woe, woe_transform
 
 
@@ -40,7 +40,8 @@ def score_points(
 @dataclass
 class Scorecard:
     woe: WoeBins
-    model: PipelineModel
+    weights: list[float]  # of the features, in their order
+    intercept: float
     pdo: float = config.SCORE_PDO
     base: float = config.SCORE_BASE
     base_odds: float = config.SCORE_BASE_ODDS
@@ -50,12 +51,21 @@ class Scorecard:
         return self.woe.features
 
     def coefficients(self) -> dict[str, float]:
-        return dict(zip(self.features, self.model.stages[-1].coefficients.toArray().tolist()))
+        return dict(zip(self.features, self.weights))
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``p``, the probability of bad."""
-        scored = self.model.transform(woe_transform(df, self.woe))
-        return scored.select(*df.columns, vector_to_array("probability")[1].alias("p"))
+        terms = [F.lit(w) * named(f"{f}_woe") for f, w in self.coefficients().items()]
+        total = reduce(Column.__add__, terms, F.lit(self.intercept))
+        return woe_transform(df, self.woe).select(*map(named, df.columns), (1 / (1 + F.exp(-total))).alias("p"))
+
+    def gradient(self, df: DataFrame, target: str = TARGET, c: float = config.LR_C) -> DataFrame:
+        """(feature, gradient) of the penalised loss that the fit minimises, null for the intercept; all are zero at the best weights."""
+        scored = woe_transform(self.predict(df.where(named(target).isNotNull())), self.woe)
+        miss = F.col("p") - named(target)
+        row = scored.agg(*[F.sum(miss * named(f"{f}_woe")).alias(f"g{i}") for i, f in enumerate(self.features)], F.sum(miss).alias("g"))
+        each = [F.struct(F.lit(f).alias("feature"), (F.col(f"g{i}") + w / c).alias("gradient")) for i, (f, w) in enumerate(self.coefficients().items())]
+        return row.select(F.inline(F.array(*each, F.struct(F.lit(None).cast("string").alias("feature"), F.col("g").alias("gradient")))))
 
     def score(self, df: DataFrame, direction: str = "risk") -> DataFrame:
         """Add ``p`` and the integer ``score``."""
@@ -78,19 +88,70 @@ class Scorecard:
 
     def save(self, folder: str) -> None:
         self.woe.save(f"{folder}/woe")
-        self.model.write().overwrite().save(f"{folder}/model")
         spark = self.woe.bins.sparkSession
         spark.createDataFrame(
-            [(float(self.pdo), float(self.base), float(self.base_odds))], "pdo double, base double, base_odds double"
-        ).write.mode("overwrite").json(f"{folder}/settings")
+            [([float(w) for w in self.weights], float(self.intercept), float(self.pdo), float(self.base), float(self.base_odds))],
+            "weights array<double>, intercept double, pdo double, base double, base_odds double",
+        ).write.mode("overwrite").parquet(f"{folder}/settings")
 
     @classmethod
     def load(cls, spark: SparkSession, folder: str) -> Scorecard:
-        settings = spark.read.json(f"{folder}/settings").first()
-        return cls(
-            WoeBins.load(spark, f"{folder}/woe"), PipelineModel.load(f"{folder}/model"),
-            settings.pdo, settings.base, settings.base_odds,
-        )
+        kept = spark.read.parquet(f"{folder}/settings").first()
+        return cls(WoeBins.load(spark, f"{folder}/woe"), list(kept.weights), kept.intercept, kept.pdo, kept.base, kept.base_odds)
+
+
+def _newton_sums(width: int, weights: np.ndarray):
+    """Loss, gradient and upper curvature of the patterns of a task, as (place, value) rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 + width + width * width)
+        for batch in batches:
+            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(width - 1)] + [np.ones(len(batch))], 1)
+            n, bad = (batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (width - 1, width))
+            z = x @ weights
+            p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+            total[0] += (n * np.logaddexp(0, z) - bad * z).sum()
+            total[1 : 1 + width] += x.T @ (n * p - bad)
+            total[1 + width :] += (x.T @ (x * (n * p * (1 - p))[:, None])).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["place", "value"])
+
+    return run
+
+
+def newton_weights(patterns: DataFrame, columns: Sequence[str], c: float, max_iter: int, tolerance: float = 1e-9) -> np.ndarray:
+    """Weights of ``columns`` and the intercept that minimise the summed log loss plus ``|w|^2 / 2c``.
+
+    ``patterns`` has ``n`` rows and ``bad`` of them per distinct row of the columns. Each Newton step is one
+    pass over it that brings (columns + 1)^2 sums to the driver; a step that raises the loss is halved.
+    """
+    width = len(columns) + 1
+    table = patterns.select(*[named(x).cast("double") for x in columns], F.col("n").cast("double"), F.col("bad").cast("double"))
+    ridge = np.append(np.full(width - 1, 1 / c), 0.0)
+
+    def at(weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        found = table.mapInArrow(_newton_sums(width, weights), "place long, value double").groupBy("place").agg(F.sum("value")).toArrow()
+        sums = np.zeros(1 + width + width * width)
+        sums[found.column(0).to_numpy()] = found.column(1).to_numpy()
+        loss = sums[0] + (ridge * weights * weights).sum() / 2
+        return loss, sums[1 : 1 + width] + ridge * weights, sums[1 + width :].reshape(width, width) + np.diag(ridge)
+
+    weights = np.zeros(width)
+    loss, gradient, curve = at(weights)
+    for _ in range(max_iter):
+        if np.abs(gradient).max() <= tolerance:
+            break
+        step, share = np.linalg.lstsq(curve, gradient, rcond=None)[0], 1.0
+        while True:
+            tried = weights - share * step
+            new = at(tried)
+            if new[0] <= loss + 1e-9 * abs(loss) or share < 1e-6:
+                break
+            share /= 2
+        done = np.abs(tried - weights).max() <= 1e-13 * max(1.0, np.abs(tried).max())
+        weights, (loss, gradient, curve) = tried, new
+        if done:
+            break
+    return weights
 
 
 def train_scorecard(
@@ -105,16 +166,20 @@ def train_scorecard(
 ) -> Scorecard:
     """Fit bins and an L2 logistic regression on the WOE columns.
 
-    ``c`` is the inverse penalty of the summed loss; Spark averages the loss, hence
-    the division by the row count. The intercept is not penalised.
+    ``c`` is the inverse penalty of the summed loss; the intercept is not penalised. Rows collapse to their distinct
+    WOE patterns with counts before the fit, so its passes read a table that hardly grows with the rows.
     """
     woe = fit_woe(df, features, target)
     columns = [f"{f}_woe" for f in features]
-    table = written(woe_transform(df.filter(F.col(target).isNotNull()), woe).select(target, *columns))
-    assembler = VectorAssembler(inputCols=columns, outputCol="woe_vector")
-    regression = LogisticRegression(
-        featuresCol="woe_vector", labelCol=target, regParam=1 / (c * table.count()), elasticNetParam=0.0,
-        standardization=False, maxIter=max_iter, tol=1e-8,
+    coded = woe_transform(df.filter(named(target).isNotNull()), woe)
+    patterns = coded.groupBy(*map(named, columns)).agg(F.count(F.lit(1)).alias("n"), F.sum(named(target)).alias("bad"))
+    weights = newton_weights(written(patterns), columns, c, max_iter)
+    return Scorecard(woe, [float(w) for w in weights[:-1]], float(weights[-1]), pdo, base, base_odds)
+
+
+def scorecard_metrics(card: Scorecard, train: DataFrame, test: DataFrame, target: str = TARGET) -> DataFrame:
+    """(sample, rows, bad_rate, auc, ks) of a scorecard on its training rows and on others."""
+    both = card.predict(train).select(F.lit("train").alias("sample"), named(target), "p").unionByName(
+        card.predict(test).select(F.lit("test").alias("sample"), named(target), "p")
     )
-    fitted = regression.fit(assembler.transform(table))
-    return Scorecard(woe, PipelineModel([assembler, fitted]), pdo, base, base_odds)
+    return ranking_metrics(written(both), "p", target, ["sample"]).select("sample", "rows", "bad_rate", "auc", "ks")

@@ -154,6 +154,57 @@ def rank_quantiles(running: DataFrame, keys: Sequence[str], probs: Sequence[floa
     return found.select(*keys, "n_all", F.array(*edges).alias("edges"))
 
 
+def slots(df: DataFrame, points: dict[str, list[float]]) -> DataFrame:
+    """Add ``<column>__slot``: how many of the column's ascending points are not above the value, by binary
+    search; null for a missing value."""
+    cut = [c for c, p in points.items() if p]
+    if cut:
+        df = Bucketizer(
+            splitsArray=[[-math.inf, *points[c], math.inf] for c in cut], inputCols=cut,
+            outputCols=[f"{c}__slot" for c in cut], handleInvalid="keep",
+        ).transform(df)
+    found = {c: F.col(f"`{c}__slot`").cast("int") if points[c] else F.lit(0) for c in points}
+    return df.withColumns({f"{c}__slot": F.when(F.col(f"`{c}`").isNotNull(), x) for c, x in found.items()})
+
+
+def plain_names(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> tuple[DataFrame, dict[str, str]]:
+    """Features as doubles under names without dots or backticks, and those names by feature."""
+    names = {f: f"f{i}" for i, f in enumerate(features)}
+    return df.select(*map(named, keep), *[clean_double(f).alias(n) for f, n in names.items()]), names
+
+
+def long_of(wide: DataFrame, keep: Sequence[str], parts: dict[str, Column]) -> DataFrame:
+    """(keep..., feature, x): one struct per feature and row."""
+    each = [F.struct(F.lit(f).alias("feature"), x.alias("x")) for f, x in parts.items()]
+    return wide.select(*map(named, keep), F.explode(F.array(*each)).alias("_each")).select(*map(named, keep), "_each.feature", "_each.x")
+
+
+def _marks(probs: Sequence[float]) -> list[float]:
+    """Shares between which each wanted quantile is looked for: all lower ends, then all upper ends."""
+    margin, ordered = 2 / SKETCH_ACCURACY, sorted(set(probs))
+    return [max(0.0, q - margin) for q in ordered] + [min(1.0, q + margin) for q in ordered]
+
+
+def _cells_by_search(df: DataFrame, features: Sequence[str], marks: dict[str, list[float]]) -> DataFrame:
+    """``_bracketed_cells`` of the whole table: a binary search over a feature's few marks per value, at any number of quantiles."""
+    wide, names = plain_names(df, features)
+    points, parts = {}, {}
+    for f, found in marks.items():
+        lows, highs = sorted(found[: len(found) // 2]), sorted(found[len(found) // 2 :])
+        points[names[f]] = sorted({*lows, *(math.nextafter(h, math.inf) for h in highs)})
+        at = [-math.inf, *points[names[f]]]
+        entered = [sum(low <= p for low in lows) for p in at]
+        left = [sum(high < p for high in highs) for p in at]
+        slot = F.col(f"{names[f]}__slot")
+        pick = lambda values: F.get(F.array(*[F.lit(v) for v in values]), slot)  # noqa: B023, E731
+        gap = pick([e == x for e, x in zip(entered, left)])
+        floor = pick([highs[x - 1] if x else -math.inf for x in left])
+        value = F.when(gap, floor).otherwise(F.col(names[f]))
+        parts[f] = F.struct(pick(entered).alias(BUCKET), value.alias("value"), gap.alias("gap"))
+    long = long_of(slots(wide, points), [], parts).select("feature", "x.*").where(F.col("value").isNotNull())
+    return long.groupBy("feature", BUCKET, "value", "gap").agg(F.count("*").alias("n"))
+
+
 def _bracketed_cells(df: DataFrame, features: Sequence[str], keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Value cells near the wanted quantiles, and one cell for everything between two of them.
 
@@ -162,23 +213,25 @@ def _bracketed_cells(df: DataFrame, features: Sequence[str], keys: Sequence[str]
     thousandths of the values. ``bucket`` numbers the brackets, ``gap`` marks the
     summed cells; the order (bucket, value, gap) is the order of the values.
     """
-    group, m = [*keys, "feature"], len(probs)
-    margin = 2 / SKETCH_ACCURACY
-    marks = [max(0.0, q - margin) for q in probs] + [min(1.0, q + margin) for q in probs]
+    marks = _marks(probs)
+    if not keys:
+        wide, names = plain_names(df, features)
+        row = wide.agg(*[F.percentile_approx(n, marks, SKETCH_ACCURACY).alias(n) for n in names.values()]).first()
+        return _cells_by_search(df, features, {f: row[n] for f, n in names.items() if row[n] is not None})
+    group, m = [*keys, "feature"], len(marks) // 2
     long = to_long(df, features, keys)
     sketch = checkpointed(
         long.groupBy(*group).agg(F.percentile_approx("value", marks, SKETCH_ACCURACY).alias("marks"))
     )
     value = F.col("value")
-    lows = [F.element_at("marks", i + 1) for i in range(m)]
-    highs = [F.element_at("marks", m + i + 1) for i in range(m)]
-    inside = reduce(Column.__or__, [value.between(low, high) for low, high in zip(lows, highs)])
-    # Highest bracket end below the value; -inf below all brackets.
-    floor = F.greatest(F.lit(-math.inf), *[F.when(high < value, high) for high in highs])
-    bucket = reduce(Column.__add__, [(value >= low).cast("int") for low in lows])
+    entered = reduce(Column.__add__, [(value >= F.element_at("marks", i + 1)).cast("int") for i in range(m)])
+    left = reduce(Column.__add__, [(value > F.element_at("marks", m + i + 1)).cast("int") for i in range(m)])
+    # A value is inside a bracket if it entered more of them than it left; the last one left ends below it.
+    placed = join_checked(long, sketch, group).select(*group, "value", "marks", entered.alias(BUCKET), left.alias("_left"))
+    floor = F.when(F.col("_left") == 0, F.lit(-math.inf)).otherwise(F.element_at("marks", F.lit(m) + F.col("_left")))
+    gap = F.col(BUCKET) == F.col("_left")
     return (
-        join_checked(long, sketch, group)
-        .select(*group, bucket.alias(BUCKET), F.when(inside, value).otherwise(floor).alias("value"), (~inside).alias("gap"))
+        placed.select(*group, BUCKET, F.when(gap, floor).otherwise(value).alias("value"), gap.alias("gap"))
         .groupBy(*group, BUCKET, "value", "gap")
         .agg(F.count("*").alias("n"))
     )

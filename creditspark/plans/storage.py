@@ -44,18 +44,27 @@ def written(df: DataFrame) -> DataFrame:
 
     Later passes then prune columns and push filters into the scan.
     """
+    return written_at(df)[0]
+
+
+def written_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """As ``written``, with the path for ``removed``."""
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
     """Delete every intermediate table of this session's checkpoint folder."""
     folder = spark.sparkContext.getCheckpointDir()
     if folder is not None:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        removed(spark, folder)
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, width: int | None = None) -> bool:

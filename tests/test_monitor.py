@@ -122,3 +122,29 @@ def test_model_report(spark, tmp_path):
 def test_drift_uses_the_bins_of_the_baseline(spark, bins):
     df = spark.createDataFrame([(i % 2, float(i * 7919 % 1000)) for i in range(1000)], "new_target int, x double")
     assert [r.psi for r in cs.feature_drift(cs.baseline(df, ["x"], bins=bins), df).collect()] == [0.0]
+
+
+def test_merged_baselines_describe_all_rows(spark, tmp_path):
+    parts = [sample(spark, k, 0.1 * k, 20 + k, n=300 * k) for k in (1, 2, 3)]
+    for k, part in enumerate(parts[:-1]):
+        cs.save_baseline(cs.baseline(part, ["x", "k", "t"]), f"{tmp_path}/b{k}")
+    tables = [cs.load_baseline(spark, f"{tmp_path}/b{k}") for k in range(2)] + [cs.baseline(parts[2], ["x", "k", "t"])]
+    merged = {r.feature: r for r in cs.merged_baselines(tables).collect()}
+    rows = [r for part in parts for r in part.collect()]
+    for name in ("x", "k"):
+        values = np.array([r[name] for r in rows if r[name] is not None])
+        got = merged[name]
+        assert (got.n_samples, got.n, got.missing_rate) == pytest.approx((1800, len(values), 1 - len(values) / 1800))
+        assert (got.mean, got.std, got.min, got.max) == pytest.approx((values.mean(), values.std(ddof=1), values.min(), values.max()))
+        assert got.bad_rate == pytest.approx(np.mean([r.new_target for r in rows]))
+        for p, value in got.percentiles.items():
+            assert (values < value).mean() - 0.01 <= int(p[1:]) / 100 <= (values <= value).mean() + 0.01
+        assert sum(got.counts) == len(values) and len(got.counts) == 10
+        edges = [-np.inf, *got.edges, np.inf]
+        exact = [((values >= a) & (values < b)).sum() for a, b in zip(edges, edges[1:])]
+        assert max(abs(a - b) for a, b in zip(exact, got.counts)) <= 0.01 * len(values)
+    assert merged["t"].numeric is False and merged["t"].sketch is None and merged["t"].n_samples == 1800
+    # A merged baseline is one like any other: it can be compared with, and merged again.
+    again = cs.merged_baselines([cs.merged_baselines(tables[:2]), tables[2]])
+    assert {r.feature: r.n for r in again.collect()} == {f: r.n for f, r in merged.items()}
+    assert cs.feature_drift(cs.merged_baselines(tables), parts[0]).filter("feature = 'x'").first().psi > 0.1

@@ -9,6 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Limits between bins of the features of the tree that SQL grows too.
+TREE_LIMITS = {
+    "quantity": [5.5 + 5 * i for i in range(9)], "discount": [0.005 + 0.01 * i for i in range(10)], "tax": [0.005 + 0.01 * i for i in range(8)],
+}
+
 TABLES = ("lineitem", "orders", "customer", "part", "supplier")
 
 NUMERIC = (

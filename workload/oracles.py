@@ -409,6 +409,59 @@ def baseline_rows() -> str:
 
 CLEAN_COLUMNS = ("apply_date", "org_info", "label", *NUMERIC[:7], "segment", *NUMERIC[7:], "const")
 
+# --- boosted trees -----------------------------------------------------------
+
+_LIMITS = " UNION ALL ".join(f"SELECT '{f}' AS feature, {x!r}::DOUBLE AS below" for f, points in fx.TREE_LIMITS.items() for x in points)
+_STRENGTH = "pow(greatest(abs({g}) - 5, 0), 2) / ({h} + 5)"
+
+
+def _grown(level: int) -> dict[str, str]:
+    """Best split per node of a level, and the rows with their place one level below."""
+    left, right, whole = (_STRENGTH.format(g=g, h=h) for g, h in (("gl", "hl"), ("g - gl", "h - hl"), ("g", "h")))
+    value = "CASE feature " + " ".join(f"WHEN '{f}' THEN {f}" for f in fx.TREE_LIMITS) + " END"
+    return {
+        f"sides{level}": f"""
+            SELECT path, feature, below, sum(g) AS g, sum(h) AS h, count(*) AS n, sum(g) FILTER (WHERE {value} < below) AS gl,
+                   sum(h) FILTER (WHERE {value} < below) AS hl, count(*) FILTER (WHERE {value} < below) AS nl
+            FROM rows{level} CROSS JOIN limits GROUP BY path, feature, below""",
+        f"best{level}": f"""
+            SELECT path, arg_max(feature, gain) AS feature, arg_max(below, gain) AS below, max(gain) AS gain
+            FROM (SELECT *, {left} + {right} - {whole} AS gain FROM sides{level} WHERE n >= 100 AND nl >= 50 AND n - nl >= 50)
+            WHERE gain > 0.1 GROUP BY path""",
+        f"rows{level + 1}": f"""
+            SELECT quantity, discount, tax, g, h, path || CASE WHEN {value} < below THEN 'l' ELSE 'r' END AS path
+            FROM rows{level} JOIN best{level} USING (path)""",
+    }
+
+
+def _nodes(level: int, split: bool) -> str:
+    value = "round(-0.03 * sign(g) * greatest(abs(g) - 5, 0) / (h + 5), 4) AS value"
+    sums = f"SELECT path, sum(g) AS g, sum(h) AS h, count(*) AS n FROM rows{level} GROUP BY path"
+    if not split:
+        return f"SELECT NULL AS feature, NULL::DOUBLE AS below, 0.0 AS gain, {value}, n AS rows FROM ({sums})"
+    return f"SELECT feature, round(below, 4) AS below, coalesce(round(gain, 4), 0.0) AS gain, {value}, n AS rows FROM ({sums}) LEFT JOIN best{level} USING (path)"
+
+
+FIRST_ROUND = cte(
+    " UNION ALL ".join([_nodes(0, True), _nodes(1, True), _nodes(2, False)]),
+    s=SAMPLE, limits=_LIMITS, p="SELECT avg(new_target) AS p FROM s",
+    # The learner adds up whole numbers of 2**-24.
+    rows0="""SELECT quantity, discount, tax, round((p - new_target) * 16777216) / 16777216 AS g,
+        round(p * (1 - p) * 16777216) / 16777216 AS h, '' AS path FROM s CROSS JOIN p""",
+    **_grown(0), **_grown(1),
+)
+
+MERGED = cte(
+    " UNION ALL ".join(
+        f"""SELECT '{f}' AS feature, count(*) AS n_samples, round(avg(new_target), 5) AS bad_rate, round(avg({f}), 5) AS mean,
+                   round(stddev_samp({f}), 5) AS std, round(min({f}), 5) AS min, round(max({f}), 5) AS max,
+                   round(1 - count({f}) / count(*), 5) AS missing_rate, count({f}) AS counted, true AS ranks_right FROM s"""
+        for f in NUMERIC
+    ),
+    s=SAMPLE,
+)
+
+
 ORACLES = {
     "load_clean": f"""
         SELECT strftime(apply_date, '%Y%m%d') AS new_date, org_info AS new_org, label AS new_target, quantity, discount, tax,
@@ -569,6 +622,16 @@ ORACLES = {
         FROM ({split_rows(True)}) GROUP BY ALL""",
     "split_summary": f"SELECT split, count(*) AS rows, round(avg(new_target), 6) AS bad_rate FROM ({split_rows(False)}) GROUP BY split",
     "stratified_folds": FOLDS,
+    "cv_sizes": f"SELECT fold, (SELECT count(*) FROM ({SAMPLE})) - sum(n)::BIGINT AS train_size, sum(n)::BIGINT AS val_size FROM ({FOLDS}) GROUP BY fold",
+    "tree_first_round": FIRST_ROUND,
+    "category_codes": """
+        SELECT 'pair' AS feature, value, n, dense_rank() OVER (ORDER BY value) - 1 AS code
+        FROM (SELECT concat(l_partkey, '-', l_suppkey) AS value, count(*) AS n FROM lineitem GROUP BY value)""",
+    "shuffled_ones": f"""
+        SELECT run::INTEGER AS run, count(*) AS rows, sum(new_target)::BIGINT AS ones, true AS independent
+        FROM (SELECT DISTINCT concat(l_orderkey, '-', l_linenumber, '-', quantity) AS row_id, new_target FROM ({SAMPLE})) CROSS JOIN range(5) r(run) GROUP BY run""",
+    "scorecard_certificate": "SELECT unnest(['quantity', 'discount', 'balance', 'segment', 'intercept']) AS feature, true AS flat",
+    "baseline_merge": MERGED,
     "forward_folds": f"""
         SELECT CAST(greatest(0, 5 - floor((n - 1 - place) / (n // 6))) AS INTEGER) AS fold, count(*) AS n,
                CAST(sum(l_orderkey) AS BIGINT) AS keys, min(new_date) AS first_date, max(new_date) AS last_date

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import creditspark as cs
-from creditspark.operators import binning, correlation
+from creditspark.operators import binning, correlation, trees
 from creditspark.plans.longform import ORG, TARGET, constant_columns
 from creditspark.plans.storage import checkpoint_folder, written
 from creditspark.sources.load import valid_labels
@@ -477,6 +478,22 @@ def scorecard_fit(spark, sf_dir):
     return cs.evaluate(card.predict(val), "scorecard")[0]
 
 
+@query
+def scorecard_certificate(spark, sf_dir):
+    """Whether the gradient of the penalised loss is zero in every weight of a scorecard that was saved and loaded."""
+    df = stored_sample(spark, sf_dir, *SCORECARD_FEATURES)
+    folder = _saved(spark)
+    cs.train_scorecard(df, SCORECARD_FEATURES).save(folder)
+    found = cs.Scorecard.load(spark, folder).gradient(df)
+    return found.select(F.coalesce("feature", F.lit("intercept")).alias("feature"), (F.abs("gradient") <= 1e-6).alias("flat"))
+
+
+@query
+def scorecard_auc(spark, sf_dir):
+    train, _, test = _train_val_test(spark, sf_dir, *SCORECARD_FEATURES)
+    return rounded(cs.scorecard_metrics(cs.train_scorecard(train, SCORECARD_FEATURES), train, test))
+
+
 @query
 def scorecard_points(spark, sf_dir):
     card = cs.train_scorecard(stored_sample(spark, sf_dir, *SCORECARD_FEATURES), SCORECARD_FEATURES)
@@ -495,6 +512,47 @@ def tree_fit(spark, sf_dir):
     return cs.evaluate(model.predict(test), "lgb")[0]
 
 
+def _saved(spark) -> str:
+    """A fresh folder for a model or table that is written and read again."""
+    return f"{checkpoint_folder(spark)}/saved-{uuid.uuid4().hex}"
+
+
+@query
+def tree_published(spark, sf_dir):
+    """The published preset with all its rounds, early stopping included."""
+    train, val, test = _train_val_test(spark, sf_dir, *TREE_FEATURES)
+    return cs.evaluate(cs.train_tree(train, TREE_FEATURES, val).predict(test), "lgb")[0]
+
+
+@query
+def tree_first_round(spark, sf_dir):
+    """The first tree of the published preset on all rows and features, two levels deep, saved and loaded."""
+    df = stored_sample(spark, sf_dir, *fx.TREE_LIMITS)
+    whole = {"maxIter": 1, "maxDepth": 2, "subsamplingRate": 1.0, "featureSubsetStrategy": "1.0"}
+    folder = _saved(spark)
+    cs.train_tree(df, list(fx.TREE_LIMITS), params=whole, limits=fx.TREE_LIMITS).save(folder)
+    return rounded(cs.TreeModel.load(spark, folder).nodes().select("feature", "below", "gain", "value", "rows"), 4)
+
+
+@query
+def category_codes(spark, sf_dir):
+    """Alphabetical codes of a text column with nearly as many values as rows."""
+    lines = fx.read_lines(spark, sf_dir)
+    return cs.category_codes(lines.select(F.concat_ws("-", "l_partkey", "l_suppkey").alias("pair")), ["pair"])
+
+
+@query
+def shuffled_ones(spark, sf_dir):
+    """Ones of five shuffled labels, and how many of them stay where they were."""
+    df = fx.sample(spark, sf_dir, "quantity").select(F.concat_ws("-", "l_orderkey", "l_linenumber", "quantity").alias("row_id"), TARGET)
+    marked = trees.shuffled_labels(written(df.distinct()), "row_id", TARGET, 42, runs=5)
+    run = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("run")
+    one = F.expr("shiftright(shuffled, run) & 1")
+    return marked.select(TARGET, "shuffled", run).groupBy("run").agg(
+        F.count("*").alias("rows"), F.sum(one).alias("ones"),
+        (F.abs(F.avg(one * F.col(TARGET)) - F.avg(TARGET) * F.avg(TARGET)) < 0.02).alias("independent"))
+
+
 @query
 def tree_segments(spark, sf_dir):
     train, val, _ = _train_val_test(spark, sf_dir, *TREE_FEATURES)
@@ -510,7 +568,15 @@ def tree_importance(spark, sf_dir):
 @query
 def cv_report(spark, sf_dir):
     df = fx.sample(spark, sf_dir, *TREE_FEATURES)
-    return cs.cross_validate(written(df), TREE_FEATURES, folds=3, params=FEW_TREES, tiebreak=TIEBREAK)
+    return cs.cross_validate(written(df), TREE_FEATURES, params=FEW_TREES, tiebreak=TIEBREAK)
+
+
+@query
+def cv_sizes(spark, sf_dir):
+    """Rows that train and validate each fold."""
+    df = fx.sample(spark, sf_dir, "quantity", "discount")
+    few = {**FEW_TREES, "maxIter": 1}
+    return cs.cross_validate(written(df), ["quantity", "discount"], params=few, tiebreak=TIEBREAK).select("fold", "train_size", "val_size")
 
 
 @query
@@ -523,7 +589,7 @@ def cv_summary(spark, sf_dir):
 @query
 def search_report(spark, sf_dir):
     train, val, _ = _train_val_test(spark, sf_dir, *TREE_FEATURES)
-    return cs.search_params(train, val, TREE_FEATURES, trials=2, ranges={"maxIter": (3, 8), "maxDepth": (2, 4)})[1]
+    return cs.search_params(train, val, TREE_FEATURES, ranges={"maxIter": (2, 5), "maxDepth": (2, 3)})[1]
 
 
 @query
@@ -532,6 +598,12 @@ def null_importance(spark, sf_dir):
     return rounded(cs.null_importance(df, ["quantity", "discount", "tax", "price"], trees=3, depth=3), 3)
 
 
+@query
+def null_importance_published(spark, sf_dir):
+    df = stored_sample(spark, sf_dir, "quantity", "discount", "tax", "price")
+    return rounded(cs.null_importance(df, ["quantity", "discount", "tax", "price"]), 3)
+
+
 @query
 def feature_selection(spark, sf_dir):
     df = fx.sample(spark, sf_dir).drop("l_orderkey", "l_linenumber")
@@ -557,6 +629,28 @@ def baseline_stats(spark, sf_dir):
         "feature", "numeric", "n_samples", "bad_rate", "mean", "std", "min", "max", "median", "missing_rate", *flat), 5)
 
 
+@query
+def baseline_merge(spark, sf_dir):
+    """The stored baseline of one half brought up to all rows by that of the other half; whether the ranks
+    of its percentiles are right within a two-hundredth of the rows."""
+    df = stored_sample(spark, sf_dir, *fx.NUMERIC)
+    base, current = halves(df)
+    folder = _saved(spark)
+    cs.save_baseline(cs.baseline(base, fx.NUMERIC), folder)
+    table = written(cs.merged_baselines([cs.load_baseline(spark, folder), cs.baseline(current, fx.NUMERIC)]))
+    found = {r.feature: r for r in table.collect()}
+    off = []
+    for f in fx.NUMERIC:
+        n = F.count(f)
+        shares = [(int(p[1:]) / 100, F.count_if(F.col(f) < v) / n, F.count_if(F.col(f) <= v) / n) for p, v in found[f].percentiles.items()]
+        right = reduce(Column.__and__, [(low <= q + 0.005) & (high >= q - 0.005) for q, low, high in shares])
+        off.append(F.struct(F.lit(f).alias("feature"), right.alias("ranks_right")))
+    checked = df.agg(F.array(*off).alias("x")).select(F.inline("x"))
+    counted = F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)
+    return rounded(table.join(checked, "feature").select(
+        "feature", "n_samples", "bad_rate", "mean", "std", "min", "max", "missing_rate", counted.alias("counted"), "ranks_right"), 5)
+
+
 def _drifted(spark, sf_dir):
     """Base half, and a current half whose balance goes missing for large orders."""
     base, current = halves(stored_sample(spark, sf_dir, *fx.FEATURES))
