@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,56 +17,96 @@ from ..plans.longform import TARGET, clean_double, varying_numeric_features
 from ..plans.storage import checkpointed
 from .iv import information_value
 
-# Sums of cross products are added up in this many places before they become rows of pairs.
+# Columns are paired tile by tile; a task holds the sums of so many pairs of tiles at a time (about 100 MB).
+TILE = 64
+TILE_PAIRS = 512
+# The tables of all tasks are added up in this many places first.
 PLACES = 32
 SUMS = ("n", "xy", "x", "xx", "y", "yy")
 # A spread below this part of the sum of squares is rounding, not variation.
 NO_SPREAD = 1e-12
 
+_TILES = "a int, b int, place int, sums array<double>"
+
+
+def _products(pairs: Sequence[tuple[int, int]], tiles: dict[int, tuple[int, int]], centre: np.ndarray):
+    """Per pair of tiles the six sums of all their column pairs, over the rows of a task. ``tiles`` are stretches of the columns read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {pair: np.zeros((len(SUMS), tiles[pair[0]][1] - tiles[pair[0]][0], tiles[pair[1]][1] - tiles[pair[1]][0])) for pair in pairs}
+        for batch in batches:
+            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(centre))], 1).astype(float) - centre
+            known = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x)
+            square = x * x
+            for (a, b), sums in total.items():
+                p, q = slice(*tiles[a]), slice(*tiles[b])
+                for k, (left, right) in enumerate(((known, known), (x, x), (x, known), (square, known), (known, x), (known, square))):
+                    sums[k] += left[:, p].T @ right[:, q]
+        place = TaskContext.get().partitionId() % PLACES
+        for (a, b), sums in total.items():
+            lists = pa.ListArray.from_arrays(pa.array([0, sums.size], pa.int32()), pa.array(sums.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int32()) for x in (a, b, place)] + [lists], ["a", "b", "place", "sums"])
+
+    return run
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """One table of sums out of those of a group, added in the order of their values so that the result doesn't depend on the tasks' order."""
+    sums = np.stack([row.values.to_numpy() for row in table.column("sums")])
+    total = np.sort(sums, axis=0).sum(0)
+    return table.slice(0, 1).set_column(3, "sums", pa.array([total], pa.list_(pa.float64())))
+
+
+def _pair_rows(tiles: dict[int, tuple[int, int]]):
+    """Rows (i, j, sums...) of the column pairs of a pair of tiles, each pair once."""
+
+    def run(table: pa.Table) -> pa.Table:
+        a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
+        (a0, a1), (b0, b1) = tiles[a], tiles[b]
+        sums = _added(table).column("sums")[0].values.to_numpy().reshape(len(SUMS), a1 - a0, b1 - b0)
+        i, j = np.meshgrid(np.arange(a0, a1), np.arange(b0, b1), indexing="ij")
+        own = i < j
+        columns = {"i": i[own].astype(np.int32), "j": j[own].astype(np.int32)}
+        return pa.table(columns | {name: sums[k][own] for k, name in enumerate(SUMS)})
+
+    return run
+
+
+def _tile_pairs(n: int) -> list[list[tuple[int, int]]]:
+    """All pairs of tiles, in passes that a task can hold."""
+    count = -(-n // TILE)
+    pairs = [(a, b) for a in range(count) for b in range(a, count)]
+    return [pairs[k : k + TILE_PAIRS] for k in range(0, len(pairs), TILE_PAIRS)]
+
 
 def correlation_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature_1, feature_2, r) for all pairs in list order, over rows where both have values.
 
-    ``r`` is null where one side does not vary on those rows. One scan: every task adds up
-    its cross-product matrices to one row, a few places add those rows up, and only then
-    does a pair become a row. Columns are centred first for accuracy.
+    ``r`` is null where one side does not vary on those rows. Columns are centred first for accuracy.
+    Every task adds up cross products per pair of tiles of columns; the tables of the tasks are added up in a few
+    places per pair of tiles and then become rows, so no task holds sums of all pairs and
+    no row is wider than a tile. Very many columns take more than one pass, each over the columns it needs.
     """
     names = list(features)
     if len(names) < 2:
         return df.sparkSession.range(0).selectExpr("'' AS feature_1", "'' AS feature_2", "CAST(0 AS DOUBLE) AS r")
     wide = df.select(*[clean_double(f).alias(f"x{i}") for i, f in enumerate(names)])
-    n = len(names)
     means = wide.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in wide.columns]).first()
-    centre = np.array([means[c] for c in wide.columns])
-    first, second = np.triu_indices(n, k=1)
-
-    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count, left, left2, cross = (np.zeros((n, n)) for _ in range(4))
-        for batch in batches:
-            x = batch.to_numpy(dtype=float) - centre
-            known = (~np.isnan(x)).astype(float)
-            x = np.nan_to_num(x)
-            count += known.T @ known
-            left += x.T @ known
-            left2 += (x * x).T @ known
-            cross += x.T @ x
-        sums = (
-            count[first, second], cross[first, second], left[first, second],
-            left2[first, second], left[second, first], left2[second, first],
-        )
-        yield pd.DataFrame({name: [values] for name, values in zip(SUMS, sums)})
-
-    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((len(SUMS), len(first)))
-        for batch in batches:
-            for row in batch[list(SUMS)].itertuples(index=False):
-                total += np.stack(row)
-        yield pd.DataFrame({"i": first, "j": second, **dict(zip(SUMS, total))})
-
-    packed = ", ".join(f"{name} array<double>" for name in SUMS)
-    flat = "i int, j int, " + ", ".join(f"{name} double" for name in SUMS)
-    s = wide.mapInPandas(products, packed).repartition(PLACES).mapInPandas(added, flat)
-    s = s.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in SUMS])
+    passes = []
+    for pairs in _tile_pairs(len(names)):
+        used = sorted({t for pair in pairs for t in pair})
+        columns, inner, outer = [], {}, {}
+        for t in used:
+            outer[t] = (t * TILE, min(len(names), (t + 1) * TILE))
+            inner[t] = (len(columns), len(columns) + outer[t][1] - outer[t][0])
+            columns += wide.columns[slice(*outer[t])]
+        centre = np.array([means[c] for c in columns])
+        sums = wide.select(*columns).mapInArrow(_products(pairs, inner, centre), _TILES)
+        few = sums.groupBy("a", "b", "place").applyInArrow(_added, _TILES)
+        flat = "i int, j int, " + ", ".join(f"{name} double" for name in SUMS)
+        passes.append(few.groupBy("a", "b").applyInArrow(_pair_rows(outer), flat))
+    s = reduce(DataFrame.unionByName, passes)
     spread = [F.col("n") * F.col(f"{v}{v}") - F.col(v) * F.col(v) for v in "xy"]
     varies = [d > NO_SPREAD * F.col("n") * F.col(f"{v}{v}") for d, v in zip(spread, "xy")]
     r = F.when(varies[0] & varies[1], (F.col("n") * F.col("xy") - F.col("x") * F.col("y")) / F.sqrt(spread[0] * spread[1]))

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config
 from ..functions.scalars import yyyymmdd
-from ..plans.longform import DATE, MONTH, ORG, TARGET, constant_columns
-from ..plans.storage import written
+from ..plans.longform import DATE, MONTH, ORG, TARGET, constant_columns, named
+from ..plans.storage import is_small, row_width, written
 
 FORMATS = ("parquet", "csv", "json", "orc")
 
@@ -62,17 +63,23 @@ def valid_labels(df: DataFrame, label: str) -> DataFrame:
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """Keep the first row per key: lowest in ``order``, then in all columns.
+    """Keep the first row per key: lowest in ``order``, then in all columns. Nulls in keys count as equal.
 
-    A minimum over the row combines map-side, so a key with very many copies
-    never gathers in one task; nulls in keys count as equal.
+    Keys alone are counted first, by hash. Rows whose key occurs once, usually nearly all, pass through as they
+    are; only rows of repeated keys are compared, by a minimum over the row, which combines map-side, so a
+    key with very many copies never gathers in one task.
     """
     lead = list(order or [])
     rest = [c for c in df.columns if c not in keys and c not in lead]
-    kept = F.min(F.struct(*lead, *rest)).alias("_row")
-    return df.groupBy(*keys).agg(kept).select(
-        *[F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns]
+    repeated = df.groupBy(*map(named, keys)).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    repeated = written(repeated).toDF(*[f"_key_{i}" for i in range(len(keys))])
+    small = F.broadcast(repeated) if is_small(repeated, width=row_width(repeated)) else repeated
+    same = reduce(Column.__and__, [named(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
+    kept = F.min(F.struct(*map(named, [*lead, *rest]))).alias("_row")
+    compared = df.join(small, same, "left_semi").groupBy(*map(named, keys)).agg(kept).select(
+        *[named(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns]
     )
+    return df.join(small, same, "left_anti").unionByName(compared)
 
 
 def clean_sample(

@@ -622,6 +622,14 @@ ORACLES = {
         FROM ({split_rows(True)}) GROUP BY ALL""",
     "split_summary": f"SELECT split, count(*) AS rows, round(avg(new_target), 6) AS bad_rate FROM ({split_rows(False)}) GROUP BY split",
     "stratified_folds": FOLDS,
+    "corr_wide": cte(
+        " UNION ALL ".join(
+            f"""SELECT '{a}' AS feature_1, feature_2, round(r, 5) AS r FROM (
+                SELECT {', '.join(f'corr({a}, {b}) AS {b}' for b in later)} FROM w) UNPIVOT INCLUDE NULLS (r FOR feature_2 IN ({', '.join(later)}))"""
+            for a in fx.WIDE_SHOWN for later in [list(fx.WIDE)[list(fx.WIDE).index(a) + 1:]]
+        ),
+        w=f"SELECT {', '.join(f'{e} AS {c}' for c, e in fx.WIDE.items())} FROM lineitem",
+    ),
     "cv_sizes": f"SELECT fold, (SELECT count(*) FROM ({SAMPLE})) - sum(n)::BIGINT AS train_size, sum(n)::BIGINT AS val_size FROM ({FOLDS}) GROUP BY fold",
     "tree_first_round": FIRST_ROUND,
     "category_codes": """

@@ -301,6 +301,14 @@ def corr_pairs_gaps(spark, sf_dir):
     return rounded(cs.correlation_pairs(df, ["balance", "quantity", "flat"]))
 
 
+@query
+def corr_wide(spark, sf_dir):
+    """Correlations of 300 derived columns, some with gaps; the pairs of four of them, in several tiles, are shown."""
+    wide = fx.read_lines(spark, sf_dir).selectExpr(*[f"{e} AS {c}" for c, e in fx.WIDE.items()])
+    pairs = cs.correlation_pairs(wide, list(fx.WIDE))
+    return rounded(pairs.where(F.col("feature_1").isin(*fx.WIDE_SHOWN)), 5)
+
+
 @query
 def corr_high_pairs(spark, sf_dir):
     pairs = cs.correlation_pairs(fx.sample(spark, sf_dir, *fx.NUMERIC), fx.NUMERIC)
