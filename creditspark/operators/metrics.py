@@ -21,7 +21,7 @@ def score_table(
     df: DataFrame, score: str = "p", target: str = TARGET, keys: Sequence[str] = ()
 ) -> DataFrame:
     """(keys..., value, n, pos) per distinct score with running and total counts."""
-    valid = df.filter(F.col(target).isNotNull()).select(*keys, target, score)
+    valid = written(df.filter(F.col(target).isNotNull()).select(*keys, target, score))  # counted, sketched and added up
     sums = {"n": F.count("*"), "pos": F.sum(F.col(target).cast("long"))}
     cells, bucketed = value_cells(valid, [score], list(keys), sums)
     running = running_totals(cells, [*keys, "feature"], ["value"], ["n", "pos"], bucketed)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..plans.longform import DATE, TARGET
 from ..plans.ordered import contiguous_blocks
+from ..plans.storage import stored
 
 SPLITS = ("train", "val", "test")
 
@@ -46,6 +47,7 @@ def time_split(
 
     Rows of one date are ordered by ``tiebreak`` (default: all other columns).
     """
+    df = stored(df)
     train, val, _ = split_sizes(df.count(), test_size, val_size, val_of_rest)
     placed = contiguous_blocks(df, [], DATE, _minor(df, tiebreak), _positions([train, train + val]))
     names = F.array(*[F.lit(s) for s in SPLITS])
@@ -69,7 +71,7 @@ def stratified_folds(
     Classes are laid end to end, the class of the first row first, and dealt to the
     folds in turn; that decides which folds get one row more.
     """
-    minor = _minor(df, tiebreak)
+    df, minor = stored(df), _minor(df, tiebreak)
     classes = df.groupBy(target).agg(F.count("*").alias("n"), F.min(DATE).alias("day")).orderBy("day").collect()
     if len({row.day for row in classes}) < len(classes):
         # Classes that begin on one day: its first row decides, and only that day is looked at.
@@ -97,6 +99,7 @@ def forward_folds(
 
     Block 0 is never validated; it also takes the rows left over by equal blocks.
     """
+    df = stored(df)
     rows = df.count()
     size = rows // (folds + 1)
     cuts = [rows - size * (folds - i) for i in range(folds)]

@@ -52,7 +52,14 @@ def written_at(df: DataFrame) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    table = spark.read.schema(df.schema).parquet(path)
+    table._is_stored = True
+    return table, path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` if it comes from ``written`` as it is, else written: for operators that read their input several times."""
+    return df if getattr(df, "_is_stored", False) else written(df)
 
 
 def removed(spark: SparkSession, folder: str) -> None:

@@ -66,3 +66,20 @@ def test_rows_without_date_or_class_stay(spark):
     assert cs.time_split(df).count() == 1000
     assert cs.stratified_folds(df, 3).count() == 1000
     assert cs.forward_folds(df, 3).count() == 1000
+
+
+def test_inputs_are_evaluated_once(spark):
+    """Splits, folds and score tables of a derived table read its source once, over all their jobs."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = [(f"202301{1 + i % 28:02}", i % 2, i / 7) for i in range(500)]
+    df = spark.createDataFrame(rows, "new_date string, new_target int, p double").mapInPandas(counted, "new_date string, new_target int, p double")
+    for make in (cs.time_split, cs.stratified_folds, cs.forward_folds, cs.score_table):
+        before = seen.value
+        assert make(df).count() > 0
+        assert seen.value - before == 500, make.__name__
