@@ -293,7 +293,7 @@ def split_rows(val_of_rest: bool) -> str:
 
 
 # Places of the classes laid end to end, first class first, dealt to five folds in turn.
-FOLDS = f"""
+_FOLD_TABLES = f"""
     WITH r AS MATERIALIZED (
         SELECT *, row_number() OVER (PARTITION BY new_target ORDER BY {ORDER}) - 1 AS place,
                first_value(new_target) OVER (ORDER BY {ORDER}) AS lead_class FROM ({SAMPLE})),
@@ -302,10 +302,13 @@ FOLDS = f"""
                  CAST(CASE WHEN new_target = lead_class THEN 0 ELSE (SELECT n FROM sizes z WHERE z.new_target = z.lead_class) END AS BIGINT),
                  CAST(CASE WHEN new_target = lead_class THEN n ELSE (SELECT sum(n) FROM sizes) END AS BIGINT))) AS j FROM sizes),
     takes AS (SELECT new_target, j % 5 AS fold, count(*) AS k FROM laid GROUP BY ALL),
-    ends AS (SELECT new_target, fold, sum(k) OVER (PARTITION BY new_target ORDER BY fold) AS upto, k FROM takes)
+    ends AS (SELECT new_target, fold, sum(k) OVER (PARTITION BY new_target ORDER BY fold) AS upto, k FROM takes)"""
+_PLACED = "FROM r JOIN ends e ON r.new_target = e.new_target AND place < upto AND place >= upto - k"
+FOLDS = f"""{_FOLD_TABLES}
     SELECT CAST(e.fold + 1 AS INTEGER) AS fold, r.new_target, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys,
            min(new_date) AS first_date, max(new_date) AS last_date
-    FROM r JOIN ends e ON r.new_target = e.new_target AND place < upto AND place >= upto - k GROUP BY ALL"""
+    {_PLACED} GROUP BY ALL"""
+_FOLDED = f"{_FOLD_TABLES} SELECT r.new_target, e.fold, {fx.SCORE} AS p {_PLACED}"
 
 # --- WOE ---------------------------------------------------------------------
 
@@ -442,14 +445,18 @@ def _nodes(level: int, split: bool) -> str:
     return f"SELECT feature, round(below, 4) AS below, coalesce(round(gain, 4), 0.0) AS gain, {value}, n AS rows FROM ({sums}) LEFT JOIN best{level} USING (path)"
 
 
-FIRST_ROUND = cte(
-    " UNION ALL ".join([_nodes(0, True), _nodes(1, True), _nodes(2, False)]),
+_FIRST_TREE = dict(
     s=SAMPLE, limits=_LIMITS, p="SELECT avg(new_target) AS p FROM s",
     # The learner adds up whole numbers of 2**-24.
     rows0="""SELECT quantity, discount, tax, round((p - new_target) * 16777216) / 16777216 AS g,
         round(p * (1 - p) * 16777216) / 16777216 AS h, '' AS path FROM s CROSS JOIN p""",
     **_grown(0), **_grown(1),
 )
+FIRST_ROUND = cte(" UNION ALL ".join([_nodes(0, True), _nodes(1, True), _nodes(2, False)]), **_FIRST_TREE)
+
+_SEGMENTS = f"""
+    SELECT *, new_org || '-' || CASE WHEN place < 49 THEN 'a' WHEN place < 99 THEN 'b' WHEN place < 150 THEN 'c' ELSE 'd' END AS segment
+    FROM (SELECT *, row_number() OVER (PARTITION BY new_org ORDER BY l_orderkey, l_linenumber, quantity, discount, p) - 1 AS place FROM ({SCORED}))"""
 
 MERGED = cte(
     " UNION ALL ".join(
@@ -630,6 +637,24 @@ ORACLES = {
         ),
         w=f"SELECT {', '.join(f'{e} AS {c}' for c, e in fx.WIDE.items())} FROM lineitem",
     ),
+    "csv_with_mark": f"""
+        SELECT new_org, new_date_ym, sum(quantity) AS quantity, 'EFBBBF' AS heads FROM ({SAMPLE}) GROUP BY new_org, new_date_ym""",
+    "feature_list_saved": " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, count(DISTINCT {f}) AS n_values FROM ({SAMPLE})" for f in NUMERIC if f not in ("tax", "drift")),
+    "metrics_saved": cte(f"SELECT *, 0.7 AS auc, 3.0 AS lift_top10, true AS has_time FROM ({LIFT})", sc=SCORED),
+    "segment_sizes": f"""
+        SELECT segment, CAST(rows AS BIGINT) AS n_samples, round_even(bad_rate, 4) AS bad_rate, round_even(auc, 4) AS auc, round_even(ks, 4) AS ks
+        FROM ({ranking(_SEGMENTS, 'segment')}) WHERE rows >= 50 AND auc IS NOT NULL""",
+    "summary_of_folds": f"""
+        SELECT metric, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std FROM (
+            SELECT unnest(['val_auc', 'val_ks', 'val_gini']) AS metric,
+                   unnest([round_even(auc, 4), round_even(ks, 4), round_even(2 * auc - 1, 4)]) AS value FROM ({ranking(_FOLDED, 'fold')}))
+        GROUP BY metric""",
+    "tree_gain": cte(
+        """SELECT feature, round(coalesce(sum(gain), 0), 3) AS importance FROM (SELECT DISTINCT feature FROM limits)
+           LEFT JOIN (SELECT feature, gain FROM best0 UNION ALL SELECT feature, gain FROM best1) USING (feature) GROUP BY feature""",
+        **_FIRST_TREE,
+    ),
     "cv_sizes": f"SELECT fold, (SELECT count(*) FROM ({SAMPLE})) - sum(n)::BIGINT AS train_size, sum(n)::BIGINT AS val_size FROM ({FOLDS}) GROUP BY fold",
     "tree_first_round": FIRST_ROUND,
     "category_codes": """

@@ -6,7 +6,7 @@ import uuid
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,6 +119,38 @@ def csv_round_trip(spark, sf_dir):
         F.count("*").alias("n"), F.sum("quantity").alias("quantity"), F.sum("new_target").alias("bads")))
 
 
+@query
+def csv_with_mark(spark, sf_dir):
+    """A written report table with the byte order mark, read again; the mark is part of no value."""
+    path = f"{checkpoint_folder(spark)}/csv-{uuid.uuid4().hex}"
+    cs.write_csv(fx.sample(spark, sf_dir, "quantity").groupBy(ORG, "new_date_ym").agg(F.sum("quantity").alias("quantity")), path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).where("length > 0")
+    heads = files.agg(F.array_join(F.collect_set(F.hex(F.substring("content", 1, 3))), ",").alias("heads"))
+    back = spark.read.option("header", True).csv(path).toDF(ORG, "new_date_ym", "quantity")
+    return back.select(ORG, "new_date_ym", F.col("quantity").cast("double").alias("quantity")).crossJoin(F.broadcast(heads))
+
+
+@query
+def feature_list_saved(spark, sf_dir):
+    """Numeric features that vary, written as a list and read against a table that lacks some of them."""
+    df = fx.sample(spark, sf_dir).withColumn("const", F.lit(1))
+    path = f"{checkpoint_folder(spark)}/features-{uuid.uuid4().hex}"
+    cs.write_feature_list(spark, cs.varying_numeric_features(df.drop("l_orderkey", "l_linenumber")), path)
+    found = cs.read_feature_list(spark, path, df.drop("tax", "drift"))
+    values = df.agg(*[F.count_distinct(f).alias(f) for f in found])
+    return values.unpivot([], found, "feature", "n_values")
+
+
+@query
+def metrics_saved(spark, sf_dir):
+    """Evaluation written as JSON and read again, its lift table beside the pass lines of its record."""
+    record, lift = cs.evaluate(fx.scored(spark, sf_dir), "formula", threshold=0.3)
+    folder = f"{checkpoint_folder(spark)}/metrics-{uuid.uuid4().hex}"
+    cs.write_evaluation(record, lift, folder)
+    lines = spark.read.json(f"{folder}/metrics").select("thresholds.auc", "thresholds.lift_top10", F.col("generated_at").isNotNull().alias("has_time"))
+    return spark.read.json(f"{folder}/lift").crossJoin(F.broadcast(lines))
+
+
 @query
 def parquet_by_month(spark, sf_dir):
     path = f"{checkpoint_folder(spark)}/months-{uuid.uuid4().hex}"
@@ -442,6 +474,17 @@ def segment_stability(spark, sf_dir):
     return cs.segment_stability(fx.scored(spark, sf_dir))
 
 
+@query
+def segment_sizes(spark, sf_dir):
+    """Stability of segments of a day and more than a few rows: those of 49 rows go, those of 50 stay."""
+    day = Window.partitionBy("new_org").orderBy("l_orderkey", "l_linenumber", "quantity", "discount", "p")
+    rows = fx.scored(spark, sf_dir).withColumn("place", F.row_number().over(day) - 1)
+    # Per organisation segments of 49, 50 and 51 rows, then the rest.
+    cut = F.expr("CASE WHEN place < 49 THEN 'a' WHEN place < 99 THEN 'b' WHEN place < 150 THEN 'c' ELSE 'd' END")
+    named = written(rows.withColumn("segment", F.concat_ws("-", "new_org", cut)))
+    return cs.segment_stability(named, "segment").select("segment", "n_samples", "bad_rate", "auc", "ks")
+
+
 # --- WOE, scorecard ----------------------------------------------------------
 
 SCORECARD_FEATURES = ("quantity", "discount", "balance", "segment")
@@ -594,6 +637,23 @@ def cv_summary(spark, sf_dir):
     return rounded(cs.cv_summary(folds), 3)
 
 
+@query
+def summary_of_folds(spark, sf_dir):
+    """Mean and spread over five folds of the metrics of a score that needs no fit."""
+    rows = fx.sample(spark, sf_dir, "quantity", "discount").withColumn("p", F.expr(fx.SCORE))
+    placed = cs.stratified_folds(rows, tiebreak=["l_orderkey", "l_linenumber", "quantity", "discount"])
+    found = cs.ranking_metrics(placed, "p", TARGET, ["fold"])
+    return rounded(cs.cv_summary(found.select("fold", *[F.bround(m, 4).alias(f"val_{m}") for m in ("auc", "ks", "gini")])), 6)
+
+
+@query
+def tree_gain(spark, sf_dir):
+    """Summed split gain of the first tree, with a feature that it does not use."""
+    df = stored_sample(spark, sf_dir, *fx.TREE_LIMITS)
+    whole = {"maxIter": 1, "maxDepth": 2, "subsamplingRate": 1.0, "featureSubsetStrategy": "1.0"}
+    return rounded(cs.train_tree(df, list(fx.TREE_LIMITS), params=whole, limits=fx.TREE_LIMITS).importance(), 3)
+
+
 @query
 def search_report(spark, sf_dir):
     train, val, _ = _train_val_test(spark, sf_dir, *TREE_FEATURES)
