@@ -1,9 +1,11 @@
 """Optimal one-dimensional tree bins for all features and scopes at once.
 
 A leaf is an interval of a feature's sorted values. With running counts on the
-value cells, the counts left of any cut follow by subtraction, so each round is
-two narrow hash aggregations over the stored cells joined to the few open leaves:
-no cell is sorted or shuffled again.
+value cells, the counts left of any cut follow by subtraction. Cells lie in stretches of
+about equal numbers of rows. The gini gain is convex in the goods and bads on the left, so inside a stretch it
+is at most what the corners between its first and last counts give. A round looks at the
+few stretches first, and only cells of those that can beat the best cut known are joined and
+compared; no cell is sorted or shuffled again.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from ..plans.ordered import BUCKET, running_totals, value_cells
 from ..plans.storage import BROADCAST_ROWS, checkpointed, join_checked, written
 
 KEYS = ["scope", "feature"]
+# Stretches of a feature's cells in a scope.
+STRETCHES = 256
 
 
 def binning_cells(
@@ -42,9 +46,17 @@ def binning_cells(
 
 
 def with_running_counts(cells: DataFrame, bucketed: bool) -> DataFrame:
-    """Cells (scope, feature, value, n_upto, bad_upto), stored for the tree rounds."""
-    running = running_totals(cells, KEYS, ["value"], ["n", "bad"], bucketed, with_all=False)
-    return written(running.select(*KEYS, "value", "n_upto", "bad_upto"))
+    """Cells (scope, feature, value, n_upto, bad_upto, stretch), stored for the tree rounds."""
+    running = running_totals(cells, KEYS, ["value"], ["n", "bad"], bucketed)
+    stretch = F.floor((F.col("n_upto") - 1) / F.ceil(F.col("n_all") / STRETCHES)).cast("int")
+    return written(running.select(*KEYS, "value", "n_upto", "bad_upto", stretch.alias("stretch")))
+
+
+def stretches_of(cells: DataFrame) -> DataFrame:
+    """(scope, feature, stretch, n0, bad0, n1, bad1): running counts of the first and the last cell of each stretch, stored."""
+    return written(cells.groupBy(*KEYS, "stretch").agg(
+        F.min("n_upto").alias("n0"), F.min("bad_upto").alias("bad0"), F.max("n_upto").alias("n1"), F.max("bad_upto").alias("bad1")
+    ))
 
 
 def _purity(n: Column, bad: Column) -> Column:
@@ -53,29 +65,49 @@ def _purity(n: Column, bad: Column) -> Column:
     return F.try_divide(bads * bads + goods * goods, n)
 
 
-def _best_cuts(cells: DataFrame, open_nodes: DataFrame, small: bool) -> DataFrame:
+def _gain(n: Column, bad: Column) -> Column:
+    """Gini gain of a cut of a node (columns ``n`` and ``bad``) with ``n`` rows, ``bad`` of them bad, on the left."""
+    sides = _purity(n, bad), _purity(F.col("n") - n, F.col("bad") - bad)
+    return F.coalesce(sides[0], F.lit(0.0)) + F.coalesce(sides[1], F.lit(0.0)) - _purity(F.col("n"), F.col("bad"))
+
+
+def _promising(stretches: DataFrame, open_nodes: DataFrame) -> DataFrame:
+    """Open nodes with the stretches whose cells may hold their best cut."""
+    def inside(n_upto: str) -> Column:
+        n = F.col(n_upto) - F.col("start_n")
+        return (n >= F.col("min_leaf")) & (F.col("n") - n >= F.col("min_leaf"))
+
+    def held(value: Column, most: Column) -> Column:
+        return F.least(F.greatest(value, F.lit(0)), most)
+
+    bads = [held(F.col(f"bad{k}") - F.col("start_bad"), F.col("bad")) for k in "01"]
+    start_good = F.col("start_n") - F.col("start_bad")
+    goods = [held(F.col(f"n{k}") - F.col(f"bad{k}") - start_good, F.col("n") - F.col("bad")) for k in "01"]
+    most = F.greatest(*[_gain(g + b, b) for g in goods for b in bads])
+    seen = F.greatest(*[F.when(inside(f"n{k}"), _gain(F.col(f"n{k}") - F.col("start_n"), F.col(f"bad{k}") - F.col("start_bad"))) for k in "01"])
+    reaching = (F.col("n1") - F.col("start_n") >= F.col("min_leaf")) & (F.col("start_n") + F.col("n") - F.col("n0") >= F.col("min_leaf"))
+    rated = stretches.join(open_nodes, KEYS).filter(reaching).withColumn("most", most).withColumn("seen", seen)
+    best = F.max("seen").over(Window.partitionBy(*KEYS, "id"))  # a few hundred rows a node
+    slack = F.lit(1e-9) * F.col("n")  # of rounding
+    return rated.withColumn("sure", best).filter(F.col("sure").isNull() | (F.col("most") + slack >= F.col("sure"))).select(
+        *open_nodes.columns, "stretch"
+    )
+
+
+def _best_cuts(cells: DataFrame, stretches: DataFrame, open_nodes: DataFrame, small: bool) -> DataFrame:
     """Best cut of each open node: highest gini gain, then lowest threshold.
 
-    ``small`` says that there are few enough open nodes to broadcast."""
-    if small:
-        open_nodes = F.broadcast(open_nodes)
+    ``small`` says that there are few enough open nodes to broadcast with their stretches."""
+    chosen = _promising(stretches, F.broadcast(open_nodes) if small else open_nodes)
     n, bad = F.col("n_upto") - F.col("start_n"), F.col("bad_upto") - F.col("start_bad")
-    rest_n, rest_bad = F.col("n") - n, F.col("bad") - bad
-    inside = (n >= F.col("min_leaf")) & (rest_n >= F.col("min_leaf"))
-    gain = _purity(n, bad) + _purity(rest_n, rest_bad) - _purity(F.col("n"), F.col("bad"))
-    tried = cells.join(open_nodes, KEYS).filter(inside).select(
-        *KEYS, "id", gain.alias("gain"), n.alias("cut_n"), bad.alias("cut_bad")
-    )
-    # Two narrow hash aggregations: a maximum over structs would sort all cells. Running counts
-    # grow with the value, so the lowest counts are those of the lowest threshold.
-    highest = tried.groupBy(*KEYS, "id").agg(F.max("gain").alias("best_gain"))
-    lowest = (
-        tried.join(F.broadcast(highest) if small else highest, [*KEYS, "id"])
-        .filter(F.col("gain") == F.col("best_gain"))
-        .groupBy(*KEYS, "id")
-        .agg(F.max("gain").alias("gain"), F.min("cut_n").alias("cut_n"), F.min("cut_bad").alias("cut_bad"))
+    inside = (n >= F.col("min_leaf")) & (F.col("n") - n >= F.col("min_leaf"))
+    tried = cells.join(F.broadcast(chosen) if small else chosen, [*KEYS, "stretch"]).filter(inside).select(
+        *KEYS, "id", _gain(n, bad).alias("gain"), n.alias("cut_n"), bad.alias("cut_bad")
     )
-    return lowest.select(*KEYS, "id", F.struct("gain", "cut_n", "cut_bad").alias("best"))
+    # Running counts grow with the value, so the lowest count is that of the lowest threshold.
+    first = F.struct("gain", (-F.col("cut_n")).alias("low"), "cut_n", "cut_bad")
+    best = tried.groupBy(*KEYS, "id").agg(F.max(first).alias("b"))
+    return best.select(*KEYS, "id", F.struct("b.gain", "b.cut_n", "b.cut_bad").alias("best"))
 
 
 NODE = (
@@ -124,7 +156,8 @@ def tree_leaves(cells: DataFrame, n_bins: int, min_share: float = config.WOE_MIN
     nodes the tree may still need. Passes follow the depth of the tree, not the number
     of its leaves. The state is one row of a few dozen nodes per (scope, feature).
     """
-    totals = cells.groupBy(*KEYS).agg(F.max("n_upto").alias("n"), F.max("bad_upto").alias("bad"))
+    stretches = stretches_of(cells)
+    totals = stretches.groupBy(*KEYS).agg(F.max("n1").alias("n"), F.max("bad1").alias("bad"))
     roots = totals.filter((F.col("n") >= config.MIN_VALUES_TO_BIN) & F.col("bad").between(1, F.col("n") - 1))
     state = roots.select(
         *KEYS,
@@ -134,7 +167,7 @@ def tree_leaves(cells: DataFrame, n_bins: int, min_share: float = config.WOE_MIN
     if n_bins > 1:
         state = checkpointed(_with_choice(state, n_bins))
         # A node is open at most once per pass, and at most two per split.
-        small = state.count() * 2 * (n_bins - 1) <= BROADCAST_ROWS
+        small = state.count() * 2 * (n_bins - 1) * STRETCHES <= BROADCAST_ROWS
         left = _node("x.id * 2", "x.start_n", "x.start_bad", "x.cut_n", "x.cut_bad")
         right = _node(
             "x.id * 2 + 1", "x.start_n + x.cut_n", "x.start_bad + x.cut_bad", "x.n - x.cut_n", "x.bad - x.cut_bad"
@@ -150,7 +183,7 @@ def tree_leaves(cells: DataFrame, n_bins: int, min_share: float = config.WOE_MIN
         )
         while not (waiting := state.filter("size(open) > 0")).isEmpty():
             open_nodes = waiting.select(*KEYS, "min_leaf", F.inline("open")).drop("tested", "gain", "cut_n", "cut_bad")
-            cuts = _best_cuts(cells, open_nodes, small)
+            cuts = _best_cuts(cells, stretches, open_nodes, small)
             by_key = cuts.groupBy(*KEYS).agg(F.map_from_entries(F.collect_list(F.struct("id", "best"))).alias("cuts"))
             grown = (
                 state.join(by_key, KEYS, "left")

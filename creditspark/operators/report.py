@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
+from ..plans.longform import OVERALL
 from ..plans.storage import written
 from ..sources.sinks import stamped, with_report_headers, write_json
+from .iv import wide_by_scope
 from .metrics import evaluate, pass_flags, segment_stability
 from .monitor import alert_summary
 
@@ -30,6 +32,10 @@ STEPS = {
     "correlation_drops": ("Step10-高相关性剔除", "相关性>{corr} 的特征剔除"),
     "correlation_detail": ("Step10-相关性明细", ""),
 }
+# Tables that the summary does not list.
+NOT_IN_SUMMARY = ("value_ratio_bands", "iv_detail", "iv_bands", "psi_detail", "psi_bands")
+# Details that a report shows with a column per organisation, and the value shown.
+WIDE_DETAILS = {"missing_detail": "missing_rate", "iv_detail": "iv"}
 DEFAULTS = {
     "min_bad": config.MIN_MONTH_BAD, "min_rows": config.MIN_MONTH_ROWS, "missing": config.MISSING_THRESHOLD,
     "iv": config.IV_THRESHOLD, "org_iv": config.ORG_IV_THRESHOLD, "iv_orgs": config.MAX_ORG_LOW_IV,
@@ -50,10 +56,11 @@ def step_condition(step: str, params: dict | None = None) -> str:
 
 
 def step_summary(tables: dict[str, DataFrame], params: dict | None = None) -> DataFrame:
-    """(position, step, action, result, condition) of a selection run."""
+    """(position, step, action, result, condition) of a selection run; of details and bands only
+    those that the published summary lists."""
     parts = []
     for position, (step, (title, _)) in enumerate(STEPS.items()):
-        if step not in tables:
+        if step not in tables or step in NOT_IN_SUMMARY:
             continue
         table, condition = tables[step], step_condition(step, params)
         n = F.col("n")
@@ -73,11 +80,20 @@ def step_summary(tables: dict[str, DataFrame], params: dict | None = None) -> Da
 
 
 def write_step_report(tables: dict[str, DataFrame], folder: str, params: dict | None = None) -> None:
-    """A summary table and one table per step, with report headers."""
+    """A summary table and one table per step that has rows, with report headers; missing rates and information
+    values with one column per organisation."""
     stamped(step_summary(tables, params)).write.mode("overwrite").parquet(f"{folder}/summary")
     for step in STEPS:
-        if step in tables:
-            with_report_headers(tables[step]).write.mode("overwrite").parquet(f"{folder}/{step}")
+        if step in tables and not tables[step].isEmpty():
+            with_report_headers(report_form(step, tables[step])).write.mode("overwrite").parquet(f"{folder}/{step}")
+
+
+def report_form(step: str, table: DataFrame) -> DataFrame:
+    """The table of a step as a report shows it."""
+    if step not in WIDE_DETAILS:
+        return table
+    scopes = [r.scope for r in table.select("scope").distinct().orderBy("scope").collect() if r.scope != OVERALL]
+    return wide_by_scope(table, WIDE_DETAILS[step], scopes)
 
 
 def model_report(record: DataFrame) -> DataFrame:

@@ -109,3 +109,18 @@ def test_months_gaps_and_outliers(spark):
     assert [r.sample_type for r in stats] == ["建模", "建模", "贷外", "贷外"]
     gates = {r.gate: r.ok for r in cs.sample_gates(df).collect()}
     assert gates == {"bad_rate": False, "rows": False, "bads": False, "features": False}
+
+
+def test_step_report_as_published(spark, tmp_path):
+    """Bands and per-organisation details stay out of the summary, empty tables out of the folder, details are wide."""
+    detail = spark.createDataFrame([("x", "__overall__", 0.3), ("x", "o1", 0.2), ("x", "o2", 0.4), ("y", "__overall__", 0.1)], "feature string, scope string, iv double")
+    drops = spark.createDataFrame([("y", "low")], "feature string, reason string")
+    tables = {"iv_detail": detail, "iv_bands": detail, "iv_drops": drops, "missing_drops": drops.limit(0), "correlation_detail": detail}
+    cs.write_step_report(tables, f"{tmp_path}/r", {"iv": 0.2})
+    found = {r.step: (r.result, r.condition) for r in spark.read.parquet(f"{tmp_path}/r/summary").collect()}
+    assert set(found) == {"Step6-高缺失率处理", "Step7-IV处理", "Step10-相关性明细"}
+    assert found["Step7-IV处理"][0] == "剔除 1 个特征" and "0.2" in found["Step7-IV处理"][1]
+    assert found["Step6-高缺失率处理"] == ("空", "") and found["Step10-相关性明细"] == ("4 条记录", "")
+    assert not (tmp_path / "r" / "missing_drops").exists() and (tmp_path / "r" / "iv_bands").exists()
+    rows = [tuple(r) for r in spark.read.parquet(f"{tmp_path}/r/iv_detail").collect()]
+    assert rows == [("x", 0.3, 0.2, 0.4), ("y", 0.1, None, None)]

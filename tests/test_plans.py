@@ -57,9 +57,14 @@ def test_tree_passes_sort_nothing(spark):
     cells = binning.binning_cells(df, ["x"])
     node = cells.select("scope", "feature").distinct().selectExpr(
         "*", "1L AS min_leaf", "1L AS id", "0L AS start_n", "0L AS start_bad", "200L AS n", "100L AS bad")
-    text = plan(binning._best_cuts(cells, node, True))
-    assert "HashAggregate" in text and "SortAggregate" not in text and "Sort [" not in text
-    assert binning._best_cuts(cells, node, True).filter(F.col("best.gain").isNull()).isEmpty()
+    stretches = binning.stretches_of(cells)
+    text = plan(binning._best_cuts(cells, stretches, node, True))
+    # Cells meet the few promising stretches in a broadcast join; only what is left there is compared.
+    scanned = text.split("BroadcastHashJoin")[0]
+    assert "Exchange hashpartitioning(scope" not in scanned.split("SortAggregate")[-1] and "BroadcastHashJoin [scope" in text
+    chosen = binning._promising(stretches, node)
+    assert chosen.where("scope = '__overall__'").count() < 0.2 * stretches.where("scope = '__overall__'").count()
+    assert binning._best_cuts(cells, stretches, node, True).filter(F.col("best.gain").isNull()).isEmpty()
 
 
 def test_correlation_keeps_the_partitioning(spark):

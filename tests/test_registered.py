@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables n
 # Fitted models, driver-side walks and reports.
 WITHOUT_SQL = {
     "cv_summary", "tree_segments", "scorecard_fit", "scorecard_points", "tree_fit", "tree_importance", "cv_report", "search_report",
-    "null_importance", "feature_selection", "selection_report",
+    "null_importance", "feature_selection", "selection_report", "tree_published", "null_importance_published", "scorecard_auc",
 }
 
 
