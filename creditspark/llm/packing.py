@@ -4,50 +4,38 @@ Each scan task tokenises its documents, cuts full windows off the long ones, and
 packs what is left, longest first, into the open window with the least sufficient
 room. Windows are found through a segment tree indexed by remaining room. The
 pieces of a task are packed in blocks of a bounded number of tokens, so memory is
-bounded and no token is ever shuffled; a lost task packs the same pieces again to
-the same windows.
+bounded. Windows that stay far from full, a few per task, are packed once more after a
+shuffle of their pieces alone, so padding does not grow with the number of tasks. A lost task
+packs the same pieces again to the same windows.
 
 Null and empty texts have no ids but the end id, so they are packed as one-token
 documents. Repeated rows are packed each for itself. Equal lengths are taken in
-the order of the rows. An empty table gives no pieces.
+the order of the rows. Texts of any length are tokenised whole. Further columns are not read, whatever their
+names. An empty table gives no pieces.
 """
 
 from __future__ import annotations
 
-import re
-from array import array
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import Scratch
+from .tokenids import unit_ids, with_end
+
 WINDOW = 1024
 END_ID = 0
 # Tokens of unpacked pieces that a task holds before it packs them.
 BLOCK_TOKENS = 8 << 20
-# Distinct space-separated words whose ids a worker remembers, per generation.
-KNOWN_WORDS = 500_000
+# Windows filled to a smaller share than this are packed again.
+FULL = 0.99
 
 _SCHEMA = "doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-# A space after a character that is no white space always starts a new pre-token.
-_PARTS = re.compile(r".+?(?<=\S)(?= )|.+", re.S)
-# Letters, then marks, then a new line with letters: each a pre-token of its own.
-_WORD = regex.compile(r"(\p{L}+)([.,;:!?#*$%&|]+)?(?:(\n)(\p{L}+))?")
-
-
-def _byte_characters() -> dict[int, str]:
-    """The characters that byte-level vocabularies write for bytes: printable ones for
-    themselves, the others counted on from 256."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = (b for b in range(256) if b not in plain)
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
-
-
-_BYTE_CHARACTERS = _byte_characters()
 
 
 class RoomTree:
@@ -100,145 +88,76 @@ def best_fit_decreasing(lengths: list[int], size: int) -> tuple[list[int], list[
     return window_of, offset_of, windows
 
 
-class _Joined(Exception):
-    """A part ends with white space, so the next one is not independent of it."""
+_NAMES = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "loose")
 
 
-class _Ids:
-    """Little-endian ids of words that follow a space, remembered in two generations of bounded size.
+def _batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    types = (kind, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], _NAMES)
 
-    A word not seen yet is parted where letters meet ASCII punctuation or line ends, which are
-    borders of pre-tokens too, so that its letters may be known already.
-    """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
-
-    def encode(self, part: str) -> bytes:
-        return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
-
-    def pre_token(self, part: str) -> bytes:
-        """Ids of one pre-token: the tokenizer's own model, without its bookkeeping of offsets."""
-        coded = part.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
-        return array("I", [t.id for t in self.model.tokenize(coded)]).tobytes()
-
-    def mark(self, part: str) -> bytes:
-        ids = self.marks.get(part)
-        if ids is None:
-            if len(self.marks) > 10_000:
-                self.marks.clear()
-            ids = self.marks[part] = self.pre_token(part)
-        return ids
-
-    def find(self, word: str) -> bytes:
-        """Ids of a space and ``word``, which is then known."""
-        ids = self.known.get(word) or self.older.get(word)
-        if ids is None:
-            if not word or word[-1].isspace():
-                raise _Joined
-            found = _WORD.fullmatch(word)
-            if found is None:
-                ids = self.encode(" " + word)
-            else:
-                letters, marks, line, begun = found.groups()
-                if not marks and not line:
-                    ids = self.pre_token(" " + letters)
-                else:
-                    ids = self.find(letters)
-                    if marks:
-                        ids += self.mark(marks)
-                    if line:
-                        ids += self.mark(line) + self.mark(begun)
-        if len(self.known) >= KNOWN_WORDS:
-            self.known, self.older = {}, self.known
-        self.known[word] = ids
-        return ids
-
-    def of(self, text: str) -> bytes:
-        """Ids of a whole text. Spaces after a non-space part it into independent pre-tokens."""
-        if not text:
-            return b""
-        head, *rest = text.split(" ")
-        if rest and head and not head[-1].isspace():
-            found = list(map(self.known.get, rest))
-            try:
-                if None in found:
-                    found = [ids or self.find(word) for ids, word in zip(found, rest)]
-                return self.encode(head) + b"".join(found)
-            except _Joined:
-                pass
-        plain = lambda p: p[0] == " " and p[1:2] != " " and not p[-1].isspace()
-        return b"".join([self.find(p[1:]) if plain(p) else self.encode(p) for p in _PARTS.findall(text)])
-
-
-_known: dict[str, _Ids] = {}
+def _placed(rest: list[tuple], size: int, sequence: int) -> tuple[list[tuple], int]:
+    """Pieces with window, offset, and whether the window is far from full; and the number of windows."""
+    window, offset, windows = best_fit_decreasing([p[2] for p in rest], size)
+    filled = np.bincount(window, [p[2] for p in rest], windows) if rest else np.zeros(0)
+    return [(*p, sequence + w, o, bool(filled[w] < FULL * size)) for p, w, o in zip(rest, window, offset)], windows
 
 
 def _pack(path: str, size: int, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sequence, rest, held, kind = TaskContext.get().partitionId() << 33, [], 0, None
+        for batch in batches:
+            docs = batch.column("doc_id")
+            kind = docs.type
+            for i, j, ids, counts in unit_ids(path).of_column(batch.column("text")):
+                ids, counts = with_end(ids, counts, end_id)
+                data, ends, full = ids.astype("<u4").tobytes(), np.cumsum(counts), []
+                for doc, n, end in zip(docs.slice(i, j - i).to_pylist(), counts.tolist(), ends.tolist()):
+                    first = end - n
+                    for start in range(0, n - size + 1, size):
+                        full.append((doc, start, size, data[4 * (first + start) : 4 * (first + start + size)], n, sequence, 0, False))
+                        sequence += 1
+                    if n % size:
+                        start = n - n % size
+                        rest.append((doc, start, n - start, data[4 * (first + start) : 4 * end], n))
+                        held += n - start
+                if full:
+                    yield _batch(full, kind)
+                if held >= BLOCK_TOKENS:
+                    out, windows = _placed(rest, size, sequence)
+                    sequence, rest, held = sequence + windows, [], 0
+                    yield _batch(out, kind)
+        if rest:
+            yield _batch(_placed(rest, size, sequence)[0], kind)
 
+    return run
+
+
+def _pack_again(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _known.setdefault(path, None) or _Ids(path)
-        _known[path] = ids_of
-        sequence = TaskContext.get().partitionId() << 33
-        names = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
-        rest: list[tuple] = []
-        held = 0
-
-        def packed():
-            nonlocal sequence, rest, held
-            window, offset, windows = best_fit_decreasing([p[2] for p in rest], size)
-            out = [(*p, sequence + w, o) for p, w, o in zip(rest, window, offset)]
-            sequence += windows
-            rest, held = [], 0
-            return out
-
-        def batch_of(rows, kind):
-            types = (kind, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-
-        kind = None
+        sequence, rest, kind = (1 << 62) | (TaskContext.get().partitionId() << 33), [], None
         for batch in batches:
             kind = batch.column("doc_id").type
-            full, size_of_full = [], 0
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = ids_of.of(text.as_py() or "") + end
-                n = len(ids) // 4
-                for start in range(0, n - size + 1, size):
-                    full.append((doc, start, size, ids[4 * start : 4 * (start + size)], n, sequence, 0))
-                    sequence += 1
-                    size_of_full += size
-                if n % size:
-                    start = n - n % size
-                    rest.append((doc, start, n - start, ids[4 * start :], n))
-                    held += n - start
-                if size_of_full >= BLOCK_TOKENS // 4:
-                    yield batch_of(full, kind)
-                    full, size_of_full = [], 0
-                if held >= BLOCK_TOKENS:
-                    yield batch_of(packed(), kind)
-            if full:
-                yield batch_of(full, kind)
+            rest += zip(*(batch.column(c).to_pylist() for c in _NAMES[:5]))
         if rest:
-            yield batch_of(packed(), kind)
+            yield _batch(_placed(rest, size, sequence)[0], kind)
 
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, scratch: Scratch | None = None) -> DataFrame:
     """Pieces of all documents in windows of ``window`` ids.
 
     ``ids`` holds the piece's ids as little-endian unsigned 32-bit numbers; ``start`` is its
     place in the document, ``offset`` its place in window ``sequence_id``.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_pack(tokenizer, window, end_id), _SCHEMA.format(kind=kind))
+    scratch = scratch or Scratch(docs.sparkSession)
+    schema = _SCHEMA.format(kind=docs.schema["doc_id"].dataType.simpleString()) + ", loose boolean"
+    packed = scratch.write(docs.select("doc_id", "text").mapInArrow(_pack(tokenizer, window, end_id), schema), "packed")
+    loose = packed.where("loose")
+    tasks = math.ceil((loose.agg(F.sum("length")).first()[0] or 0) / BLOCK_TOKENS)
+    again = loose.repartition(max(1, tasks), "sequence_id").mapInArrow(_pack_again(window), schema)
+    return packed.where("NOT loose").unionByName(again).drop("loose")
 
 
 def sequences(pieces: DataFrame, window: int = WINDOW, pad_id: int = END_ID) -> DataFrame:

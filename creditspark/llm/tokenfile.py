@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .huffman import LONGEST, Codec, code_lengths
-from .tokenids import unit_ids
+from .tokenids import unit_ids, with_end
 
 END_ID = 2
 # Ids after which a run ends.
@@ -41,11 +41,6 @@ _RUNS = "part long, run long, before long, n_ids long, doc_ids array<{kind}>, le
 _DOCUMENTS = "doc_id {kind}, start long, n_tokens long, ids binary"
 
 
-def _with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and lengths of documents that all end with the end id."""
-    return np.insert(ids, np.cumsum(counts), end_id), counts + 1
-
-
 def _count(tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(end_id + 1, np.int64)
@@ -89,7 +84,7 @@ def _encode(tokenizer: str, lengths: np.ndarray, end_id: int):
             own = batch.column("doc_id")
             kind = kind or own.type
             for i, j, found, counts in unit_ids(tokenizer).of_column(batch.column("text")):
-                found, counts = _with_end(found, counts, end_id)
+                found, counts = with_end(found, counts, end_id)
                 names.append(own.slice(i, j - i))
                 sizes.append(counts)
                 ids.append(found)

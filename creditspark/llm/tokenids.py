@@ -14,7 +14,6 @@ from collections.abc import Iterator
 import numpy as np
 
 from . import textcodes as tc
-from .packing import _BYTE_CHARACTERS
 
 # Units a worker remembers before it begins anew, and the longest unit it remembers, in bytes.
 KNOWN_UNITS = 1 << 20
@@ -22,6 +21,16 @@ LONGEST_UNIT = 256
 # Letters below are letters to every version of the character tables.
 _LAST_PLAIN = "\u0250"
 
+def _byte_characters() -> dict[int, str]:
+    """The characters that byte-level vocabularies write for bytes: printable ones for
+    themselves, the others counted on from 256."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTE_CHARACTERS = _byte_characters()
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 # Sure not to be white space, or the last byte of a character that is looked at further.
@@ -33,6 +42,11 @@ _MARK = np.zeros(256, bool)
 _MARK[list(b".,;:!?")] = True
 
 
+def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and numbers of documents that all end with the end id."""
+    return np.insert(ids, np.cumsum(counts), end_id), counts + 1
+
+
 def borders(data: np.ndarray, at: int, to: int) -> np.ndarray:
     """True for every byte of ``data[at:to]`` that begins a unit; the first three bytes of the data never do."""
     found = np.zeros(to - at, bool)

@@ -100,6 +100,18 @@ def test_pack(docs, empty):
     assert all(len(w["ids"]) == 4096 or w.n_ids & (w.n_ids - 1) == 0 for w in windows)
 
 
+def test_padding_does_not_grow_with_tasks(spark):
+    """1,000 short documents in 200 tasks."""
+    rows = [(i, prose(5 + i * 37 % 300, 9000 + i)) for i in range(1000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(200)
+    pieces = packing.pack(table, tokenizer_path())
+    found = pieces.agg(F.sum("length").alias("used"), F.count_distinct("sequence_id").alias("windows"), F.sum("offset").alias("o")).first()
+    assert found.used >= 0.99 * packing.WINDOW * found.windows
+    gaps = pieces.groupBy("sequence_id").agg((F.max(F.col("offset") + F.col("length")) - F.sum("length")).alias("gap"))
+    assert gaps.where("gap <> 0").count() == 0
+    assert pieces.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("d")).where("n <> d").count() == 0
+
+
 def test_best_fit():
     r = random.Random(3)
     for size in (7, 64, 1024):
@@ -213,9 +225,9 @@ def test_contamination(docs, empty, items, texts):
     assert decontam.decontaminated(docs, items).count() == sum(not r.contaminated for r in found)
 
 
-def test_contamination_without_a_filter_in_the_scan(docs, items, monkeypatch):
+def test_contamination_with_a_full_filter(docs, items, monkeypatch):
     expected = sorted((r._row, r.n_hit, r["items"]) for r in decontam.contamination(docs, items).collect())
-    monkeypatch.setattr(decontam, "FILTER_SHINGLES", 0)
+    monkeypatch.setattr(decontam, "FILTER_WORDS", 1)
     assert sorted((r._row, r.n_hit, r["items"]) for r in decontam.contamination(docs, items).collect()) == expected
 
 
