@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .spans import Pattern, find_spans, rank_of
-from .tables import Scratch, back_to, numbered
+from .tables import Scratch, back_to, free_name, numbered
 
 STRICT = ("assign", "access", "hex")
 WEAK = ("account", "endpoint", "key", "short")
@@ -89,12 +89,14 @@ def secrets(docs: DataFrame, scope: int = SCOPE, scratch: Scratch | None = None)
     return rows.join(per_row, "_row", "left").withColumn("spans", F.coalesce("spans", empty))
 
 
-def redacted(docs: DataFrame, mark: str = MARK) -> DataFrame:
+def redacted(docs: DataFrame, mark: str = MARK, scratch: Scratch | None = None) -> DataFrame:
     """``docs`` with every reported span replaced by ``mark``; overlapping spans give one mark."""
-    scratch = Scratch(docs.sparkSession)
+    scratch = scratch or Scratch(docs.sparkSession)
     table = numbered(docs, scratch)
-    found = secrets(table, scratch=scratch).where(F.size("spans") > 0).select("_row", "spans")
-    joined = back_to(table, found, "left")
+    name = free_name(table, "__llm_spans")
+    found = secrets(table, scratch=scratch).where(F.size("spans") > 0).select("_row", F.col("spans").alias(name))
+    joined = back_to(table, scratch.write(found, "found"), "left")
+    scratch.keep("numbered", "found")
     # Stretches of merged spans: each keeps the text between the last end and its start.
     step = lambda a, s: F.struct(
         F.greatest(a["at"], s["end"]).alias("at"),
@@ -103,5 +105,5 @@ def redacted(docs: DataFrame, mark: str = MARK) -> DataFrame:
         ).alias("out"),
     )
     begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    text = F.aggregate("__llm_spans", begin, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"].cast("int") + 1, F.length("text"))))
-    return joined.withColumn("text", F.when(F.size("__llm_spans") > 0, text).otherwise(F.col("text"))).select(docs.columns)
+    text = F.aggregate(name, begin, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"].cast("int") + 1, F.length("text"))))
+    return joined.withColumn("text", F.when(F.size(name) > 0, text).otherwise(F.col("text"))).select(docs.columns)

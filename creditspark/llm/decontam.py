@@ -28,14 +28,39 @@ from .tables import Scratch, back_to, join_small, numbered, row_of
 
 WINDOW = 13
 SHINGLE = 5
-# Above this many distinct benchmark shingles (8 bytes each) documents and
-# benchmark are joined by a shuffle of all shingles instead of a filter in the scan.
-FILTER_SHINGLES = 1_000_000
+# The filter of benchmark shingles in the scan: bits per shingle, and the most 64-bit words it may take.
+# It only thins out what is joined; a benchmark beyond its size lets more shingles pass.
+FILTER_BITS = 16
+FILTER_WORDS = 1 << 20
 
 _WINDOWS = "item_id string, n_words int, needed array<long>"
 _HITS = "_row long, doc_id {kind}, n_words long, at array<long>, codes array<long>"
 
 
+def _filter_words(distinct: DataFrame) -> np.ndarray:
+    """Bloom filter of the codes, two bits each, in a power of two of words; put together by an aggregation."""
+    n = distinct.count()
+    size = min(FILTER_WORDS, 1 << max(0, (n * FILTER_BITS // 64).bit_length()))
+    places = F.explode(F.array(*[F.shiftrightunsigned(F.col("code"), k) for k in (8, 32)]))
+    bits = distinct.select(places.alias("p")).select(
+        F.shiftright("p", 6).bitwiseAND(F.lit(size - 1)).alias("word"), F.expr("shiftleft(1L, cast(p & 63 AS int))").alias("bit")
+    )
+    found = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    words = np.zeros(size, np.uint64)
+    words[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return words
+
+
+def _passes(words: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Whether each code may be in the filter."""
+    hit = np.ones(len(codes), bool)
+    for k in (8, 32):
+        p = codes >> np.uint64(k)
+        word = words[((p >> np.uint64(6)) & np.uint64(len(words) - 1)).astype(np.int64)]
+        hit &= ((word >> (p & np.uint64(63))) & np.uint64(1)).astype(bool)
+    return hit
+
+
 def _windows(batches):
     """Rows (item, words, shingle codes in order), one per window."""
     for batch in batches:
@@ -70,8 +95,8 @@ def _windows(batches):
         )
 
 
-def _find(wanted: np.ndarray | None, sizes: list[int]):
-    """Per document: words, and positions and codes of the shingles among ``wanted`` (all if None)."""
+def _find(wanted: np.ndarray, sizes: list[int]):
+    """Per document: words, and positions and codes of the shingles that pass the filter ``wanted``."""
 
     def run(batches):
         for batch in batches:
@@ -85,10 +110,8 @@ def _find(wanted: np.ndarray | None, sizes: list[int]):
                 firsts = np.concatenate([[0], np.cumsum(counts)])
                 for size in sizes:
                     where, found = tc.shingles(code, row, size)
-                    if wanted is not None and len(found):
-                        near = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
-                        hit = wanted[near] == found
-                        where, found = where[hit], found[hit]
+                    hit = _passes(wanted, found)
+                    where, found = where[hit], found[hit]
                     for r in np.unique(row[where]):
                         own = row[where] == r if len(where) < 64 else slice(*np.searchsorted(row[where], [r, r + 1]))
                         at[i + r].append(where[own] - firsts[r])
@@ -118,22 +141,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch | None
     owners = scratch.write(owned.join(contents, ["n_words", "needed"]).select("window", "item_id"), "owners")
     windows = contents.select("window", "n_words", F.size("needed").alias("n_shingles"), F.posexplode("needed").alias("k", "code"))
     sizes = [r[0] for r in contents.select(F.least("n_words", F.lit(SHINGLE))).distinct().collect()]
-    wanted = None
-    distinct = windows.select("code").distinct()
-    if distinct.count() <= FILTER_SHINGLES:
-        wanted = np.sort(distinct.toArrow().column(0).to_numpy().view(np.uint64))
+    wanted = _filter_words(windows.select("code").distinct())
     has_id = docs.select(row_of(docs).alias("_row"), "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    if wanted is not None and not len(wanted):
-        sizes = []
     hits = has_id.mapInArrow(_find(wanted, sizes), _HITS.format(kind=kind))
     hits = scratch.write(hits, "hits")
 
     flat = hits.where(F.size("codes") > 0).select(
-        "_row", F.explode(F.arrays_zip("at", "codes")).alias("hit")
-    ).select("_row", F.col("hit.at").alias("at"), F.col("hit.codes").alias("code"))
-    if wanted is None:
-        flat = flat.join(distinct, "code", "left_semi")
+        "_row", "n_words", F.explode(F.arrays_zip("at", "codes")).alias("hit")
+    ).select("_row", F.col("n_words").alias("doc_words"), F.col("hit.at").alias("at"), F.col("hit.codes").alias("code"))
 
     # Rarity over all documents; a window with a shingle found nowhere cannot occur.
     rarity = flat.groupBy("code").agg(F.count(F.lit(1)).alias("found"))
@@ -149,29 +165,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch | None
     )
     prefix = scratch.write(prefix.join(contents.select("window", "needed"), "window"), "prefix")
 
-    # Join the prefix only, then bounds on where the window would lie, then the whole window.
-    start = F.col("at") - F.col("prefix_k")
+    # Join the prefix only, then bounds on where the window would lie, then the whole window, shingle by shingle.
     candidates = (
         join_small(flat, prefix, "code", "inner", 160)
-        .select("_row", "window", "n_words", "n_shingles", "needed", start.alias("start"))
-        .where("start >= 0")
-        .withColumnRenamed("n_words", "window_words")
-        .join(hits.where(F.size("codes") > 0), "_row")
-        .where(F.col("start") + F.col("window_words") <= F.col("n_words"))
-    )
-    first = F.array_position("at", F.col("start")).cast("int")
-    found = candidates.where(first > 0).where(
-        (F.slice("codes", first, F.col("n_shingles")) == F.col("needed"))
-        & (F.element_at("at", first + F.col("n_shingles") - 1) == F.col("start") + F.col("n_shingles") - 1)
-    ) if len(sizes) <= 1 else candidates.where(
-        F.forall(
-            F.sequence(F.lit(0), F.col("n_shingles") - 1),
-            lambda j: F.array_contains(
-                F.arrays_zip("at", "codes"),
-                F.struct((F.col("start") + j).alias("at"), F.get("needed", j).alias("codes")),
-            ),
-        )
+        .withColumn("start", F.col("at") - F.col("prefix_k"))
+        .where((F.col("start") >= 0) & (F.col("start") + F.col("n_words") <= F.col("doc_words")))
+        .select("_row", "window", F.col("n_words").alias("window_words"), "n_shingles", "start", F.posexplode("needed").alias("k", "code"))
+        .withColumn("at", F.col("start") + F.col("k"))
     )
+    matched = candidates.join(flat.select("_row", "at", "code"), ["_row", "at", "code"])
+    found = matched.groupBy("_row", "window", "start", "window_words", "n_shingles").agg(F.count(F.lit(1)).alias("n")).where("n = n_shingles")
     found = scratch.write(found.select("_row", "window", "start", "window_words"), "found")
 
     spans = found.groupBy("_row", "start").agg(F.max(F.col("start") + F.col("window_words")).alias("end"))
@@ -192,9 +195,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch | None
     return result.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``docs`` without its contaminated rows."""
-    scratch = Scratch(docs.sparkSession)
+    scratch = scratch or Scratch(docs.sparkSession)
     table = numbered(docs, scratch)
-    bad = contamination(table, benchmark, scratch).where("contaminated").select("_row")
+    bad = scratch.write(contamination(table, benchmark, scratch).where("contaminated").select("_row"), "bad")
+    scratch.keep("numbered", "bad")
     return back_to(table, bad, "left_anti").select(docs.columns)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import textcodes as tc
 from .components import connected
-from .tables import ROW, Scratch, back_to, numbered
+from .tables import Scratch, back_to, numbered, row_of
 
 SHINGLE = 5
 CHUNKS = 8
@@ -47,8 +47,9 @@ FINE_VALUES = 64
 FINE_DISTANCE = 321
 GLANCE_PARTS = 8
 GLANCE_DISTANCE = 102
-# Pairs per block of the exact comparison, on average.
+# Pairs per block of the exact comparison, and bytes of the texts at their ends, on average.
 BLOCK_PAIRS = 5000
+BLOCK_BYTES = 16 << 20
 
 _rng = np.random.default_rng(20240607)
 _MULTIPLY = _rng.integers(0, 1 << 63, CHUNKS * VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -83,7 +84,7 @@ def _signatures(batches):
         n_shingles = np.zeros(len(batch), np.int64)
         keys = np.zeros((2, len(batch)), np.uint64)
         parts = np.zeros((CHUNKS, len(batch)), np.uint64)
-        for i, j in tc.row_blocks(offsets, 4 << 20):
+        for i, j in tc.row_blocks(offsets):
             sets = shingle_sets(data, offsets[i : j + 1])
             sizes = np.array([len(s) for s in sets], np.int64)
             n_shingles[i:j] = sizes
@@ -99,9 +100,9 @@ def _signatures(batches):
                 value = tc.mix(least) & np.uint64(0xFFFF)
                 parts[k // VALUES, full] |= value << np.uint64(16 * (k % VALUES))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_row"), batch.column("doc_id"), pa.array(n_shingles)]
+            [batch.column("_row"), batch.column("doc_id"), pa.array(n_shingles), pa.array(np.diff(offsets))]
             + [pa.array(x.view(np.int64)) for x in (*keys, *parts)],
-            ["_row", "doc_id", "n_shingles", "key0", "key1", *_PARTS],
+            ["_row", "doc_id", "n_shingles", "n_bytes", "key0", "key1", *_PARTS],
         )
 
 
@@ -156,20 +157,20 @@ def _fine(batches):
     """Longer signatures of single bits for the members of shared buckets."""
     for batch in batches:
         data, offsets = tc.text_bytes(batch.column("text"))
-        sizes = np.zeros(len(batch), np.int64)
-        parts = np.zeros((FINE_PARTS, len(batch)), np.uint64)
-        for i, j in tc.row_blocks(offsets, 1 << 20):
+        for i, j in tc.row_blocks(offsets):
+            parts = np.zeros((FINE_PARTS, j - i), np.uint64)
             sets = shingle_sets(data, offsets[i : j + 1])
-            sizes[i:j] = [len(x) for x in sets]
+            sizes = np.array([len(x) for x in sets], np.int64)
             codes = np.concatenate(sets)
-            starts = np.concatenate([[0], np.cumsum(sizes[i:j])[:-1]])
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             for k in range(FINE_PARTS * FINE_VALUES):
                 least = np.minimum.reduceat(codes * _FINE_MULTIPLY[k] + _FINE_ADD[k], starts)
-                parts[k // FINE_VALUES, i:j] |= (tc.mix(least) & np.uint64(1)) << np.uint64(k % FINE_VALUES)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), batch.column("text"), pa.array(sizes), *(pa.array(x.view(np.int64)) for x in parts)],
-            ["node", "text", "n_shingles", *_FINE],
-        )
+                parts[k // FINE_VALUES] |= (tc.mix(least) & np.uint64(1)) << np.uint64(k % FINE_VALUES)
+            own = batch.slice(i, j - i)
+            yield pa.RecordBatch.from_arrays(
+                [own.column("node"), own.column("text"), pa.array(sizes), *(pa.array(x.view(np.int64)) for x in parts)],
+                ["node", "text", "n_shingles", *_FINE],
+            )
 
 
 def _confirm(percent: int):
@@ -198,11 +199,12 @@ def _confirm(percent: int):
 def _links(pairs: DataFrame, texts: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
-    Pairs are dealt to a square of blocks by hashes of both ends, so a block has a bounded
-    number of pairs however many one node has, and a text goes once to each block that needs it.
+    Pairs ``(a, b, n_bytes)`` are dealt to a square of blocks by hashes of both ends, so a block has a bounded
+    number of pairs and of bytes at their ends however many one node has, and a text goes once to each block that needs it.
     """
     pairs = scratch.write(pairs, f"{name}-pairs")
-    side = math.ceil(math.sqrt(max(1, pairs.count() / BLOCK_PAIRS)))
+    n, size = pairs.agg(F.count(F.lit(1)), F.sum("n_bytes")).first()
+    side = math.ceil(math.sqrt(max(1, n / BLOCK_PAIRS, (size or 0) / BLOCK_BYTES)))
     block = F.pmod(F.xxhash64("a"), F.lit(side)) * side + F.pmod(F.xxhash64("b"), F.lit(side))
     dealt = pairs.select(block.alias("block"), "a", "b")
     again = scratch.read(f"{name}-pairs", pairs)  # the same table under columns of its own, for the cogroup
@@ -213,22 +215,37 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int, scratch: Scratch, n
     return scratch.write(found, name)
 
 
+def _merged(group: DataFrame, more: DataFrame, scratch: Scratch) -> DataFrame:
+    """Groups (node, group) after further links: only links between different groups are followed, as links of the groups."""
+    named = group.select(F.col("node").alias("a"), F.col("group").alias("ga"))
+    contracted = more.select("a", "b").join(named, "a", "left").join(named.toDF("b", "gb"), "b", "left").select(
+        F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")
+    )
+    joined = connected(scratch.write(contracted.where("a <> b").distinct(), "between"), scratch, "last")
+    joined = scratch.write(joined.select(F.col("node").alias("group"), F.col("group").alias("whole")), "joined")
+    kept = group.join(joined, "group", "left").select("node", F.coalesce("whole", "group").alias("group"))
+    # Nodes without a group of their own so far.
+    single = joined.join(group.select(F.col("node").alias("group")), "group", "left_anti").select(F.col("group").alias("node"), F.col("whole").alias("group"))
+    return kept.union(single)
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch | None = None) -> DataFrame:
     """Per row: ``_row``, ``doc_id``, ``n_shingles``, ``component_id`` (smallest doc_id of the
     group) and ``kept`` (the first row of each group)."""
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
-    rows = numbered(docs, scratch, "doc_id", "text").select(F.col(ROW).alias("_row"), "doc_id", "text")
+    rows = numbered(docs, scratch, "doc_id", "text")
+    rows = rows.select(row_of(rows).alias("_row"), "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"_row long, doc_id {kind}, n_shingles long, key0 long, key1 long, " + ", ".join(f"{p} long" for p in _PARTS)
+    schema = f"_row long, doc_id {kind}, n_shingles long, n_bytes long, key0 long, key1 long, " + ", ".join(f"{p} long" for p in _PARTS)
     signed = scratch.write(rows.mapInArrow(_signatures, schema), "signed")
 
     # Equal sets are one node, named by its first row.
     sets = signed.where("n_shingles > 0").groupBy("key0", "key1", "n_shingles").agg(
-        F.min("_row").alias("node"), *[F.max(p).alias(p) for p in _PARTS]
+        F.min("_row").alias("node"), F.max("n_bytes").alias("n_bytes"), *[F.max(p).alias(p) for p in _PARTS]
     )
     sets = scratch.write(sets, "sets")
-    nodes = sets.select("node", "n_shingles", *_PARTS)
+    nodes = sets.select("node", "n_shingles", "n_bytes", *_PARTS)
 
     # Buckets of two nodes or more, with two members picked in an order of the key's own.
     keys = _keys(nodes)
@@ -252,16 +269,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
 
     first = filed.select("node", F.explode(F.array("lo", "hi")).alias("other")).where("node <> other").distinct()
     first = (
-        first.join(nodes.select("node", *side("l", "n_shingles", *_PARTS)), "node")
-        .join(nodes.select(F.col("node").alias("other"), *side("r", "n_shingles", *_PARTS)), "other")
+        first.join(nodes.select("node", *side("l", "n_shingles", "n_bytes", *_PARTS)), "node")
+        .join(nodes.select(F.col("node").alias("other"), *side("r", "n_shingles", "n_bytes", *_PARTS)), "other")
         .where(_alike_sizes("l", "r", percent))
         .withColumn("distance", _distance("l", "r"))
         .where(F.col("distance") <= DISTANCE)
     )
+    n_bytes = F.col("l_n_bytes") + F.col("r_n_bytes")
     nearest = Window.partitionBy("node").orderBy("distance", "other")
     first = (
         first.withColumn("rank", F.row_number().over(nearest)).where("rank <= 2")
-        .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), n_bytes.alias("n_bytes")).distinct()
     )
     links = _links(first, texts, percent, scratch, "links")
     group = connected(links, scratch, "first")
@@ -271,10 +289,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
     named = scratch.write(named, "named")
     sizes = named.groupBy("key", "code", "group").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("key", "code").agg(F.count(F.lit(1)).alias("groups"), F.max_by("group", "n").alias("main")).where("groups > 1")
-    signature = nodes.select("node", *_PARTS).join(texts.drop("text"), "node")
+    signature = nodes.select("node", "n_bytes", *_PARTS).join(texts.drop("text"), "node")
     mixed = named.join(main.select("key", "code", "main"), ["key", "code"]).join(signature, "node")
     mixed = scratch.write(mixed, "mixed")
-    carried = ("node", "group", "n_shingles", *_PARTS, *_FINE)
+    carried = ("node", "group", "n_shingles", "n_bytes", *_PARTS, *_FINE)
     left = mixed.where("`group` <> main").select("key", "code", *side("l", *carried))
     right = mixed.select("key", "code", *side("r", *carried), (F.col("group") == F.col("main")).alias("r_inside"))
     rest = left.join(right, ["key", "code"]).where(
@@ -285,9 +303,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
         & (_first_key("l", "r") == F.col("key"))
         & (_fine_distance("l", "r", _FINE) <= FINE_DISTANCE)
     )
-    rest = rest.select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b"))
+    rest = rest.select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b"), n_bytes.alias("n_bytes"))
     more = _links(rest, texts, percent, scratch, "more")
-    group = connected(links.union(more), scratch, "last")
+    group = _merged(group, more, scratch)
 
     # Back to rows: nodes stand for all rows of their set, groups take their smallest doc_id.
     named = sets.select("key0", "key1", "n_shingles", "node").join(group, "node", "left").select(
@@ -305,9 +323,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
     )
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``docs`` with one row of each group of near duplicates."""
-    scratch = Scratch(docs.sparkSession)
+    scratch = scratch or Scratch(docs.sparkSession)
     table = numbered(docs, scratch)
-    gone = near_duplicates(table, scratch=scratch).where("not kept").select("_row")
+    gone = scratch.write(near_duplicates(table, scratch=scratch).where("not kept").select("_row"), "gone")
+    scratch.keep("numbered", "gone")
     return back_to(table, gone, "left_anti").select(docs.columns)

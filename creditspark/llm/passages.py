@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textcodes as tc
-from .tables import ROW, Scratch, numbered
+from .tables import Scratch, numbered, row_of
 
 LENGTH = 200
 GRAM = 40
@@ -304,7 +304,8 @@ def without_repeats(docs: DataFrame, batches: int = BATCHES, scratch: Scratch |
     """Per row ``_row``, ``doc_id``, ``n_bytes``, ``n_removed``, the removed ``spans`` (byte ranges) and
     the bytes ``kept``."""
     scratch = scratch or Scratch(docs.sparkSession)
-    rows = numbered(docs, scratch, "doc_id", "text").select(F.col(ROW).alias("_row"), "doc_id", "text")
+    rows = numbered(docs, scratch, "doc_id", "text")
+    rows = rows.select(row_of(rows).alias("_row"), "doc_id", "text")
     found = repeats(rows, scratch, batches)
     per_row = found.groupBy("_row").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import ROW, Scratch, back_to, join_small, numbered, row_of
+from .tables import Scratch, back_to, free_name, join_small, numbered, row_name, row_of
 
 LIMIT = 8 << 20
 # Bits of a cell beyond an even spread, bits added per further round, bits per hash part.
@@ -79,9 +79,6 @@ def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
     """Write the documents to one folder per shard."""
     scratch = Scratch(docs.sparkSession)
     table = numbered(docs, scratch)
-    found = shards(table, limit, scratch).select("_row", "shard")
-    joined = back_to(table, found, "inner")
-    named = joined.withColumnRenamed("__llm_shard", "shard") if "shard" not in docs.columns else joined.withColumnRenamed("__llm_shard", "hash_shard")
-    named.drop(ROW).repartition("shard" if "shard" not in docs.columns else "hash_shard").write.partitionBy(
-        "shard" if "shard" not in docs.columns else "hash_shard"
-    ).parquet(path)
+    name = "shard" if "shard" not in docs.columns else free_name(docs, "hash_shard")
+    found = shards(table, limit, scratch).select("_row", F.col("shard").alias(name))
+    back_to(table, found, "inner").drop(row_name(table)).repartition(name).write.partitionBy(name).parquet(path)

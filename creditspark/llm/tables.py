@@ -24,6 +24,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
+        self.names: set[str] = set()
         self.folder = f"{checkpoint_folder(spark)}/llm-{uuid.uuid4().hex}"
 
     def write(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
@@ -32,6 +33,7 @@ class Scratch:
         The shuffle files of the write are released at its end.
         """
         path = f"{self.folder}/{name}"
+        self.names.add(name)
         before = self.spark.conf.get(CLEANUP, None)
         self.spark.conf.set(CLEANUP, "true")
         try:
@@ -51,6 +53,11 @@ class Scratch:
         for name in names:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self.names.discard(name)
+
+    def keep(self, *names: str) -> None:
+        """Drop all tables but these."""
+        self.drop(*self.names.difference(names))
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str, row_bytes: int) -> DataFrame:
@@ -60,8 +67,22 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str, row_bytes: int) -
     return big.join(F.broadcast(small) if fits else small, on, how)
 
 
-# Reserved name of the written row number.
+# Name of the written row number, longer where ``docs`` have such a column; the mark in its metadata tells it.
 ROW = "__llm_row"
+_MARK = {"llm_row": True}
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, longer by underscores as long as ``docs`` have such a column (in any case)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_name(docs: DataFrame) -> str | None:
+    """Name of the row number of numbered ``docs``, None for others."""
+    return next((f.name for f in docs.schema if f.metadata == _MARK), None)
 
 
 def numbered(docs: DataFrame, scratch: Scratch, *columns: str) -> DataFrame:
@@ -70,19 +91,21 @@ def numbered(docs: DataFrame, scratch: Scratch, *columns: str) -> DataFrame:
     Numbers of two scans of one table can differ, as the splits of a scan follow the cores registered when
     its job is planned; all jobs that join by row read this table. Numbered ``docs`` come back as they are.
     """
-    if ROW in docs.columns:
+    if row_name(docs):
         return docs
     chosen = docs.select(*columns) if columns else docs
-    return scratch.write(chosen.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    number = F.monotonically_increasing_id().alias(free_name(chosen, ROW), metadata=_MARK)
+    return scratch.write(chosen.select("*", number), "numbered")
 
 
 def row_of(docs: DataFrame) -> Column:
     """The written number of numbered ``docs``, else a fresh one: good for a single scan only."""
-    return F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+    name = row_name(docs)
+    return F.col(name).alias("_row", metadata={}) if name else F.monotonically_increasing_id()
 
 
 def back_to(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """Join rows of numbered ``docs`` with ``found`` by its ``_row``; other columns of ``found`` come in
-    with the prefix ``__llm_``."""
-    renamed = found.select(*[F.col(c).alias(ROW if c == "_row" else f"__llm_{c}") for c in found.columns])
-    return docs.join(renamed, ROW, how)
+    """Join rows of numbered ``docs`` with ``found`` by its ``_row``; other columns of ``found`` need
+    names that ``docs`` don't have."""
+    number = row_name(docs)
+    return docs.join(found.withColumnRenamed("_row", number), number, how)

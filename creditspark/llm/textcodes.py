@@ -68,7 +68,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), offsets
 
 
-def row_blocks(offsets: np.ndarray, size: int = 8 << 20) -> Iterator[tuple[int, int]]:
+def row_blocks(offsets: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``size`` bytes, one row at least."""
     i, n = 0, len(offsets) - 1
     while i < n:

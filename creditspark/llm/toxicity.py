@@ -30,7 +30,6 @@ from .tables import Scratch
 
 SAMPLE = 12_000
 BEGINNINGS = (4, 5, 6, 7, 8)
-MOST_FEATURES = 4096
 LEAST_TOXIC = 4
 Z_SCORE = 3.5
 REJECT = 0.5
@@ -145,7 +144,7 @@ def fit_ordinal(rows, cols, values, grade, n_features, steps: int = 800, penalty
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, scratch: Scratch | None = None) -> OrdinalModel:
     scratch = scratch or Scratch(docs.sparkSession)
-    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     n = known.count()
     if n > sample:
         # The first rows by a hash, so about ``sample`` of them at any size.
@@ -165,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, scratch: Scr
     share = F.col("every") / every
     z = (F.col("bad") / bad - clean / (every - bad)) / F.sqrt(share * (1 - share) * (1 / bad + 1 / (every - bad)) + 1e-12)
     best = counts.select("code", z.alias("z"), (F.col("bad") / F.col("every")).alias("purity")).where((F.col("z") >= Z_SCORE) & (F.col("purity") >= 0.5))
-    best = best.orderBy(F.desc("z"), "code").limit(MOST_FEATURES).toArrow()
+    best = best.select("code").toArrow()  # of the bounded sample
     if not best.num_rows:
         return none
     codes = np.sort(best.column("code").to_numpy().view(np.uint64))
@@ -182,19 +181,23 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, scratch: Scr
     return OrdinalModel(codes, *fit_ordinal(rows, cols, values, grade, len(codes)))
 
 
-def _scores(model: OrdinalModel, schema_names: list[str]):
+def chances(model: OrdinalModel, text: pa.Array) -> np.ndarray:
+    """P(grade > k) for every text and k."""
+    data, offsets = tc.text_bytes(text)
+    score = np.zeros(len(text))
+    if len(model.codes):
+        for i, j in tc.row_blocks(offsets):
+            row, place, count, n = chosen_counts(model.codes, data, offsets[i : j + 1])
+            score[i:j] = np.bincount(row, weights=model.weights[place] * weigh(count), minlength=n)
+    return model.above(score)
+
+
+def _scores(model: OrdinalModel):
     def run(batches):
         for batch in batches:
-            data, offsets = tc.text_bytes(batch.column("text"))
-            score = np.zeros(len(batch))
-            if len(model.codes):
-                for i, j in tc.row_blocks(offsets):
-                    row, place, count, n = chosen_counts(model.codes, data, offsets[i : j + 1])
-                    score[i:j] = np.bincount(row, weights=model.weights[place] * weigh(count), minlength=n)
-            above = model.above(score)
+            above = chances(model, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in schema_names), pa.array(above[:, 0]), pa.array(above.sum(1))],
-                [*schema_names, "p_toxic", "expected_severity"],
+                [batch.column("doc_id"), pa.array(above[:, 0]), pa.array(above.sum(1))], ["doc_id", "p_toxic", "expected_severity"]
             )
 
     return run
@@ -205,7 +208,7 @@ def severity(docs: DataFrame, labels: DataFrame, reject: float = REJECT) -> Data
     model = train(docs, labels)
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = docs.select("doc_id", "text").mapInArrow(
-        _scores(model, ["doc_id"]), f"doc_id {kind}, p_toxic double, expected_severity double"
+        _scores(model), f"doc_id {kind}, p_toxic double, expected_severity double"
     )
     return scored.select(
         "doc_id", "p_toxic", "expected_severity", F.round("expected_severity").cast("int").alias("grade"),
@@ -213,15 +216,14 @@ def severity(docs: DataFrame, labels: DataFrame, reject: float = REJECT) -> Data
     )
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, reject: float = REJECT) -> DataFrame:
-    """``docs`` without the rows whose chance of being toxic reaches ``reject``; one scan, no shuffle."""
-    model = train(docs, labels)
-    names = docs.columns
+def without_toxic(docs: DataFrame, labels: DataFrame, reject: float = REJECT, scratch: Scratch | None = None) -> DataFrame:
+    """``docs`` without the rows whose chance of being toxic reaches ``reject``, with all their columns, whatever
+    their names; one scan, no shuffle."""
+    model = train(docs, labels, scratch=scratch)
+    at = docs.columns.index("text")
 
     def keep(batches):
         for batch in batches:
-            for out in _scores(model, names)([batch]):
-                good = pa.array(out.column("p_toxic").to_numpy() < reject)
-                yield out.select(names).filter(good)
+            yield batch.filter(pa.array(chances(model, batch.column(at))[:, 0] < reject))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -18,9 +18,9 @@ ITEMS = [(1, A), (1, A), (2, B), (2, C), (None, D), (None, D), (3, A), (4, "Two
 TEXTS = [None, "", A, B, C, D, f"{prose(20, 1)} {A} {prose(20, 2)} {D}", f"x {B} y", f"x {C} y", "say two words", prose(40, 3), "ka " * 40]
 
 
-@pytest.mark.parametrize("most", [decontam.FILTER_SHINGLES, 0])
+@pytest.mark.parametrize("most", [decontam.FILTER_WORDS, 1])
 def test_items_are_all_found(spark, tmp_path, monkeypatch, most):
-    monkeypatch.setattr(decontam, "FILTER_SHINGLES", most)
+    monkeypatch.setattr(decontam, "FILTER_WORDS", most)
     rows = list(enumerate(TEXTS))
     spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame(ITEMS, "item_id long, text string").repartition(2).write.parquet(str(tmp_path / "benchmark.parquet"))

@@ -32,7 +32,7 @@ def texts(spark):
 def test_registration():
     names = set(entry_module.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in names)] == []
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secrets", "packing"]
 
 
