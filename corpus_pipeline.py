@@ -24,24 +24,36 @@ from creditspark.llm.queries import table, tokenizer_path
 from creditspark.llm.tables import Scratch
 
 
+# Intermediate tables of the stage before; its output was written and reread when the next stage begins.
+_before: list[Scratch] = []
+
+
+def _scratch(spark: SparkSession) -> Scratch:
+    """Tables of a stage, after those of the stage before were dropped. Stages run one after the other."""
+    while _before:
+        _before.pop().keep()
+    _before.append(Scratch(spark))
+    return _before[-1]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"), scratch=_scratch(spark))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.deduplicated(docs)
+    return neardup.deduplicated(docs, scratch=_scratch(spark))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontam.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontam.decontaminated(docs, table(spark, sf_dir, "benchmark"), _scratch(spark))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return credentials.redacted(docs)
+    return credentials.redacted(docs, scratch=_scratch(spark))
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(docs, tokenizer_path())
+    pieces = packing.pack(docs, tokenizer_path(), scratch=_scratch(spark))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
@@ -60,7 +72,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of ``sf_dir``; returns the packed pieces."""
     scratch = Scratch(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), ()
     for name, stage in STAGES:
         docs = scratch.write(stage(spark, docs, sf_dir), name)
+        scratch.drop(*last)
+        last = (name,)
     return docs
