@@ -16,6 +16,9 @@ from ..plans.storage import checkpoint_folder
 
 # Sides of joins are broadcast only below this many bytes by count of rows and row width.
 BROADCAST_BYTES = 8 << 20
+# Rows of a batch that a task hands to Python, in place of Spark's 10,000: texts may be long.
+BATCH_ROWS = 2000
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -30,20 +33,22 @@ class Scratch:
     def write(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
         """Write ``df``, split into folders by column ``by`` where given, and read it back.
 
-        The shuffle files of the write are released at its end.
+        The shuffle files of the write are released at its end, and tasks hand rows to Python in batches
+        of ``BATCH_ROWS`` at most.
         """
         path = f"{self.folder}/{name}"
         self.names.add(name)
-        before = self.spark.conf.get(CLEANUP, None)
-        self.spark.conf.set(CLEANUP, "true")
+        rows = int(self.spark.conf.get(BATCH))
+        wanted = {CLEANUP: "true", BATCH: str(rows if 0 < rows < BATCH_ROWS else BATCH_ROWS)}
+        before = {key: self.spark.conf.get(key, None) for key in wanted}
+        for key, value in wanted.items():
+            self.spark.conf.set(key, value)
         try:
             writer = df.write.mode("overwrite")
             (writer.partitionBy(by) if by else writer).parquet(path)
         finally:
-            if before is None:
-                self.spark.conf.unset(CLEANUP)
-            else:
-                self.spark.conf.set(CLEANUP, before)
+            for key, value in before.items():
+                self.spark.conf.unset(key) if value is None else self.spark.conf.set(key, value)
         return self.read(name, df)
 
     def read(self, name: str, like: DataFrame) -> DataFrame:
