@@ -22,6 +22,14 @@ WIDE = {
 }
 WIDE_SHOWN = ("c0", "c63", "c64", "c250")
 
+# Weights of twenty trials, spread over the range by the golden ratio, and the score of a trial.
+TRIALS = [round((0.5 + 0.6180339887 * k) % 1, 6) for k in range(20)]
+
+
+def trial_score(weight) -> str:
+    return f"round(CAST({weight} AS DOUBLE) * quantity / 50 + (1 - CAST({weight} AS DOUBLE)) * 10 * discount, 9)"
+
+
 TABLES = ("lineitem", "orders", "customer", "part", "supplier")
 
 NUMERIC = (

@@ -655,6 +655,26 @@ ORACLES = {
            LEFT JOIN (SELECT feature, gain FROM best0 UNION ALL SELECT feature, gain FROM best1) USING (feature) GROUP BY feature""",
         **_FIRST_TREE,
     ),
+    "search_densities": cte(
+        """SELECT r.trial, round(auc, 4) AS auc, good, round(better, 4) AS better, round(worse, 4) AS worse,
+                  better / worse = max(better / worse) OVER () AS next
+           FROM r JOIN d USING (trial)""",
+        s=SAMPLE,
+        t="SELECT * FROM (VALUES " + ", ".join(f"({k}, {w!r}::DOUBLE)" for k, w in enumerate(fx.TRIALS)) + ") v(trial, w)",
+        sc=f"SELECT trial, new_target, {fx.trial_score('w')} AS p FROM s CROSS JOIN t",
+        r=f"""SELECT trial::INTEGER AS trial, w, round(auc, 6) AS auc, row_number() OVER (ORDER BY round(auc, 6) DESC, trial) <= 2 AS good
+              FROM ({ranking('SELECT * FROM sc', 'trial')}) JOIN t USING (trial)""",
+        centres="SELECT good, w AS c, false AS prior FROM r UNION ALL SELECT unnest([true, false]), 0.5, true",
+        gaps="""SELECT *, count(*) OVER (PARTITION BY good) AS m,
+                       greatest(c - coalesce(lag(c) OVER o, 0), coalesce(lead(c) OVER o, 1) - c) AS gap
+                FROM centres WINDOW o AS (PARTITION BY good ORDER BY c, prior)""",
+        curves="SELECT good, c, CASE WHEN prior THEN 1.0::DOUBLE ELSE greatest(least(gap, 1), 1.0::DOUBLE / least(100, 1 + m)) END AS width FROM gaps",
+        # The part of a curve inside the range, by the middle of 5,000 strips.
+        mass="""SELECT good, c, width, sum(exp(-pow(((i + 0.5) / 5000 - c) / width, 2) / 2) / width / 5000) AS mass
+                FROM curves CROSS JOIN range(5000) x(i) GROUP BY good, c, width""",
+        d="""SELECT trial, avg(y) FILTER (WHERE good_side) AS better, avg(y) FILTER (WHERE NOT good_side) AS worse
+             FROM (SELECT trial, k.good AS good_side, exp(-pow((w - k.c) / k.width, 2) / 2) / k.width / mass AS y FROM t CROSS JOIN mass k) GROUP BY trial""",
+    ),
     "cv_sizes": f"SELECT fold, (SELECT count(*) FROM ({SAMPLE})) - sum(n)::BIGINT AS train_size, sum(n)::BIGINT AS val_size FROM ({FOLDS}) GROUP BY fold",
     "tree_first_round": FIRST_ROUND,
     "category_codes": """

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import creditspark as cs
-from creditspark.operators import binning, correlation, trees
+from creditspark.operators import binning, correlation, parzen, trees
 from creditspark.plans.longform import ORG, TARGET, constant_columns
 from creditspark.plans.storage import checkpoint_folder, written
 from creditspark.sources.load import valid_labels
@@ -654,6 +654,24 @@ def tree_gain(spark, sf_dir):
     return rounded(cs.train_tree(df, list(fx.TREE_LIMITS), params=whole, limits=fx.TREE_LIMITS).importance(), 3)
 
 
+@query
+def search_densities(spark, sf_dir):
+    """Twenty trials of the weight of a score, the densities that the search sees at their places, and which it would try again."""
+    rows = fx.sample(spark, sf_dir, "quantity", "discount")
+    each = [F.struct(F.lit(k).alias("trial"), F.expr(fx.trial_score(w)).alias("p")) for k, w in enumerate(fx.TRIALS)]
+    long = rows.select(TARGET, F.explode(F.array(*each)).alias("x")).select(TARGET, "x.*")
+    found = {r.trial: round(r.auc, 6) for r in cs.ranking_metrics(long, "p", TARGET, ["trial"]).collect()}
+    finished = [({"w": w, "trial": k}, found[k]) for k, w in enumerate(fx.TRIALS)]
+    good, rest = parzen.parted(finished)
+    better, worse = [parzen.mixture([d["w"] for d in part], 0, 1).density(fx.TRIALS) for part in (good, rest)]
+    ratio = better / worse
+    table = [
+        (k, found[k], k in {d["trial"] for d in good}, float(better[k]), float(worse[k]), bool(ratio[k] == ratio.max()))
+        for k in range(len(fx.TRIALS))
+    ]
+    return rounded(spark.createDataFrame(table, "trial int, auc double, good boolean, better double, worse double, next boolean"), 4)
+
+
 @query
 def search_report(spark, sf_dir):
     train, val, _ = _train_val_test(spark, sf_dir, *TREE_FEATURES)
