@@ -31,7 +31,9 @@ _before: list[Scratch] = []
 def _scratch(spark: SparkSession) -> Scratch:
     """Tables of a stage, after those of the stage before were dropped. Stages run one after the other."""
     while _before:
-        _before.pop().keep()
+        old = _before.pop()
+        if old.spark is spark:
+            old.keep()
     _before.append(Scratch(spark))
     return _before[-1]
 
