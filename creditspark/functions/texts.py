@@ -22,6 +22,7 @@ LOW_IV = "整体IV=%s<%s"
 LOW_IV_ORGS = "%s个机构IV<%s"
 UNSTABLE_ORGS = "PSI不稳定机构数%s/%s"
 LOW_GAIN = "gain差异%s<%s"
+LOW_GAIN_RATIO = "gain差异比%s<%s"
 CORRELATED = "与%s相关系数=%s>%s，IV较低(%s<%s)"
 
 PSI_ALERT = "PSI漂移"

@@ -425,7 +425,8 @@ def null_importance_drops(
     column = f"gain_{rule}"
     if threshold is None:
         threshold = config.NULL_GAIN_RATIO if rule == "ratio" else config.NULL_GAIN_THRESHOLD
-    reason = F.format_string(texts.LOW_GAIN, F.format_string("%.1f", F.col(column)), F.lit(str(threshold)))
+    text = texts.LOW_GAIN_RATIO if rule == "ratio" else texts.LOW_GAIN
+    reason = F.format_string(text, F.format_string("%.1f", F.col(column)), F.lit(str(threshold)))
     return detail.filter(F.col(column) < threshold).select(
         "feature", "gain", "null_gain", "gain_difference", reason.alias("reason")
     )

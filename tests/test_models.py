@@ -124,6 +124,9 @@ def test_null_importance_keeps_the_planted_signal(spark):
     kept, detail, drops = cs.filter_null_importance(df, trees=3, depth=3, runs=3)
     assert "x" in kept.columns and "txt" in kept.columns
     assert detail.first().feature == "x" and "x" not in [r.feature for r in drops.collect()]
+    assert all(r.reason.startswith("gain差异比") for r in drops.collect())
+    other = cs.null_importance_drops(detail, "difference", 1e12).collect()
+    assert len(other) == 3 and all(r.reason.startswith("gain差异") and "比" not in r.reason for r in other)
     same, nothing, _ = cs.filter_null_importance(df.select("new_target", "x"))
     assert same.columns == ["new_target", "x"] and nothing is None
 
