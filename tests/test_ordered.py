@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import creditspark as cs
 from creditspark.plans import ordered
 
 
@@ -64,3 +65,12 @@ def test_row_numbers_spread_equal_rows(spark):
     assert sorted(r.row_number for r in rows if r.k == "a") == list(range(1, 56))
     assert {r.v for r in rows if r.k == "a" and r.row_number <= 5} == {0}
     assert sorted(r.row_number for r in rows if r.k == "b") == list(range(1, 21))
+
+
+def test_odd_names_in_value_buckets(spark, many_buckets):
+    rows = [(f"o{i % 2}", i % 2, f"{20200101 + i % 28}", float(i % 100), float(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "new_org string, new_target int, new_date string, `a.b` double, `c``d` double")
+    plain = df.toDF("new_org", "new_target", "new_date", "x", "y")
+    found = {r.feature: r.iv for r in cs.information_value(df, ["a.b", "c`d"]).collect()}
+    expected = {r.feature: r.iv for r in cs.information_value(plain, ["x", "y"]).collect()}
+    assert found == {"a.b": expected["x"], "c`d": expected["y"]}
