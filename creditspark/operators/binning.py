@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.scalars import floored, woe_of
 from ..plans.longform import ORG, OVERALL, TARGET, named
-from ..plans.ordered import BUCKET, running_totals, value_cells
+from ..plans.ordered import running_totals, value_cells
 from ..plans.storage import BROADCAST_ROWS, checkpointed, join_checked, written
 
 KEYS = ["scope", "feature"]
@@ -36,9 +36,9 @@ def binning_cells(
     sums = {"n": F.count("*"), "bad": F.sum(target)}
     keep = [ORG, target] if by_org else [target]
     cells, bucketed = value_cells(df.select(*keep, *map(named, features)), features, [ORG] if by_org else [], sums)
-    group = ["feature", *([BUCKET] if bucketed else []), "value"]
     if by_org:
-        overall = cells.groupBy(*group).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+        cells = written(cells)
+        overall = cells.groupBy("feature", "value").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
         cells = cells.withColumnRenamed(ORG, "scope").unionByName(overall.withColumn("scope", F.lit(OVERALL)))
     else:
         cells = cells.withColumn("scope", F.lit(OVERALL))

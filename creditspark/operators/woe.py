@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from .. import config
 from ..plans.longform import OVERALL, TARGET
-from ..plans.ordered import BUCKET, ROWS_PER_BUCKET, row_numbers, value_cells
+from ..plans.ordered import row_numbers, value_cells
 from ..plans.storage import checkpointed, join_checked
 from .binning import bin_ranges, leaf_stats, tree_leaves, with_running_counts
 
@@ -80,8 +80,6 @@ def fit_woe(
     if text:
         categories = checkpointed(category_codes(df, text, target))
         coded = categories.select("feature", F.col("code").cast("double").alias("value"), "n", "bad")
-        if bucketed:
-            coded = coded.withColumn(BUCKET, F.floor(F.col("value") / ROWS_PER_BUCKET).cast("int"))
         cells = coded if cells is None else cells.unionByName(coded)
     stored = with_running_counts(cells.withColumn("scope", F.lit(OVERALL)), bucketed)
     bins = bin_ranges(stored, leaf_stats(tree_leaves(stored, n_bins, min_share)))

@@ -74,3 +74,19 @@ def test_odd_names_in_value_buckets(spark, many_buckets):
     found = {r.feature: r.iv for r in cs.information_value(df, ["a.b", "c`d"]).collect()}
     expected = {r.feature: r.iv for r in cs.information_value(plain, ["x", "y"]).collect()}
     assert found == {"a.b": expected["x"], "c`d": expected["y"]}
+
+
+def test_running_totals_need_no_sketch_of_the_rows(spark, many_buckets, monkeypatch):
+    def sketch(*_):
+        raise AssertionError("a second pass over all rows")
+
+    rows = [(None if i % 5 == 0 else f"k{i % 3}", float(i * 7 % 101), i % 2) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "k string, x double, bad int")
+    monkeypatch.setattr(type(df), "approxQuantile", sketch)
+    cells, bucketed = ordered.value_cells(df, ["x"], ["k"], {"n": F.count("*"), "bad": F.sum("bad")})
+    found = ordered.running_totals(cells, ["k", "feature"], ["value"], ["n", "bad"], bucketed).collect()
+    assert bucketed and len(found) == len({(k, x) for k, x, _ in rows})
+    for r in found:
+        own = [(x, y) for k, x, y in rows if k == r.k]
+        assert (r.n_upto, r.n_all) == (sum(x <= r.value for x, _ in own), len(own))
+        assert (r.bad_upto, r.bad_all) == (sum(y for x, y in own if x <= r.value), sum(y for _, y in own))
