@@ -33,7 +33,8 @@ GRAM = 40
 BATCHES = 4
 # Different stretches of one gram that are compared in one place; more are spread by string.
 TOGETHER = 2000
-BLOCK_BYTES = 1 << 20
+# Bytes worked through at once: a worker holds about 15 numbers of 8 bytes for each.
+BLOCK_BYTES = 1 << 18
 
 _PLACE_BITS = np.uint64(22)
 
@@ -152,7 +153,7 @@ def _cut_out(batches):
         row = np.repeat(np.arange(len(batch)), per_row)
         first, last = flat.field("first").to_numpy(), flat.field("last").to_numpy()
         begin, end = offsets[row] + first, offsets[row] + last + LENGTH
-        raw = data.tobytes() if len(data) < 1 << 26 else data
+        raw = memoryview(data)
         cut = [bytes(raw[a:b]) for a, b in zip(begin.tolist(), end.tolist())]
         yield pa.RecordBatch.from_arrays(
             [batch.column("_row").take(pa.array(row)), flat.field("first"), flat.field("gram"), flat.field("others"), pa.array(cut, pa.binary())],
@@ -204,7 +205,7 @@ def _compare(batches):
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("_row", "first", "gram", "bytes")]
         for item in zip(*columns):
-            if size > 1 << 22 and item[2] != held[-1][2]:
+            if size > BLOCK_BYTES and item[2] != held[-1][2]:
                 yield found()
                 held, size = [], 0
             held.append(item)

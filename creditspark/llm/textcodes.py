@@ -12,7 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+# A worker holds about six numbers of 8 bytes for each byte of a block.
+BLOCK_BYTES = 1 << 18
+# Powers up to this many are kept for the next block; those of a single longer word or text are not.
+KEPT_POWERS = 1 << 21
 BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(BASE, -1, 1 << 64)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -22,12 +25,15 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i below ``n``."""
     size = max(BLOCK_BYTES, 1 << max(0, n - 1).bit_length())
-    if size not in _powers:
-        _powers[size] = tuple(
+    found = _powers.get(size)
+    if found is None:
+        found = tuple(
             np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, base, np.uint64)]))
             for base in (BASE, _BASE_INVERSE)
         )
-    up, down = _powers[size]
+        if size <= KEPT_POWERS:
+            _powers[size] = found
+    up, down = found
     return up[:n], down[:n]
 
 
