@@ -8,9 +8,11 @@
 - ``parts``: ids before each part of ``runs``;
 - ``totals``: documents, ids and the end id.
 
-One pass counts ids, one pass sorts the texts by range, tokenises and encodes them; a run is
-written by one task and read by one task, so a lost executor costs the repetition of its
-tasks. The driver sees one count per id of the vocabulary and one row per part.
+One pass sorts the texts by range, tokenises them and writes their ids as runs of plain numbers, of
+two bytes where the vocabulary allows; two light passes over those count the ids and encode the
+runs, and the plain ones are dropped. A run is written by one task and read by one task, so a lost
+executor costs the repetition of its tasks. The driver sees one count per id of the vocabulary and
+one row per part.
 
 Null and empty texts have the end id alone. Documents of one id follow each other in the
 order of a hash of their texts, equal rows in any order; null ids come first. A very long
@@ -29,7 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .huffman import LONGEST, Codec, code_lengths
-from .tokenids import unit_ids, with_end
+from .tables import BATCH, Scratch, session_settings
+from .tokenids import unit_ids, widest_id, with_end
 
 END_ID = 2
 # Ids after which a run ends.
@@ -37,52 +40,36 @@ RUN_IDS = 1 << 18
 # Bits beyond the least that can tell all ids apart; more of them cost a larger decoding table.
 SPARE_BITS = 2
 
+# Rows of a batch, as each is a run.
+RUNS_AT_ONCE = 16
+
+_NAMES = ["part", "run", "before", "n_ids", "doc_ids", "lengths", "data"]
 _RUNS = "part long, run long, before long, n_ids long, doc_ids array<{kind}>, lengths array<long>, data binary"
 _DOCUMENTS = "doc_id {kind}, start long, n_tokens long, ids binary"
 
 
-def _count(tokenizer: str, end_id: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(end_id + 1, np.int64)
-        for batch in batches:
-            for i, j, ids, _ in unit_ids(tokenizer).of_column(batch.column("text")):
-                got = np.bincount(ids, minlength=len(found))
-                got[: len(found)] += found
-                found = got
-                found[end_id] += j - i
-        used = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(found[used])], ["id", "n"])
-
-    return run
-
-
-def count_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """``(id, n)`` over all documents, the end ids included."""
-    each = docs.select("text").mapInArrow(_count(tokenizer, end_id), "id int, n long")
-    return each.groupBy("id").agg(F.sum("n").alias("n"))
-
+def _tokenised(tokenizer: str, end_id: int, narrow: bool):
+    """Runs of whole documents in the order of the rows, with their ids as they are."""
 
-def _encode(tokenizer: str, lengths: np.ndarray, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, part = Codec(lengths), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         names, sizes, ids = [], [], []
         held = before = number = 0
-        kind = None
 
         def flushed():
             nonlocal names, sizes, ids, held, before, number
             row = [
                 pa.array([part], pa.int64()), pa.array([number], pa.int64()), pa.array([before], pa.int64()), pa.array([held], pa.int64()),
                 pa.ListArray.from_arrays(pa.array([0, sum(map(len, names))], pa.int32()), pa.concat_arrays(names)),
-                pa.array([np.concatenate(sizes)], pa.list_(pa.int64())), pa.array([codec.encode(np.concatenate(ids))], pa.binary()),
+                pa.array([np.concatenate(sizes)], pa.list_(pa.int64())),
+                pa.array([np.concatenate(ids).astype("<u2" if narrow else "<u4").tobytes()], pa.binary()),
             ]
             before, number = before + held, number + 1
             names, sizes, ids, held = [], [], [], 0
-            return pa.RecordBatch.from_arrays(row, ["part", "run", "before", "n_ids", "doc_ids", "lengths", "data"])
+            return pa.RecordBatch.from_arrays(row, _NAMES)
 
         for batch in batches:
             own = batch.column("doc_id")
-            kind = kind or own.type
             for i, j, found, counts in unit_ids(tokenizer).of_column(batch.column("text")):
                 found, counts = with_end(found, counts, end_id)
                 names.append(own.slice(i, j - i))
@@ -97,23 +84,59 @@ def _encode(tokenizer: str, lengths: np.ndarray, end_id: int):
     return run
 
 
+def _plain(data: pa.Scalar, narrow: bool) -> np.ndarray:
+    return np.frombuffer(data.as_buffer(), "<u2" if narrow else "<u4")
+
+
+def _count(narrow: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(0, np.int64)
+        for batch in batches:
+            for data in batch.column("data"):
+                got = np.bincount(_plain(data, narrow), minlength=len(found))
+                got[: len(found)] += found
+                found = got
+        used = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(found[used])], ["id", "n"])
+
+    return run
+
+
+def _encode(lengths: np.ndarray, narrow: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(lengths)
+        for batch in batches:
+            for k in range(len(batch)):
+                row = batch.slice(k, 1)
+                coded = pa.array([codec.encode(_plain(row.column("data")[0], narrow))], pa.binary())
+                yield pa.RecordBatch.from_arrays([*row.columns[:-1], coded], _NAMES)
+
+    return run
+
+
 def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) -> None:
     """Write the ids of all documents, each ended by ``end_id``, to ``folder``."""
     spark = docs.sparkSession
-    # One row per id of the vocabulary.
-    counts = count_ids(docs, tokenizer, end_id).toArrow()
-    id_, n = counts.column("id").to_numpy(), counts.column("n").to_numpy()
-    every = np.zeros(int(id_.max(initial=0)) + 1, np.int64)
-    every[id_] = n
-    lengths = code_lengths(every, min(LONGEST, max(1, int(len(id_)).bit_length() + SPARE_BITS)))
-    spark.createDataFrame(pa.table({"id": id_, "bits": lengths[id_].astype(np.int32)})).coalesce(1).write.parquet(f"{folder}/codes")
-
+    scratch = Scratch(spark)
+    narrow = max(widest_id(tokenizer), end_id) < 1 << 16
     order = [F.col("doc_id"), F.xxhash64("text"), F.monotonically_increasing_id()]
     keyed = docs.select("doc_id", "text", order[1].alias("_hash"), order[2].alias("_tie"))
     keys = ["doc_id", "_hash", "_tie"]
     ranged = keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    ranged.mapInArrow(_encode(tokenizer, lengths, end_id), _RUNS.format(kind=kind)).write.parquet(f"{folder}/runs")
+    schema = _RUNS.format(kind=docs.schema["doc_id"].dataType.simpleString())
+    plain = scratch.write(ranged.mapInArrow(_tokenised(tokenizer, end_id, narrow), schema), "plain")
+
+    with session_settings(spark, {BATCH: str(RUNS_AT_ONCE)}):
+        each = plain.select("data").mapInArrow(_count(narrow), "id int, n long")
+        # One row per id of the vocabulary.
+        counts = each.groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+        id_, n = counts.column("id").to_numpy(), counts.column("n").to_numpy()
+        every = np.zeros(int(id_.max(initial=0)) + 1, np.int64)
+        every[id_] = n
+        lengths = code_lengths(every, min(LONGEST, max(1, int(len(id_)).bit_length() + SPARE_BITS)))
+        plain.mapInArrow(_encode(lengths, narrow), schema).write.parquet(f"{folder}/runs")
+    scratch.drop("plain")
+    spark.createDataFrame(pa.table({"id": id_, "bits": lengths[id_].astype(np.int32)})).coalesce(1).write.parquet(f"{folder}/codes")
 
     runs = _runs(spark, folder)
     parts = runs.groupBy("part").agg(F.sum("n_ids").alias("n"), F.sum(F.size("lengths")).alias("docs")).toArrow().sort_by("part")

@@ -64,6 +64,13 @@ def borders(data: np.ndarray, at: int, to: int) -> np.ndarray:
     return found
 
 
+def widest_id(path: str) -> int:
+    """The greatest id of the tokenizer in the file."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), default=0)
+
+
 class UnitIds:
     """Ids of units, remembered by 64-bit codes in an open hash table."""
 

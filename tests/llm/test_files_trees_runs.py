@@ -117,6 +117,33 @@ def test_token_files(docs, monkeypatch, run_ids):  # noqa: F811
     assert set(bits) == set(every.tolist())
 
 
+def test_token_files_read_each_text_for_ranges_and_tokens_only(spark, tmp_path):
+    seen = str(tmp_path)
+
+    @F.udf("string")
+    def read(i):
+        open(f"{seen}/{i}", "a").write("x")
+        return f"text {i}"
+
+    docs = spark.range(20).select(F.col("id").alias("doc_id"), read.asNondeterministic()("id").alias("text"))
+    folder = f"{Scratch(spark).folder}/ids"
+    tokenfile.write_ids(docs, tokenizer_path(), folder)
+    assert max(len(open(f"{seen}/{i}").read()) for i in range(20)) <= 2
+    known = tokenizer()
+    found = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in tokenfile.read_documents(spark, folder).collect()}
+    assert found == {i: known.encode(f"text {i}", add_special_tokens=False).ids + [2] for i in range(20)}
+
+
+def test_token_files_with_ids_beyond_two_bytes(spark):
+    folder = f"{Scratch(spark).folder}/ids"
+    docs = spark.createDataFrame([(2, "b c"), (1, "a")], "doc_id long, text string")
+    tokenfile.write_ids(docs, tokenizer_path(), folder, end_id=70_000)
+    known = tokenizer()
+    found = tokenfile.read_documents(spark, folder).orderBy("start").collect()
+    expected = [known.encode(t, add_special_tokens=False).ids + [70_000] for t in ("a", "b c")]
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in found] == expected
+
+
 def test_token_files_of_an_empty_table(empty):  # noqa: F811
     folder = f"{Scratch(empty.sparkSession).folder}/ids"
     tokenfile.write_ids(empty, tokenizer_path(), folder)
