@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from creditspark.llm import passages
+from creditspark.llm import decontam, passages
 from creditspark.llm import textcodes as tc
 
 MB = 1 << 20
@@ -53,3 +53,13 @@ def test_powers_of_a_very_long_text_are_not_kept():
     up, down = tc.powers(5 * MB)
     assert len(up) == 5 * MB and up[-1] * down[-1] == 1
     assert sum(x.nbytes for pair in tc._powers.values() for x in pair) < 64 * MB
+
+
+def test_words_of_a_batch_are_looked_for_in_small_blocks():
+    raw = letters(4 * MB).replace(b"e", b" ")
+    text = pa.array([raw[i : i + 2048].decode() for i in range(0, len(raw), 2048)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(text))), pa.array(range(len(text))), text], ["_row", "doc_id", "text"])
+    parts = []
+    find = decontam._find(np.zeros(1, np.uint64), [5])
+    assert peak(lambda: parts.extend(find([batch]))) < 24 * MB
+    assert parts[0].column("n_words").to_pylist() == [len(t.split()) for t in text.to_pylist()]
