@@ -1,4 +1,5 @@
 import random
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -144,3 +145,17 @@ def test_correlation_evaluates_its_input_once(spark):
         x, y = zip(*[(r["abcd".index(i)], r["abcd".index(j)]) for r in rows if r["abcd".index(i)] is not None and r["abcd".index(j)] is not None])
         assert found[i, j] == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-9)
     assert found["a", "c"] is None and found["b", "c"] is None and found["c", "d"] is None
+
+
+def test_selection_evaluates_its_sample_once(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [("20240101", "202401", int(rng.random() < 0.3), "o1", rng.random(), rng.random()) for _ in range(400)]
+    df = spark.createDataFrame(rows, "new_date string, new_date_ym string, new_target int, new_org string, a double, b double").repartition(1)
+    folder = str(tmp_path)
+
+    def counted(batches):
+        open(f"{folder}/{uuid.uuid4().hex}", "w").close()
+        yield from batches
+
+    cs.select_features(df.mapInArrow(counted, df.schema), run_null_importance=False)
+    assert len(list(tmp_path.iterdir())) == 1

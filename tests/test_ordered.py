@@ -90,3 +90,23 @@ def test_running_totals_need_no_sketch_of_the_rows(spark, many_buckets, monkeypa
         own = [(x, y) for k, x, y in rows if k == r.k]
         assert (r.n_upto, r.n_all) == (sum(x <= r.value for x, _ in own), len(own))
         assert (r.bad_upto, r.bad_all) == (sum(y for x, y in own if x <= r.value), sum(y for _, y in own))
+
+
+def test_scopes_and_their_whole_come_from_one_sort(spark):
+    rng = random.Random(3)
+    rows = sorted({(rng.choice(["o1", "o2", "o3", None]), rng.choice("ab"), float(rng.randint(0, 40))) for _ in range(400)}, key=str)
+    rows = [(*r, rng.randint(1, 5), rng.choice([None, 0, 1])) for r in rows]
+    cells = spark.createDataFrame(rows, "org string, feature string, value double, n long, bad long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # places go on from batch to batch
+    try:
+        for whole in (None, "all"):
+            found = ordered.scoped_totals(cells, "org", ["feature"], "value", ["n", "bad"], whole).collect()
+            expected = []
+            for scope, feature in {(r[0], r[1]) for r in rows} | {("all", r[1]) for r in rows if whole}:
+                own = [r for r in rows if r[1] == feature and scope in (r[0], "all")]
+                for value in {r[2] for r in own}:
+                    upto = [r for r in own if r[2] <= value]
+                    expected.append((scope, feature, value, *(sum(r[k] or 0 for r in part) for part, k in ((upto, 3), (upto, 4), (own, 3), (own, 4)))))
+            assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
