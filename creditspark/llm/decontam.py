@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textcodes as tc
-from .tables import Scratch, back_to, join_small, numbered, row_of
+from .tables import Scratch, back_to, join_small, numbered, returning, row_of
 
 WINDOW = 13
 SHINGLE = 5
@@ -135,7 +135,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch | None
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    owned = scratch.write(items.mapInArrow(_windows, _WINDOWS).distinct(), "owned")
+    owned = scratch.write(items.mapInArrow(returning(_windows), _WINDOWS).distinct(), "owned")
     contents = owned.select("n_words", "needed").distinct()
     contents = scratch.write(contents.withColumn("window", F.monotonically_increasing_id()), "contents")
     owners = scratch.write(owned.join(contents, ["n_words", "needed"]).select("window", "item_id"), "owners")
@@ -144,7 +144,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch | None
     wanted = _filter_words(windows.select("code").distinct())
     has_id = docs.select(row_of(docs).alias("_row"), "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    hits = has_id.mapInArrow(_find(wanted, sizes), _HITS.format(kind=kind))
+    hits = has_id.mapInArrow(returning(_find(wanted, sizes)), _HITS.format(kind=kind))
     hits = scratch.write(hits, "hits")
 
     flat = hits.where(F.size("codes") > 0).select(

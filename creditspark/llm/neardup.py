@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import textcodes as tc
 from .components import connected
-from .tables import Scratch, back_to, numbered, row_of
+from .tables import Scratch, back_to, give_back, numbered, returning, row_of
 
 SHINGLE = 5
 CHUNKS = 8
@@ -191,7 +191,10 @@ def _confirm(percent: int):
                 near = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 both = int((y[near] == x).sum())
                 good[i] = 100 * both >= percent * (len(x) + len(y) - both)
-        return pa.table({"a": a[good], "b": b[good]})
+        found = pa.table({"a": a[good], "b": b[good]})
+        sets.clear()
+        give_back()
+        return found
 
     return linked
 
@@ -238,7 +241,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
     rows = rows.select(row_of(rows).alias("_row"), "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"_row long, doc_id {kind}, n_shingles long, n_bytes long, key0 long, key1 long, " + ", ".join(f"{p} long" for p in _PARTS)
-    signed = scratch.write(rows.mapInArrow(_signatures, schema), "signed")
+    signed = scratch.write(rows.mapInArrow(returning(_signatures), schema), "signed")
 
     # Equal sets are one node, named by its first row.
     sets = signed.where("n_shingles > 0").groupBy("key0", "key1", "n_shingles").agg(
@@ -261,7 +264,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
     members = filed.select("node").distinct()
     texts = rows.select(F.col("_row").alias("node"), "text").join(members, "node", "left_semi")
     texts = scratch.write(
-        texts.mapInArrow(_fine, "node long, text string, n_shingles long, " + ", ".join(f"{f} long" for f in _FINE)), "texts"
+        texts.mapInArrow(returning(_fine), "node long, text string, n_shingles long, " + ", ".join(f"{f} long" for f in _FINE)), "texts"
     )
 
     def side(prefix: str, *columns: str) -> list[Column]:

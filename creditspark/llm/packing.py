@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Scratch
+from .tables import Scratch, returning
 from .tokenids import unit_ids, with_end
 
 WINDOW = 1024
@@ -153,10 +153,10 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = EN
     """
     scratch = scratch or Scratch(docs.sparkSession)
     schema = _SCHEMA.format(kind=docs.schema["doc_id"].dataType.simpleString()) + ", loose boolean"
-    packed = scratch.write(docs.select("doc_id", "text").mapInArrow(_pack(tokenizer, window, end_id), schema), "packed")
+    packed = scratch.write(docs.select("doc_id", "text").mapInArrow(returning(_pack(tokenizer, window, end_id)), schema), "packed")
     loose = packed.where("loose")
     tasks = math.ceil((loose.agg(F.sum("length")).first()[0] or 0) / BLOCK_TOKENS)
-    again = loose.repartition(max(1, tasks), "sequence_id").mapInArrow(_pack_again(window), schema)
+    again = loose.repartition(max(1, tasks), "sequence_id").mapInArrow(returning(_pack_again(window)), schema)
     return packed.where("NOT loose").unionByName(again).drop("loose")
 
 

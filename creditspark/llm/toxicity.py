@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textcodes as tc
-from .tables import Scratch
+from .tables import Scratch, returning
 
 SAMPLE = 12_000
 BEGINNINGS = (4, 5, 6, 7, 8)
@@ -157,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, scratch: Scr
     bad, every = texts.agg(F.sum("toxic"), F.count(F.lit(1))).first()
     if not bad or bad == every:
         return none
-    counts = texts.mapInArrow(_document_counts, "code long, bad long, every long")
+    counts = texts.mapInArrow(returning(_document_counts), "code long, bad long, every long")
     counts = counts.groupBy("code").agg(F.sum("bad").alias("bad"), F.sum("every").alias("every")).where(F.col("bad") >= LEAST_TOXIC)
     # Significance of the difference between the shares of toxic and of clean documents.
     clean = F.col("every") - F.col("bad")
@@ -168,7 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, scratch: Scr
     if not best.num_rows:
         return none
     codes = np.sort(best.column("code").to_numpy().view(np.uint64))
-    got = texts.mapInArrow(_selected_counts(codes), "toxic int, at array<int>, n array<int>").toArrow()
+    got = texts.mapInArrow(returning(_selected_counts(codes)), "toxic int, at array<int>, n array<int>").toArrow()
     toxic = got.column("toxic").to_numpy()
     at, n = got.column("at").combine_chunks(), got.column("n").combine_chunks()
     lengths = np.diff(at.offsets.to_numpy())
@@ -208,7 +208,7 @@ def severity(docs: DataFrame, labels: DataFrame, reject: float = REJECT) -> Data
     model = train(docs, labels)
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = docs.select("doc_id", "text").mapInArrow(
-        _scores(model), f"doc_id {kind}, p_toxic double, expected_severity double"
+        returning(_scores(model)), f"doc_id {kind}, p_toxic double, expected_severity double"
     )
     return scored.select(
         "doc_id", "p_toxic", "expected_severity", F.round("expected_severity").cast("int").alias("grade"),
@@ -226,4 +226,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, reject: float = REJECT, sc
         for batch in batches:
             yield batch.filter(pa.array(chances(model, batch.column(at))[:, 0] < reject))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(returning(keep), docs.schema)

@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from creditspark.llm import decontam, passages
+from creditspark.llm import decontam, passages, tables
 from creditspark.llm import textcodes as tc
 
 MB = 1 << 20
@@ -63,3 +63,22 @@ def test_words_of_a_batch_are_looked_for_in_small_blocks():
     find = decontam._find(np.zeros(1, np.uint64), [5])
     assert peak(lambda: parts.extend(find([batch]))) < 24 * MB
     assert parts[0].column("n_words").to_pylist() == [len(t.split()) for t in text.to_pylist()]
+
+
+def test_a_task_gives_back_what_it_freed():
+    def held() -> int:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    def run(batches):
+        # Small blocks stay with the process when freed, as the last one still in use lies behind them.
+        blocks = [np.ones(12_000) for _ in range(2000)]
+        kept.append(blocks[-1])
+        before.append(held())
+        del blocks
+        yield from batches
+
+    kept, before = [], []
+    batch = pa.RecordBatch.from_pydict({"x": [1]})
+    assert list(tables.returning(run)(iter([batch]))) == [batch]
+    assert held() < before[0] - 100 * MB
