@@ -10,7 +10,7 @@ compared; no cell is sorted or shuffled again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,8 +78,8 @@ def _gain(n: Column, bad: Column) -> Column:
     return F.coalesce(sides[0], F.lit(0.0)) + F.coalesce(sides[1], F.lit(0.0)) - _purity(F.col("n"), F.col("bad"))
 
 
-def _promising(stretches: DataFrame, open_nodes: DataFrame) -> DataFrame:
-    """Open nodes with the stretches whose cells may hold their best cut."""
+def promising(stretches: DataFrame, open_nodes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Open nodes with the stretches whose cells may hold their best cut; columns ``keep`` of the stretches stay."""
     def inside(n_upto: str) -> Column:
         n = F.col(n_upto) - F.col("start_n")
         return (n >= F.col("min_leaf")) & (F.col("n") - n >= F.col("min_leaf"))
@@ -94,10 +94,10 @@ def _promising(stretches: DataFrame, open_nodes: DataFrame) -> DataFrame:
     seen = F.greatest(*[F.when(inside(f"n{k}"), _gain(F.col(f"n{k}") - F.col("start_n"), F.col(f"bad{k}") - F.col("start_bad"))) for k in "01"])
     reaching = (F.col("n1") - F.col("start_n") >= F.col("min_leaf")) & (F.col("start_n") + F.col("n") - F.col("n0") >= F.col("min_leaf"))
     rated = stretches.join(open_nodes, KEYS).filter(reaching).withColumn("most", most).withColumn("seen", seen)
-    best = F.max("seen").over(Window.partitionBy(*KEYS, "id"))  # a few hundred rows a node
+    best = F.max("seen").over(Window.partitionBy(*KEYS, "id"))  # a bounded number of stretches a node
     slack = F.lit(1e-9) * F.col("n")  # of rounding
     return rated.withColumn("sure", best).filter(F.col("sure").isNull() | (F.col("most") + slack >= F.col("sure"))).select(
-        *open_nodes.columns, "stretch"
+        *open_nodes.columns, "stretch", *keep
     )
 
 
@@ -105,10 +105,15 @@ def _best_cuts(cells: DataFrame, stretches: DataFrame, open_nodes: DataFrame, sm
     """Best cut of each open node: highest gini gain, then lowest threshold.
 
     ``small`` says that there are few enough open nodes to broadcast with their stretches."""
-    chosen = _promising(stretches, F.broadcast(open_nodes) if small else open_nodes)
+    chosen = promising(stretches, F.broadcast(open_nodes) if small else open_nodes)
+    return best_of(cells.join(F.broadcast(chosen) if small else chosen, [*KEYS, "stretch"]))
+
+
+def best_of(cells: DataFrame) -> DataFrame:
+    """Best cut of each node among the cells that are joined to it."""
     n, bad = F.col("n_upto") - F.col("start_n"), F.col("bad_upto") - F.col("start_bad")
     inside = (n >= F.col("min_leaf")) & (F.col("n") - n >= F.col("min_leaf"))
-    tried = cells.join(F.broadcast(chosen) if small else chosen, [*KEYS, "stretch"]).filter(inside).select(
+    tried = cells.filter(inside).select(
         *KEYS, "id", _gain(n, bad).alias("gain"), n.alias("cut_n"), bad.alias("cut_bad")
     )
     # Running counts grow with the value, so the lowest count is that of the lowest threshold.
@@ -152,8 +157,20 @@ def _with_choice(state: DataFrame, n_bins: int) -> DataFrame:
 
 
 def tree_leaves(cells: DataFrame, n_bins: int, min_share: float = config.WOE_MIN_BIN_SHARE) -> DataFrame:
+    """``grown_leaves`` of a stored table of all cells."""
+    stretches = stretches_of(cells)
+    return grown_leaves(stretches, lambda nodes, small: _best_cuts(cells, stretches, nodes, small), n_bins, min_share)
+
+
+def grown_leaves(
+    stretches: DataFrame,
+    best_cuts: Callable[[DataFrame, bool], DataFrame],
+    n_bins: int,
+    min_share: float = config.WOE_MIN_BIN_SHARE,
+) -> DataFrame:
     """Leaves of the best-first gini tree: (scope, feature, start_n, start_bad, leaf_n, leaf_bad).
 
+    ``best_cuts`` finds those of open nodes, and is told whether the nodes are few.
     ``start_n`` counts the rows below the leaf. The open leaf with the highest gain is
     split first (ties: the lower leaf), until ``n_bins`` leaves exist or no allowed cut
     is left. A pure leaf is never split. A (scope, feature) with too few values or one
@@ -163,7 +180,6 @@ def tree_leaves(cells: DataFrame, n_bins: int, min_share: float = config.WOE_MIN
     nodes the tree may still need. Passes follow the depth of the tree, not the number
     of its leaves. The state is one row of a few dozen nodes per (scope, feature).
     """
-    stretches = stretches_of(cells)
     totals = stretches.groupBy(*KEYS).agg(F.max("n1").alias("n"), F.max("bad1").alias("bad"))
     roots = totals.filter((F.col("n") >= config.MIN_VALUES_TO_BIN) & F.col("bad").between(1, F.col("n") - 1))
     state = roots.select(
@@ -190,7 +206,7 @@ def tree_leaves(cells: DataFrame, n_bins: int, min_share: float = config.WOE_MIN
         )
         while not (waiting := state.filter("size(open) > 0")).isEmpty():
             open_nodes = waiting.select(*KEYS, "min_leaf", F.inline("open")).drop("tested", "gain", "cut_n", "cut_bad")
-            cuts = _best_cuts(cells, stretches, open_nodes, small)
+            cuts = best_cuts(open_nodes, small)
             by_key = cuts.groupBy(*KEYS).agg(F.map_from_entries(F.collect_list(F.struct("id", "best"))).alias("cuts"))
             grown = (
                 state.join(by_key, KEYS, "left")

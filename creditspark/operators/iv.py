@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import texts
 from ..plans.longform import OVERALL, TARGET, varying_numeric_features
-from ..plans.storage import checkpointed
+from ..plans.storage import as_stored, checkpointed
 from .bands import iv_bands
-from .binning import KEYS, binning_cells, leaf_stats, tree_leaves
+from .binning import KEYS, leaf_stats
+from .scans import scanned_leaves
 
 
 def _iv(df, features, n_bins, by_org, target) -> DataFrame:
-    cells = binning_cells(df, features, by_org, target)
-    stats = leaf_stats(tree_leaves(cells, n_bins))
+    stats = leaf_stats(scanned_leaves(df, features, n_bins, by_org, target))
     return stats.groupBy(*KEYS).agg(F.bround(F.sum("iv_part"), 4).alias("iv"))
 
 
@@ -81,4 +81,4 @@ def filter_iv(
     features = varying_numeric_features(df)
     detail = checkpointed(iv_by_org(df, features))
     drops = checkpointed(iv_drops(detail, threshold, org_threshold, max_orgs))
-    return df.drop(*[r.feature for r in drops.collect()]), detail, drops, iv_bands(detail)
+    return as_stored(df.drop(*[r.feature for r in drops.collect()]), df), detail, drops, iv_bands(detail)

@@ -11,7 +11,7 @@ from .. import config
 from ..functions import texts
 from ..functions.scalars import is_missing
 from ..plans.longform import ORG, OVERALL, features_of, numeric_features
-from ..plans.storage import checkpointed
+from ..plans.storage import as_stored, checkpointed
 from .bands import band_counts
 
 
@@ -89,4 +89,4 @@ def filter_missing(
     detail = checkpointed(missing_detail(df))
     drops = checkpointed(missing_drops(detail, threshold, max_orgs))
     bands = value_ratio_bands(df)
-    return df.drop(*[r.feature for r in drops.collect()]), detail, drops, bands
+    return as_stored(df.drop(*[r.feature for r in drops.collect()]), df), detail, drops, bands

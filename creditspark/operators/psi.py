@@ -13,7 +13,7 @@ from ..functions import texts
 from ..functions.scalars import floored
 from ..plans.longform import MONTH, ORG, named, to_long, varying_numeric_features
 from ..plans.ordered import exact_quantiles, long_of, plain_names, slots
-from ..plans.storage import checkpointed, join_checked
+from ..plans.storage import as_stored, checkpointed, join_checked
 from .bands import psi_bands
 
 
@@ -184,7 +184,7 @@ def filter_psi(
     detail = checkpointed(psi_by_org(df, features, min_sample, period_col))
     org_count = df.select(ORG).distinct().count()
     drops = checkpointed(psi_drops(detail, threshold, max_ratio, max_orgs, org_count))
-    return df.drop(*[r.feature for r in drops.collect()]), detail, drops, psi_bands(detail)
+    return as_stored(df.drop(*[r.feature for r in drops.collect()]), df), detail, drops, psi_bands(detail)
 
 
 def psi_categorical(base: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import texts
 from ..plans.longform import MONTH, ORG, TARGET, features_of
-from ..plans.storage import checkpointed, join_checked
+from ..plans.storage import as_stored, checkpointed, join_checked
 
 
 def month_counts(df: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def abnormal_months(
 def drop_months(df: DataFrame, months: DataFrame) -> DataFrame:
     """Rows outside the listed (org, month) pairs."""
     keys = months.select(F.col("org").alias(ORG), F.col("month").alias(MONTH))
-    return join_checked(df, keys, [ORG, MONTH], "left_anti")
+    return as_stored(join_checked(df, keys, [ORG, MONTH], "left_anti"), df)
 
 
 def filter_abnormal_months(
