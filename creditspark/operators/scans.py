@@ -10,11 +10,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
@@ -32,8 +31,6 @@ SAMPLE_ROWS = 1_000_000
 HELD = 4_000_000
 # Stretches that a round lists by scope; of more, those of any scope are read.
 LISTED = 500_000
-# Intervals of a column that a round asks Spark for.
-INTERVALS = 16
 
 _COUNTS = "scope string, f int, stretch int, single boolean, n bigint, bad bigint"
 _VALUES = "scope string, f int, stretch int, value double, bad bigint"
@@ -160,19 +157,6 @@ def _values_inside(columns: dict[int, str], limits: dict[int, np.ndarray], chose
     return run
 
 
-def _near(column: str, limits: np.ndarray, by_scope: dict) -> Column:
-    """Whether the column's value is in one of the listed stretches, or in a narrow gap between two of them."""
-    listed = np.unique(np.concatenate([*by_scope.values()]))
-    gaps = np.diff(listed)
-    wide = np.sort(np.argsort(-gaps, kind="stable")[: INTERVALS - 1])
-    wide = wide[gaps[wide] > 1]
-    x, spans = F.col(column), []
-    for first, last in zip(listed[[0, *(wide + 1)]], listed[[*wide, -1]]):
-        above = x > float(limits[first - 1]) if first else x.isNotNull()
-        spans.append(above & (x <= float(limits[last])) if last < len(limits) else above)
-    return reduce(Column.__or__, spans)
-
-
 def _running(order: str, *keys: str):
     return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -223,8 +207,7 @@ def scanned_leaves(
         if not chosen:
             return best_of(ends)
         used = {f: columns[f] for f in chosen}
-        near_rows = reduce(Column.__or__, [_near(c, limits[f], chosen[f]) for f, c in used.items()])
-        values = rows.filter(near_rows).select("scope", "bad", *used.values()).mapInArrow(
+        values = rows.select("scope", "bad", *used.values()).mapInArrow(
             _values_inside(used, {f: limits[f] for f in chosen}, chosen, whole), _VALUES)
         cells = values.groupBy("scope", "f", "stretch", "value").agg(F.count("*").alias("cell_n"), F.sum("bad").alias("cell_bad"))
         here = {s: F.sum(f"cell_{s}").over(_running("value", "scope", "f", "stretch")) for s in ("n", "bad")}
