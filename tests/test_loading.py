@@ -1,9 +1,11 @@
 import datetime
 import json
+import uuid
 
 import pytest
 
 import creditspark as cs
+from creditspark.sources import load
 
 
 def raw(spark):
@@ -80,3 +82,23 @@ def test_feature_list(spark, tmp_path):
     assert cs.present(["g", "zz"], raw(spark)) == ["g"]
     cs.write_feature_list(spark, ["g", "größe"], f"{tmp_path}/list")
     assert cs.read_feature_list(spark, f"{tmp_path}/list") == ["g", "größe"]
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_clean_sample_evaluates_its_input_once(spark, tmp_path, monkeypatch, few):
+    rows = [(i % 40 if i < 60 else i, "2023-01-05", i % 2, None if i % 7 == 0 else float(i * 31 % 17)) for i in range(300)]
+    df = spark.createDataFrame(rows + rows[:5], "k int, day string, label int, x double").repartition(1)
+
+    def counted(batches):
+        (tmp_path / uuid.uuid4().hex).touch()
+        yield from batches
+
+    monkeypatch.setattr(load, "is_small", lambda *a, **b: few)
+    clean = cs.clean_sample(df.mapInArrow(counted, df.schema), "day", "label", key_cols=["k"])
+    first = {}
+    for k, _, label, x in rows:
+        # Lowest in all columns, nulls first.
+        new = (label, x is not None, x or 0.0)
+        first[k] = min(first.get(k, new), new)
+    assert sorted((r.new_target, r.x is not None, r.x or 0.0) for r in clean.collect()) == sorted(first.values())
+    assert len(list(tmp_path.iterdir())) == 1
