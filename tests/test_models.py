@@ -149,3 +149,30 @@ def test_cross_validation_and_search(spark):
         drawn = dict(ast.literal_eval(r.params))
         assert drawn["maxIter"] in (2, 3) and drawn["maxDepth"] in (2, 3) and 8 <= drawn["maxLeaves"] <= 64
         assert 0.01 <= drawn["stepSize"] <= 0.3 and 0.01 <= drawn["l1"] <= 10 and 20 <= drawn["minInstancesPerNode"] <= 200
+
+
+def test_feature_selection_uses_the_published_null_importance(spark, tmp_path, monkeypatch):
+    """The registered query grows all rounds of all runs, at the published depth, on the sample that reaches that step."""
+    from creditspark.operators import trees
+    from workload import queries
+
+    rng = random.Random(8)
+    rows = []
+    for i in range(2400):
+        x, y = rng.gauss(0, 1), rng.gauss(0, 1)
+        month = f"20230{1 + i % 3}"
+        rows.append((i, 1, month + "01", month, int(x + y + rng.gauss(0, 1) > 1), f"o{i % 2}", x, y, rng.gauss(0, 1)))
+    df = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, new_date string, new_date_ym string, new_target int, new_org string, "
+                                     "x double, y double, noise double")
+    monkeypatch.setattr(queries.fx, "sample", lambda *a: df)
+    grown = []
+
+    def grow(table, settings, features, bins):
+        grown.append((settings, features, table.count()))
+        return [trees.Model(k, s, features) for k, s in enumerate(settings)]
+
+    monkeypatch.setattr(trees, "grow", grow)
+    queries.feature_selection(spark, str(tmp_path)).collect()
+    (settings, features, count), = grown
+    assert len(settings) == 1 + cs.config.NULL_RUNS and features >= 2 and count == 2400
+    assert {(s.rounds, s.depth) for s in settings} == {(cs.config.NULL_TREES, cs.config.NULL_DEPTH)} == {(100, 5)}
